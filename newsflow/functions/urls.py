@@ -55,21 +55,23 @@ def _host(url_or_host: Column) -> Column:
     return F.when(url_or_host.contains("://"), domain_from_url(url_or_host)).otherwise(clean_key(url_or_host))
 
 
-def registrable_domain(url_or_host: Column) -> Column:
-    """The part of a host that is registered: its last label and the public suffix."""
-    host = strip_www(_host(url_or_host))
+def registrable_part(host: Column) -> Column:
+    """The part of a lower-case host that is registered: a label and the public suffix."""
     by_labels: dict[int, list[str]] = defaultdict(list)
     for suffix in settings.MULTI_PART_SUFFIXES:
         by_labels[suffix.count(".") + 1].append(suffix)
     result = F.substring_index(host, ".", -2)
     for labels, suffixes in by_labels.items():
-        has_suffix = F.lit(False)
-        for suffix in suffixes:
-            has_suffix = has_suffix | host.endswith(suffix)
-        result = F.when(has_suffix, F.substring_index(host, ".", -labels)).otherwise(result)
+        pattern = "(?:" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$"
+        result = F.when(host.rlike(pattern), F.substring_index(host, ".", -labels)).otherwise(result)
     return result
 
 
+def registrable_domain(url_or_host: Column) -> Column:
+    """Registered part of a URL's or a plain host."""
+    return registrable_part(strip_www(_host(url_or_host)))
+
+
 def host_matches(host: Column, domain: Column) -> Column:
     """Host equals the domain or lies below it."""
     h, d = strip_www(clean_key(host)), clean_key(domain)
@@ -155,45 +157,30 @@ def archive_file(path: Column) -> Column:
     return F.replace(F.substring_index(path, "/", -1), F.lit(".warc.gz"), F.lit(".jsonl"))
 
 
-def expected_domains(
-    feed_url: Column, groups: tuple[tuple[str, ...], ...] = settings.PUBLISHER_GROUPS
-) -> Column:
-    """Domains a feed may link to: its own, and those of its publisher group."""
-    host = domain_from_url(feed_url)
-    own = F.array(host, registrable_domain(host))
-    for prefix in settings.FEED_HOST_PREFIXES:
-        rest = F.substring(host, F.lit(len(prefix) + 1), F.length(host))
-        own = F.when(host.startswith(prefix), F.array_union(own, F.array(rest, registrable_domain(rest)))).otherwise(own)
-    own = F.array_distinct(own)
-    result = own
-    for group in groups:
-        # "contains" covers equality and the dotted suffix as well.
-        related = F.exists(own, lambda d: matches_any(d, group))
-        result = F.when(related, F.array_union(result, F.array(*[F.lit(m) for m in group]))).otherwise(result)
-    return result
+def own_domains(host: Column) -> Column:
+    """Domains that belong to a feed's host: itself, without a feed prefix, and their registered parts."""
+    stripped = [
+        F.when(host.startswith(p), F.substring(host, F.lit(len(p) + 1), F.length(host)))
+        for p in settings.FEED_HOST_PREFIXES
+    ]
+    hosts = F.array_compact(F.array(host, *stripped))
+    return F.array_distinct(F.flatten(F.transform(hosts, lambda h: F.array(h, registrable_part(h)))))
 
 
-def feed_link_allowed(
-    article_url: Column,
-    feed_url: Column,
-    expected: Column | None = None,
-    allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS,
-    groups: tuple[tuple[str, ...], ...] = settings.PUBLISHER_GROUPS,
-    proxies: tuple[str, ...] = settings.PROXY_FEED_HOSTS,
-) -> Column:
-    """Does a feed's link belong to the publisher of the feed?
+def with_publisher_groups(domains: Column, groups: tuple[tuple[str, ...], ...] = settings.PUBLISHER_GROUPS) -> Column:
+    """Add the members of every publisher group one of the domains belongs to.
 
-    Feeds served through a proxy host are held to the allow-list instead.
-    ``expected`` may carry the domains if they were computed once per feed.
+    A domain belongs to a group whose member it contains; that covers equality
+    and subdomains.
     """
-    host = domain_from_url(article_url)
-    registered = registrable_domain(host)
-    domains = expected if expected is not None else expected_domains(feed_url, groups)
-    same_publisher = F.exists(
-        domains, lambda d: (host == d) | F.endswith(host, F.concat(F.lit("."), d)) | (registered == d)
-    )
-    return (
-        F.when(host == _UNKNOWN, F.lit(False))
-        .when(domain_from_url(feed_url).isin(*proxies), in_allow_list(host, allowed))
-        .otherwise(same_publisher)
-    )
+    none = F.array().cast("array<string>")
+    related = [
+        F.when(F.exists(domains, lambda d: matches_any(d, g)), F.array(*[F.lit(m) for m in g])).otherwise(none)
+        for g in groups
+    ]
+    return F.array_union(domains, F.flatten(F.array(*related))) if groups else domains
+
+
+def link_matches(host: Column, registered: Column, domains: Column) -> Column:
+    """Does a link's host lie in one of the expected domains?"""
+    return F.exists(domains, lambda d: (host == d) | F.endswith(host, F.concat(F.lit("."), d)) | (registered == d))

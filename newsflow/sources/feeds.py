@@ -7,7 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsflow import settings
 from newsflow.functions.dates import rfc822_timestamp
 from newsflow.functions.text import is_filled, strip
-from newsflow.functions.urls import clean_url, expected_domains, feed_link_allowed, is_article_url, netloc_or_unknown
+from newsflow.functions.urls import (
+    clean_url,
+    domain_from_url,
+    in_allow_list,
+    is_article_url,
+    link_matches,
+    netloc_or_unknown,
+    own_domains,
+    registrable_part,
+    with_publisher_groups,
+)
 from newsflow.operators.dedup import first_n_per_key, last_value
 
 _RSS = (
@@ -67,9 +77,21 @@ def first_entries(entries: DataFrame, n: int = settings.MAX_ENTRIES_PER_FEED) ->
     return first_n_per_key(entries, "feed_url", "entry_no", n)
 
 
+def with_expected_domains(df: DataFrame, groups=settings.PUBLISHER_GROUPS) -> DataFrame:
+    """Add the host of ``feed_url`` and the domains the feed may link to.
+
+    The steps are columns of their own, so that Spark computes each once.
+    """
+    return (
+        df.withColumn("feed_host", domain_from_url(F.col("feed_url")))
+        .withColumn("expected", own_domains(F.col("feed_host")))
+        .withColumn("expected", with_publisher_groups(F.col("expected"), groups))
+    )
+
+
 def feed_dimension(entries: DataFrame, groups=settings.PUBLISHER_GROUPS) -> DataFrame:
     """One row per feed with the domains it may link to."""
-    return entries.select("feed_url").distinct().withColumn("expected", expected_domains(F.col("feed_url"), groups))
+    return with_expected_domains(entries.select("feed_url").distinct(), groups)
 
 
 def mark_entries(
@@ -79,16 +101,30 @@ def mark_entries(
     groups=settings.PUBLISHER_GROUPS,
     proxies=settings.PROXY_FEED_HOSTS,
 ) -> DataFrame:
-    """Clean the links and say which check each entry fails, or ``candidate``."""
-    cleaned = entries.withColumn("url", clean_url(strip(F.coalesce("link", F.lit("")))))
-    publisher = feed_link_allowed(F.col("url"), F.col("feed_url"), None, allowed, groups, proxies)
-    return cleaned.withColumn(
+    """Clean the links and say which check each entry fails, or ``candidate``.
+
+    A link must belong to the publisher of its feed; for feeds served by a
+    proxy host, to the allow-list.
+    """
+    hosts = (
+        with_expected_domains(entries, groups)
+        .withColumn("url", clean_url(strip(F.coalesce("link", F.lit("")))))
+        .withColumn("_host", domain_from_url(F.col("url")))
+        .withColumn("_registered", registrable_part(F.col("_host")))
+    )
+    host = F.col("_host")
+    publisher = (
+        F.when(host == settings.DEFAULT_DOMAIN, F.lit(False))
+        .when(F.col("feed_host").isin(*proxies), in_allow_list(host, allowed))
+        .otherwise(link_matches(host, F.col("_registered"), F.col("expected")))
+    )
+    return hosts.withColumn(
         "entry_stage",
         F.when(~is_filled(F.col("url")), "no_link")
         .when(~is_article_url(F.col("url"), denied), "url_filtered_out")
         .when(~publisher, "domain_filtered_out")
         .otherwise("candidate"),
-    )
+    ).drop("_host", "_registered", "feed_host", "expected")
 
 
 def candidates(marked: DataFrame) -> DataFrame:
