@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from newsflow.catalog import scalars  # noqa: F401
+from newsflow.catalog import scalars, tables  # noqa: F401
 from newsflow.catalog.registry import ORACLES, QUERIES  # noqa: F401
