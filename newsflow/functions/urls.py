@@ -10,6 +10,10 @@ from newsflow import settings
 from newsflow.functions.text import clean_key, matches_any, strip
 
 _AUTHORITY = r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)"
+_SPACE = r"[\s\x1c-\x1f]*"
+_HOST = (
+    rf"(?iU)^{_SPACE}(?:(?:[a-z][a-z0-9+.-]*:)?//(?=[^/?#]))?{_SPACE}(?:www\.)?([^/?#]*?){_SPACE}(?:[/?#]|$)"
+)
 _DOMAIN = r"^(?:https?://)?(?:www\.)?([^/]+)"
 _ARCHIVE_PATH = r"crawl-data/CC-NEWS/(\d{4})/(\d{2})/(.+)$"  # fixed public layout
 
@@ -34,10 +38,12 @@ def strip_www(host: Column) -> Column:
 
 
 def domain_from_url(url: Column) -> Column:
-    """Lower-case host with port and user info, without one leading ``www.``."""
-    cleaned = strip(F.coalesce(url, F.lit("")))
-    host = F.coalesce(F.nullif(netloc(cleaned), F.lit("")), F.regexp_extract(cleaned, r"^([^/?#]*)", 1))
-    return _or_unknown(strip_www(clean_key(host)))
+    """Lower-case host with port and user info, without one leading ``www.``.
+
+    One pattern does it: optional scheme and slashes, if a host follows them,
+    then everything up to the path, without white space around.
+    """
+    return _or_unknown(F.lower(F.regexp_extract(url, _HOST, 1)))
 
 
 def domain_pattern(url: Column, lower: bool = False) -> Column:
@@ -78,13 +84,12 @@ def host_matches(host: Column, domain: Column) -> Column:
     return (h == d) | F.endswith(h, F.concat(F.lit("."), d))
 
 
-def in_allow_list(url_or_host: Column, allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS) -> Column:
+def host_in_allow_list(host: Column, allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS) -> Column:
     """Strict allow-list: an entry is the host or one of its parent domains.
 
     Entries are grouped by their number of labels, so each group costs one
     hash lookup of the host's tail, however long the list is.
     """
-    host = strip_www(_host(url_or_host))
     by_labels: dict[int, set[str]] = defaultdict(set)
     for entry in allowed:
         entry = entry.lower().strip().removeprefix("www.")
@@ -95,6 +100,11 @@ def in_allow_list(url_or_host: Column, allowed: tuple[str, ...] = settings.ALLOW
     return F.coalesce(hit, F.lit(False))
 
 
+def in_allow_list(url_or_host: Column, allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS) -> Column:
+    """Strict allow-list over URLs or plain hosts."""
+    return host_in_allow_list(strip_www(_host(url_or_host)), allowed)
+
+
 def in_allow_list_loose(url: Column, allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS) -> Column:
     """Loose allow-list: an entry anywhere in the authority. An empty list allows all."""
     if not allowed:

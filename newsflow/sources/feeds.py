@@ -10,7 +10,7 @@ from newsflow.functions.text import is_filled, strip
 from newsflow.functions.urls import (
     clean_url,
     domain_from_url,
-    in_allow_list,
+    host_in_allow_list,
     is_article_url,
     link_matches,
     netloc_or_unknown,
@@ -115,7 +115,7 @@ def mark_entries(
     host = F.col("_host")
     publisher = (
         F.when(host == settings.DEFAULT_DOMAIN, F.lit(False))
-        .when(F.col("feed_host").isin(*proxies), in_allow_list(host, allowed))
+        .when(F.col("feed_host").isin(*proxies), host_in_allow_list(host, allowed))
         .otherwise(link_matches(host, F.col("_registered"), F.col("expected")))
     )
     return hosts.withColumn(
