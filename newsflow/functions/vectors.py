@@ -32,9 +32,17 @@ def norm(a: Column) -> Column:
 
 
 def normalise(a: Column) -> Column:
-    """Unit vector as array<float>; a zero vector stays zero."""
-    length = norm(a)
-    return F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0).cast("float"))
+    """Unit vector as array<float>; a zero vector stays zero.
+
+    The length is bound to a lambda variable, so it is computed once per row.
+    """
+    scaled = F.transform(
+        F.array(norm(a)),
+        lambda length: F.transform(
+            a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0).cast("float")
+        ),
+    )
+    return F.get(scaled, F.lit(0))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -19,7 +19,8 @@ def read_order() -> list[Column]:
 
 
 def _any_case(suffix: str) -> str:
-    return "*." + "".join(f"[{c}{c.upper()}]" for c in suffix)
+    letters = "".join(f"[{c}{c.upper()}]" for c in suffix)
+    return f"*.{letters}"
 
 
 def _with_read_order(df: DataFrame) -> DataFrame:
@@ -37,11 +38,14 @@ def _with_read_order(df: DataFrame) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
-    """``path, suffix, bytes, modified`` of every file below ``root``; contents stay unread."""
+    """``path, suffix, bytes, modified`` of every file below ``root``; contents stay unread.
+
+    Spark names JSON lines ``.json``; they count as ``jsonl``.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return files.select(
         "path",
-        F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("suffix"),
+        F.regexp_replace(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)), "^json$", "jsonl").alias("suffix"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
     )
@@ -49,18 +53,14 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON lines with the given columns as text. No inference pass; absent ones are null."""
-    return (
-        spark.read.schema(schemas.text_schema(columns))
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _any_case("jsonl"))
-        .json(path)
-    )
+    return _with_read_order(_scan_suffix(spark, path, "jsonl", columns, None))
 
 
 def _scan_suffix(spark: SparkSession, root: str, suffix: str, columns: list[str] | None, paths: list[str] | None):
     reader = spark.read.option("recursiveFileLookup", True)
     if paths is None:
-        reader = reader.option("pathGlobFilter", _any_case(suffix))
+        glob = "*.[jJ][sS][oO][nN]{,[lL]}" if suffix == "jsonl" else _any_case(suffix)
+        reader = reader.option("pathGlobFilter", glob)
     target = paths or root
     if suffix == "jsonl":
         if columns:
