@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from newsflow.catalog import scalars, tables, texts  # noqa: F401
+from newsflow.catalog import landing, scalars, tables, texts  # noqa: F401
 from newsflow.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -39,7 +39,7 @@ ARTICLES = StructType(
 EMBEDDINGS = StructType(
     [
         _text("article_id", True),
-        StructField("text_embedding", ArrayType(FloatType(), False)),
+        StructField("text_embedding", ArrayType(FloatType())),
         _text("model_name", True),
         StructField("updated_at", TimestampType(), False),
     ]
@@ -78,7 +78,7 @@ LEGACY_ARTICLES = StructType(
         _text("origin", True),
         _text("language"),
         _text("hash", True),
-        StructField("embedding", ArrayType(FloatType(), False)),
+        StructField("embedding", ArrayType(FloatType())),
     ]
 )
 

@@ -36,8 +36,8 @@ def _documents(spark: SparkSession, path: str, row_tag: str, schema: str) -> Dat
 
 
 def _feed_name(file: str = "_metadata.file_name"):
-    """A feed is landed as ``<url-encoded feed address>.xml``."""
-    return F.try_url_decode(F.regexp_replace(F.col(file), r"\.xml$", ""))
+    """A feed is landed as ``<url-encoded feed address>.xml``; Spark encodes file names once more."""
+    return F.try_url_decode(F.try_url_decode(F.regexp_replace(F.col(file), r"\.xml$", "")))
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
