@@ -89,7 +89,9 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     """Add title, date, author and text of a page.
 
     The text is that of the article block, with one line per block element.
-    Each step is a column of its own, so that Spark computes it once.
+    Each step is a column of its own, so that Spark computes it once. For the
+    same reason the results pass through a generator: a filter on them is not
+    copied below it, which would extract every page twice.
     """
     body = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->", "")
     for tag in _DROPPED:
@@ -102,16 +104,14 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     plain = F.regexp_replace(lines, r"(?s)<[^>]*>", "")
     spaced = F.regexp_replace(unescape(F.col("_plain")), r"[ \t\r]+", " ")
     spaced = F.regexp_replace(spaced, r" ?\n[ \n]*", "\n")
-    return (
-        df.withColumn("title", page_title(F.col(html)))
-        .withColumn("date", page_date(F.col(html)))
-        .withColumn("author", page_author(F.col(html)))
-        .withColumn("_body", body)
-        .withColumn("_block", block)
-        .withColumn("_plain", plain)
-        .withColumn("text", F.nullif(strip(spaced), F.lit("")))
-        .drop("_body", "_block", "_plain")
+    steps = df.withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
+    extracted = F.struct(
+        page_title(F.col(html)).alias("title"),
+        page_date(F.col(html)).alias("date"),
+        page_author(F.col(html)).alias("author"),
+        F.nullif(strip(spaced), F.lit("")).alias("text"),
     )
+    return steps.select(*df.columns, F.inline(F.array(extracted)))
 
 
 EXTRACTED = "title string, date string, author string, text string"

@@ -104,7 +104,8 @@ def mark_entries(
     """Clean the links and say which check each entry fails, or ``candidate``.
 
     A link must belong to the publisher of its feed; for feeds served by a
-    proxy host, to the allow-list.
+    proxy host, to the allow-list. The stage passes through a generator, so a
+    filter on it is not copied below, where all checks would run twice.
     """
     hosts = (
         with_expected_domains(entries, groups)
@@ -118,13 +119,13 @@ def mark_entries(
         .when(F.col("feed_host").isin(*proxies), host_in_allow_list(host, allowed))
         .otherwise(link_matches(host, F.col("_registered"), F.col("expected")))
     )
-    return hosts.withColumn(
-        "entry_stage",
+    stage = (
         F.when(~is_filled(F.col("url")), "no_link")
         .when(~is_article_url(F.col("url"), denied), "url_filtered_out")
         .when(~publisher, "domain_filtered_out")
-        .otherwise("candidate"),
-    ).drop("_host", "_registered", "feed_host", "expected")
+        .otherwise("candidate")
+    )
+    return hosts.select(*entries.columns, "url", F.explode(F.array(stage)).alias("entry_stage"))
 
 
 def candidates(marked: DataFrame) -> DataFrame:
