@@ -159,7 +159,7 @@ SELECT CAST(doc_id AS VARCHAR) AS article_id, CAST(place AS INTEGER) AS place, r
 )
 def hashed_embeddings(spark, d):
     docs = I.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("article_id"), "text")
-    vectors = embed_texts(docs).select("article_id", F.posexplode("text_embedding").alias("place", "value"))
+    vectors = embed_texts(docs).select("article_id", F.posexplode_outer("text_embedding").alias("place", "value"))
     return vectors.where("value <> 0").withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from newsflow import settings
 from newsflow.functions.text import safe_text
 from newsflow.functions.vectors import normalise
+from newsflow.session import spread_small
 
 _SPACE = re.compile(r"[ \t\r\n]+")
 
@@ -66,7 +67,7 @@ def embed_texts(
     encode = predict_batch_udf(
         make_encoder or hashed_tokens(dim), return_type=ArrayType(FloatType()), batch_size=batch_size
     )
-    encoded = work_set.select("article_id", encode(safe_text(F.col("text"))).alias("_raw"))
+    encoded = spread_small(work_set).select("article_id", encode(safe_text(F.col("text"))).alias("_raw"))
     checked = F.when(F.size("_raw") == dim, F.col("_raw")).otherwise(
         F.raise_error(F.concat(F.lit(f"expected {dim} dimensions, got "), F.size("_raw").cast("string")))
     )

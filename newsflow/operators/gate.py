@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsflow import settings
 from newsflow.functions.text import in_languages, is_filled, strip
 from newsflow.functions.urls import in_allow_list_loose, is_article_url
+from newsflow.session import spread_small
 
 # Elements whose content is never part of an article.
 _DROPPED = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "iframe", "svg")
@@ -104,7 +105,7 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     plain = F.regexp_replace(lines, r"(?s)<[^>]*>", "")
     spaced = F.regexp_replace(unescape(F.col("_plain")), r"[ \t\r]+", " ")
     spaced = F.regexp_replace(spaced, r" ?\n[ \n]*", "\n")
-    steps = df.withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
+    steps = spread_small(df).withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
     extracted = F.struct(
         page_title(F.col(html)).alias("title"),
         page_date(F.col(html)).alias("date"),

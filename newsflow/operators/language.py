@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.session import broadcast_if_small
+from newsflow.session import broadcast_if_small, spread_small
 
 MAX_BROADCAST_MODEL = 2_000_000  # rows of about 50 bytes
 
 
 def ngrams(text: Column, n: int = 3) -> Column:
-    """All overlapping character n-grams of a lowered text with single blanks around words."""
+    """All overlapping character n-grams of a lowered text with single blanks around words.
+
+    Explode them with ``explode_outer``: for ``explode`` Spark infers a filter
+    on the array's size, which computes the array a second time.
+    """
     words = F.concat(F.lit(" "), F.array_join(F.split(F.lower(text), r"[ \t\r\n]+"), " "), F.lit(" "))
     return F.regexp_extract_all(words, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
@@ -27,7 +31,8 @@ def train_language_model(labelled: DataFrame, n: int = 3, min_count: int = 1) ->
     that a text only needs its known n-grams to be looked up.
     """
     counts = (
-        labelled.select("lang", F.explode(ngrams(F.col("text"), n)).alias("ngram"))
+        spread_small(labelled.select("lang", "text")).select("lang", F.explode_outer(ngrams(F.col("text"), n)).alias("ngram"))
+        .where("ngram IS NOT NULL")
         .groupBy("lang", "ngram")
         .count()
         .where(F.col("count") >= min_count)
@@ -57,9 +62,9 @@ def score_languages(texts: DataFrame, model: DataFrame, key: str = "doc_id", n:
     inside the task holding the text, so with a broadcast model only a few
     rows per text are shuffled.
     """
-    grams = texts.select(key, ngrams(F.col("text"), n).alias("_grams"))
+    grams = spread_small(texts.select(key, "text")).select(key, ngrams(F.col("text"), n).alias("_grams"))
     rows = grams.select(
-        key, F.size("_grams").alias("_size"), F.explode(F.array_append("_grams", F.lit(""))).alias("ngram")
+        key, F.size("_grams").alias("_size"), F.explode_outer(F.array_append("_grams", F.lit(""))).alias("ngram")
     )
     contribution = F.col("weight") + F.coalesce(F.col("_size") * F.col("unseen"), F.lit(0.0))
     return (

@@ -38,9 +38,9 @@ def refresh_embeddings(
     if max_rows is not None:
         work = worksets.newest_first(work, max_rows)
     path = work_dir(spark, "embeddings")
-    # Texts differ much in length, and a selection of the newest is one partition.
-    spread = work.repartition("article_id")
-    embed_texts(spread, model, make_encoder, dim, batch_size).write.parquet(path)
+    if max_rows is not None:
+        work = work.repartition("article_id")  # a selection of the newest is one partition
+    embed_texts(work, model, make_encoder, dim, batch_size).write.parquet(path)
     fresh = spark.read.parquet(path)
     backlog = worksets.embedding_backlog(articles.select("article_id"), stored).count()
     processed = fresh.count()

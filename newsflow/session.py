@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
+from weakref import WeakSet
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+_SHIPPED: WeakSet[SparkContext] = WeakSet()
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the only setting results depend on: timestamps are read and shown in UTC."""
+    """Make a session ready: timestamps in UTC, and the package on all executors."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context = spark.sparkContext
+    if context not in _SHIPPED:
+        folder = Path(__file__).resolve().parent
+        target = tempfile.mkdtemp(prefix="newsflow-package-")  # Spark sends it on from here
+        context.addPyFile(shutil.make_archive(f"{target}/newsflow", "zip", folder.parent, folder.name))
+        _SHIPPED.add(context)
     return spark
 
 
@@ -50,3 +62,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
+
+
+def spread_small(df: DataFrame, bytes_per_task: int = 64 << 20) -> DataFrame:
+    """Deal a small input out to all cores before work that costs much per row.
+
+    A few files make a few splits, so most cores would idle. A large input has
+    splits enough and is left where it is, without a shuffle.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size <= cores * bytes_per_task else df
