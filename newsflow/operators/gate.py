@@ -57,12 +57,11 @@ def unescape(text: Column) -> Column:
 
 def _meta(html: Column, name: str) -> Column:
     pattern = rf"(?is)<meta\s+(?:name|property|itemprop)=[\"']{name}[\"']\s+content=[\"']([^\"']*)[\"']"
-    return F.nullif(unescape(strip(F.regexp_extract(html, pattern, 1))), F.lit(""))
+    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
-def page_title(html: Column) -> Column:
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return F.nullif(strip(F.regexp_replace(unescape(title), r"[ \t\r\n]+", " ")), F.lit(""))
+def raw_title(html: Column) -> Column:
+    return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
 def page_lang(html: Column) -> Column:
@@ -71,7 +70,7 @@ def page_lang(html: Column) -> Column:
     return F.nullif(F.lower(lang), F.lit(""))
 
 
-def page_author(html: Column) -> Column:
+def raw_author(html: Column) -> Column:
     return F.coalesce(_meta(html, "author"), _meta(html, "article:author"))
 
 
@@ -103,16 +102,19 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     block = F.coalesce(inner("article"), inner("main"), inner("body"), F.col("_body"))
     lines = F.regexp_replace("_block", rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n")
     plain = F.regexp_replace(lines, r"(?s)<[^>]*>", "")
-    spaced = F.regexp_replace(unescape(F.col("_plain")), r"[ \t\r]+", " ")
-    spaced = F.regexp_replace(spaced, r" ?\n[ \n]*", "\n")
-    steps = spread_small(df).withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
+    # One expression decodes all three texts.
+    decoded = F.transform(F.array(raw_title(F.col(html)), raw_author(F.col(html)), F.col("_plain")), unescape)
+    title, author, text = (F.col("_decoded")[n] for n in range(3))
+    spaced = F.regexp_replace(F.regexp_replace(text, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n")
+    filled = lambda c: F.nullif(strip(c), F.lit(""))
     extracted = F.struct(
-        page_title(F.col(html)).alias("title"),
+        filled(F.regexp_replace(title, r"[ \t\r\n]+", " ")).alias("title"),
         page_date(F.col(html)).alias("date"),
-        page_author(F.col(html)).alias("author"),
-        F.nullif(strip(spaced), F.lit("")).alias("text"),
+        filled(author).alias("author"),
+        filled(spaced).alias("text"),
     )
-    return steps.select(*df.columns, F.inline(F.array(extracted)))
+    steps = spread_small(df).withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
+    return steps.withColumn("_decoded", decoded).select(*df.columns, F.inline(F.array(extracted)))
 
 
 EXTRACTED = "title string, date string, author string, text string"
