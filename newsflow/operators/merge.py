@@ -1,8 +1,9 @@
 """Merges into a table that has no MERGE of its own.
 
 Each merge returns the rows to append or the new state as a DataFrame. The
-stored side is only touched by an anti-join on its key column, so a small
-batch is broadcast by Spark and the stored table is never shuffled.
+stored side is only touched by an anti-join on its key column: Spark broadcasts
+the keys of a batch read from small files, and the stored table stays in place;
+a large batch is joined by a shuffle of keys.
 """
 
 from __future__ import annotations

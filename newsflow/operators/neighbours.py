@@ -33,6 +33,12 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return matrix / np.where(lengths > 0, lengths, 1.0)
 
 
+def _found(ids: np.ndarray, partners: np.ndarray, similarity: np.ndarray) -> pd.DataFrame:
+    """Result rows. Text keys stay plain objects, which Arrow takes in one piece."""
+    plain = lambda a: pd.Series(a, dtype=object if a.dtype == object else a.dtype)
+    return pd.DataFrame({"id": plain(ids), "partner": plain(partners), "similarity": similarity})
+
+
 def _best(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
     """Best partner in ``block`` for each of ``rows``; ties go to the smallest id."""
     block = block.sort_values("id")
@@ -46,7 +52,7 @@ def _best(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
     best = similarity.argmax(axis=1)
     found = similarity[np.arange(len(rows)), best]
     kept = np.isfinite(found)
-    return pd.DataFrame({"id": own[kept], "partner": ids[best[kept]], "similarity": found[kept]})
+    return _found(own[kept], ids[best[kept]], found[kept])
 
 
 def nearest_neighbours(
@@ -156,7 +162,8 @@ def nearest_neighbours(
 
     def search(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(block):
-            return pd.DataFrame({"id": [], "partner": [], "similarity": []})
+            none = np.array([], dtype=object)
+            return _found(none, none, np.array([], dtype=np.float64))
         return _best(rows, block)
 
     groups = ["cell", "block", "chunk"]

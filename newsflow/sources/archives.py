@@ -44,15 +44,18 @@ def filesystem_of(path: str):
 
 def _members(raw) -> Iterator[bytes]:
     """Inflated chunks of a file of concatenated gzip members."""
-    inflater = zlib.decompressobj(31)
+    inflater, inside = zlib.decompressobj(31), False
     while chunk := raw.read(1 << 20):
         while chunk:
             yield inflater.decompress(chunk, 8 << 20)
-            if inflater.eof:
-                chunk, inflater = inflater.unused_data, zlib.decompressobj(31)
-            else:
+            inside = not inflater.eof
+            if inside:
                 chunk = inflater.unconsumed_tail
+            else:
+                chunk, inflater = inflater.unused_data, zlib.decompressobj(31)
     yield inflater.flush()
+    if inside:
+        raise EOFError("archive ends inside a gzip member")
 
 
 class _Chunks(io.RawIOBase):

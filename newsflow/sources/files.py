@@ -53,24 +53,24 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON lines with the given columns as text. No inference pass; absent ones are null."""
-    return _with_read_order(_scan_suffix(spark, path, "jsonl", columns, None))
+    return _with_read_order(_scan_suffix(spark, path, "jsonl", columns))
 
 
-def _scan_suffix(spark: SparkSession, root: str, suffix: str, columns: list[str] | None, paths: list[str] | None):
-    reader = spark.read.option("recursiveFileLookup", True)
-    if paths is None:
-        glob = "*.[jJ][sS][oO][nN]{,[lL]}" if suffix == "jsonl" else _any_case(suffix)
-        reader = reader.option("pathGlobFilter", glob)
-    target = paths or root
+def _scan_suffix(spark: SparkSession, root: str, suffix: str, columns: list[str] | None) -> DataFrame:
+    glob = "*.[jJ][sS][oO][nN]{,[lL]}" if suffix == "jsonl" else _any_case(suffix)
+    settings = {"recursiveFileLookup": True, "pathGlobFilter": glob}
+    reader = spark.read.options(**settings)
     if suffix == "jsonl":
         if columns:
             reader = reader.schema(schemas.text_schema(columns))
-        return reader.json(target)
+        return reader.json(root)
     if suffix == "csv":
         # Only header lines are read to find the columns; all values are text.
         options = {"header": True, "mode": "DROPMALFORMED", "multiLine": True, "escape": '"'}
-        return reader.options(**options).csv(target)
-    return reader.option("mergeSchema", True).parquet(target)
+        return reader.options(**options).csv(root)
+    # A scan skips empty files, but the schema pass would stumble over them.
+    lenient = spark.read.options(**settings, mergeSchema=True, ignoreCorruptFiles=True)
+    return reader.schema(lenient.parquet(root).schema).parquet(root)
 
 
 def scan_tree(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
@@ -82,22 +82,12 @@ def scan_tree(spark: SparkSession, root: str, columns: list[str] | None = None)
     lineage columns of ``READ_ORDER`` are added. An empty tree gives no rows.
     """
     files = file_listing(spark, root).where(F.col("suffix").isin(*_SUFFIXES))
-    found = {
-        r["suffix"]: r
-        for r in files.groupBy("suffix")
-        .agg(F.count_if(F.col("bytes") > 0).alias("filled"), F.count_if(F.col("bytes") == 0).alias("empty"))
-        .collect()
-    }
+    found = {r["suffix"] for r in files.where("bytes > 0").select("suffix").distinct().collect()}
     parts = []
     for suffix in _SUFFIXES:
-        if suffix not in found or found[suffix]["filled"] == 0:
+        if suffix not in found:
             continue
-        paths = None
-        if suffix == "parquet" and found[suffix]["empty"]:
-            # An empty file is no parquet file; the reader must not meet it.
-            filled = files.where((F.col("suffix") == suffix) & (F.col("bytes") > 0))
-            paths = [r["path"] for r in filled.select("path").collect()]
-        part = _with_read_order(_scan_suffix(spark, root, suffix, columns, paths))
+        part = _with_read_order(_scan_suffix(spark, root, suffix, columns))
         if columns:
             present = set(part.columns)
             part = part.select(
