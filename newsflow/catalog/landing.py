@@ -356,7 +356,7 @@ def embedding_refresh_run(spark, d):
     articles = I.articles(spark, d)
     for shard in range(2):
         embedding_refresh.refresh_embeddings(spark, articles, root, shard=shard, shards=2)
-    state = tables.read_snapshot(spark, root, schemas.EMBEDDINGS)
+    state = tables.read_table(spark, root, schemas.EMBEDDINGS)
     return state.select("article_id", "model_name", F.size("text_embedding").alias("dims"))
 
 
@@ -428,5 +428,5 @@ def stream_embeds(spark, d):
         embedding_refresh.refresh_embeddings(session, stored, f"{root}/vectors")
 
     streams.load_stream(source, f"{root}/articles", f"{root}/checkpoint", embed).awaitTermination()
-    state = tables.read_snapshot(spark, f"{root}/vectors", schemas.EMBEDDINGS)
+    state = tables.read_table(spark, f"{root}/vectors", schemas.EMBEDDINGS)
     return state.select("article_id", F.size("text_embedding").alias("dims"))

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from newsflow import schemas, settings
 from newsflow.operators import worksets
 from newsflow.operators.embed import embed_texts
-from newsflow.operators.merge import upsert_latest
 from newsflow.operators.neighbours import nearest_neighbours, with_titles
-from newsflow.session import work_dir
 from newsflow.sources import tables
 
 
@@ -27,24 +25,23 @@ def refresh_embeddings(
     shard: int = 0,
     shards: int = 1,
 ) -> dict[str, int]:
-    """Embed one shard of the backlog and publish the new state of the store.
+    """Embed one shard of the backlog into the store.
 
     Tasks take the place of the batch loop. ``max_rows`` takes the newest
-    articles first. The vectors are written before they are merged, so a lost
-    executor does not repeat the encoding.
+    articles first. The backlog holds only articles the store lacks, so its
+    vectors are appended and nothing stored is rewritten; shards may run at
+    the same time. To replace vectors, publish ``upsert_latest`` instead.
     """
-    stored = tables.read_snapshot(spark, store, schemas.EMBEDDINGS)
+    stored = tables.read_table(spark, store, schemas.EMBEDDINGS)
     work = worksets.embedding_work_set(articles, stored, model, shard, shards)
     if max_rows is not None:
-        work = worksets.newest_first(work, max_rows)
-    path = work_dir(spark, "embeddings")
-    if max_rows is not None:
-        work = work.repartition("article_id")  # a selection of the newest is one partition
-    embed_texts(work, model, make_encoder, dim, batch_size).write.parquet(path)
-    fresh = spark.read.parquet(path)
+        # A selection of the newest is one partition; spread it again.
+        work = worksets.newest_first(work, max_rows).repartition("article_id")
+    done = Observation()
+    fresh = embed_texts(work, model, make_encoder, dim, batch_size).observe(done, F.count("*").alias("n"))
     backlog = worksets.embedding_backlog(articles.select("article_id"), stored).count()
-    processed = fresh.count()
-    tables.publish_snapshot(upsert_latest(stored, fresh, [F.desc("updated_at")]), store, schemas.EMBEDDINGS)
+    tables.append_rows(fresh, store, schemas.EMBEDDINGS)
+    processed = done.get["n"]
     return {
         "processed": processed,
         "upserted": processed,

@@ -11,8 +11,11 @@ from newsflow.functions.urls import domain_from_url
 from newsflow.operators import gate, unify
 from newsflow.operators.dedup import first_per_key
 from newsflow.operators.merge import absent_rows
+from newsflow.session import broadcast_if_small, materialise
 from newsflow.sources import feeds, tables
 
+MAX_BROADCAST_LINKS = 500_000  # rows of about 300 bytes
+
 
 def new_candidates(entries: DataFrame, stored: DataFrame, **lists) -> DataFrame:
     """Links of the feeds that are allowed and not stored yet, once per link."""
@@ -27,8 +30,12 @@ def feed_lines(
     langs: tuple[str, ...] = settings.ALLOWED_LANGS,
     min_chars: int = settings.MIN_TEXT_CHARS,
 ) -> DataFrame:
-    """Landing lines of the links whose page (``url, html``) passes the gate."""
-    fetched = links.join(pages.select("url", "html"), "url")
+    """Landing lines of the links whose page (``url, html``) passes the gate.
+
+    A cycle has few new links and the page table is large: below a counted
+    bound the links are broadcast, so that no page is shuffled.
+    """
+    fetched = pages.select("url", "html").join(broadcast_if_small(links, MAX_BROADCAST_LINKS), "url")
     page = gate.extract_pages(fetched).withColumn("lang", gate.page_lang(F.col("html")))
     outcome = gate.gate_outcome(
         gate.is_filled(F.col("text")), F.lit(False), F.col("text"), F.col("lang"), langs, min_chars
@@ -68,7 +75,8 @@ def cycle_counters(entries: DataFrame, stored: DataFrame, **lists) -> DataFrame:
 def run_cycle(spark: SparkSession, entries: DataFrame, pages: DataFrame, landing: str, articles: str) -> dict[str, int]:
     """Land the new articles of the feeds and merge all landed lines."""
     stored = tables.read_table(spark, articles, schemas.ARTICLES)
-    tables.land_articles(feed_lines(new_candidates(entries, stored), pages), landing)
+    links = materialise(new_candidates(entries, stored))
+    tables.land_articles(feed_lines(links, pages), landing)
     return load_landed(spark, landing, articles)
 
 

@@ -83,6 +83,11 @@ def append_if_absent(
     return {"rows_in_df": offered.get["n"], "inserted_estimate": written.get["n"]}
 
 
+def append_rows(df: DataFrame, path: str, schema: StructType) -> None:
+    """Append rows whose keys are known to be new. Jobs over disjoint keys may do so at once."""
+    schemas.align(df, schema).write.mode("append").parquet(path)
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Complete snapshots below ``root``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
