@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.session import broadcast_if_small, spread_small
+from newsflow.session import broadcast_if_small, materialise, spread_small
 
 MAX_BROADCAST_MODEL = 2_000_000  # rows of about 50 bytes
 
@@ -55,31 +55,32 @@ def train_language_model(labelled: DataFrame, n: int = 3, min_count: int = 1) ->
 
 
 def score_languages(texts: DataFrame, model: DataFrame, key: str = "doc_id", n: int = 3) -> DataFrame:
-    """Score of every language per text.
+    """``key`` and ``scores``, an array of language and score for every text.
 
-    Each text brings the empty n-gram along, which meets the base row of every
-    language. The join is followed by a sum per text and language that starts
-    inside the task holding the text, so with a broadcast model only a few
-    rows per text are shuffled.
+    The model is turned to one row per n-gram with a weight per language, so
+    each n-gram of a text meets one row. The sums per text start inside the
+    task that holds it: with a broadcast model, one row per text is shuffled.
     """
-    grams = spread_small(texts.select(key, "text")).select(key, ngrams(F.col("text"), n).alias("_grams"))
-    rows = grams.select(
-        key, F.size("_grams").alias("_size"), F.explode_outer(F.array_append("_grams", F.lit(""))).alias("ngram")
+    base = model.where("ngram = ''").orderBy("lang").collect()  # one row per language
+    weights = [f"_w{i}" for i in range(len(base))]
+    wide = (
+        model.where("ngram <> ''")
+        .groupBy("ngram")
+        .agg(*[F.max(F.when(F.col("lang") == r["lang"], F.col("weight"))).alias(w) for w, r in zip(weights, base)])
     )
-    contribution = F.col("weight") + F.coalesce(F.col("_size") * F.col("unseen"), F.lit(0.0))
-    return (
-        rows.join(broadcast_if_small(model, MAX_BROADCAST_MODEL), "ngram")
-        .groupBy(key, "lang")
-        .agg(F.sum(contribution).alias("score"))
+    grams = spread_small(texts.select(key, "text")).select(key, ngrams(F.col("text"), n).alias("_grams"))
+    rows = grams.select(key, F.size("_grams").alias("_size"), F.explode_outer("_grams").alias("ngram"))
+    sums = (
+        rows.join(broadcast_if_small(materialise(wide), MAX_BROADCAST_MODEL), "ngram", "left")
+        .groupBy(key)
+        .agg(F.max("_size").alias("_size"), *[F.coalesce(F.sum(w), F.lit(0.0)).alias(w) for w in weights])
     )
+    score = lambda w, r: F.col(w) + F.col("_size") * F.lit(r["unseen"]) + F.lit(r["weight"])
+    scores = [F.struct(F.lit(r["lang"]).alias("lang"), score(w, r).alias("score")) for w, r in zip(weights, base)]
+    return sums.select(key, F.array(*scores).alias("scores"))
 
 
 def detect_language(texts: DataFrame, model: DataFrame, key: str = "doc_id", n: int = 3) -> DataFrame:
     """Best language per text. Equal scores go to the first code in the alphabet."""
-    ranked = F.struct((-F.round("score", 6)).alias("cost"), F.col("lang"))
-    return (
-        score_languages(texts, model, key, n)
-        .groupBy(key)
-        .agg(F.min(ranked).alias("best"))
-        .select(key, F.col("best.lang").alias("detected_lang"))
-    )
+    ranked = F.transform("scores", lambda s: F.struct((-F.round(s["score"], 6)).alias("cost"), s["lang"].alias("lang")))
+    return score_languages(texts, model, key, n).select(key, F.array_min(ranked)["lang"].alias("detected_lang"))

@@ -12,7 +12,7 @@ from newsflow.operators import gate, ledger, unify
 from newsflow.operators.dedup import first_n_per_key, first_per_key
 from newsflow.operators.language import detect_language
 from newsflow.operators.merge import absent_rows, apply_status_updates, upsert_latest
-from newsflow.session import work_dir
+from newsflow.session import materialise, work_dir
 from newsflow.sources import tables
 from newsflow.sources.archives import decode_payload, read_archives
 
@@ -41,6 +41,15 @@ class Backfill:
     order: list = field(default_factory=list)
 
 
+def _with_detected_language(page: DataFrame, model: DataFrame) -> DataFrame:
+    sample = gate.language_sample(F.col("title"), F.col("text"))
+    key = F.struct("warc_path", "record_no").alias("key")
+    samples = page.where(gate.is_filled(F.col("text"))).select(key, sample.alias("text"))
+    found = detect_language(samples, model, "key")
+    found = found.select("key.warc_path", "key.record_no", F.col("detected_lang").alias("lang"))
+    return page.join(found, ["warc_path", "record_no"], "left")
+
+
 def staged_records(records: DataFrame, job: Backfill, language_model: DataFrame | None = None) -> DataFrame:
     """Every record with the stage it reached and, where it was extracted, its outcome and text.
 
@@ -53,12 +62,7 @@ def staged_records(records: DataFrame, job: Backfill, language_model: DataFrame
     if language_model is None:
         page = page.withColumn("lang", gate.page_lang(F.col("html")))
     else:
-        sample = gate.language_sample(F.col("title"), F.col("text"))
-        samples = page.where(gate.is_filled(F.col("text"))).select("warc_path", "record_no", sample.alias("text"))
-        keyed = samples.withColumn("_key", F.struct("warc_path", "record_no")).select("_key", "text")
-        found = detect_language(keyed, language_model, "_key")
-        found = found.select("_key.warc_path", "_key.record_no", F.col("detected_lang").alias("lang"))
-        page = page.join(found, ["warc_path", "record_no"], "left")
+        page = _with_detected_language(materialise(page.drop("html")), language_model)
     outcome = gate.gate_outcome(
         gate.is_filled(F.col("text")), F.lit(False), F.col("text"), F.col("lang"), job.langs, job.min_text_chars
     )

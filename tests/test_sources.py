@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.catalog.landing import write_archives
+from newsflow.operators.gate import page_lang
+from newsflow.operators.language import train_language_model
 from newsflow.plans import backfill
+from newsflow.session import materialise
 from newsflow.sources import archives, feeds, files, tables
 
 
@@ -87,6 +90,22 @@ def test_a_broken_archive_fails_alone_and_is_retried(spark, tmp_path):
     assert months.agg(F.sum("total_warcs"), F.sum("done_warcs"), F.sum("failed_warcs")).first() == (len(paths), len(paths), 0)
 
 
+def test_backfill_with_a_language_model(spark, tmp_path):
+    folder, root = "/root/testdata/sf0.001", str(tmp_path / "archives")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text")
+    manifest = write_archives(spark, folder, root)
+    job = backfill.Backfill(
+        archive_root=root, landing=str(tmp_path / "landing"), articles=str(tmp_path / "articles"),
+        archive_ledger=str(tmp_path / "ledger"), month_ledger=str(tmp_path / "months"), allowed=(),
+        langs=("en", "fr", "de", "es"), max_rows_per_archive=1500,
+    )
+    backfill.run_backfill(spark, manifest, job, materialise(train_language_model(docs))).collect()
+    stored = tables.read_table(spark, job.articles, schemas.ARTICLES).select("url", "lang")
+    marked = spark.read.parquet(f"{folder}/pages.parquet").select("url", page_lang(F.col("html")).alias("mark"))
+    rows = stored.join(marked, "url").collect()
+    assert rows and sum(r.lang == r.mark for r in rows) >= 0.9 * len(rows)
+
+
 def test_feed_documents(spark, tmp_path):
     rss = "<rss><channel><title>T</title><item><title> a </title><link> http://x.example.com/1 </link><pubDate>Mon, 20 Nov 1995 19:12:08 GMT</pubDate></item><item><link></link></item></channel></rss>"
     put(tmp_path / "https%3A%2F%2Fx.example.com%2Frss.xml", rss)
