@@ -32,9 +32,13 @@ def unique_urls(df: DataFrame, by: str = "domain", approximate: bool = False) ->
 
 
 def domain_shares(counts: DataFrame) -> DataFrame:
-    """Share and cumulative share of every domain, largest first, ties by name."""
+    """Share and cumulative share of every domain, largest first, ties by name.
+
+    The total is taken from the ranked counts, which are stored by then, so
+    the articles are read once.
+    """
     ranked = running_total(counts, [F.desc("unique_urls"), F.asc("domain")], "unique_urls", "cum_urls")
-    total = counts.agg(F.sum("unique_urls").alias("total_urls"))  # one row
+    total = ranked.agg(F.sum("unique_urls").alias("total_urls"))  # one row
     return ranked.join(F.broadcast(total)).select(
         "domain",
         "unique_urls",

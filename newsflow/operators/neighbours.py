@@ -15,9 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from newsflow.functions.vectors import cosine
 from newsflow.session import materialise
 
 BLOCK_ROWS = 4096
@@ -68,17 +67,35 @@ def nearest_neighbours(
     the smallest key. Keys must be unique. The number of pivots is at most
     ``MAX_PIVOTS``; they and one row of limits per cell are all that is
     broadcast.
+
+    Of equal vectors only the two smallest keys take part in the search: no
+    other copy can be the smallest of a tie, and its own answer is that of
+    the second copy. So a vector with very many copies costs nothing.
     """
-    spark = vectors.sparkSession
-    key_type = vectors.schema[key].dataType.simpleString()
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("vector"))
-    if pivots is None:
-        pivots = max(1, int(vectors.count() ** 0.5))
+    copy = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    kept = materialise(rows.withColumn("copy", copy).where("copy <= 2"))
+    kept_rows, all_rows = kept.count(), rows.count()
+    found = _pivot_join(kept.drop("copy"), pivots or max(1, int(kept_rows**0.5)), block_rows)
+    if kept_rows < all_rows:
+        found = materialise(found)
+        answers = kept.where("copy = 2").join(found, "id").select("vector", "partner", "similarity")
+        further = rows.join(kept.select("id"), "id", "left_anti").join(answers, "vector")
+        found = found.unionByName(further.select("id", "partner", "similarity"))
+    return found.select(
+        F.col("id").alias(key),
+        F.col("partner").alias(f"closest_{key}"),
+        F.col("similarity").alias("closest_similarity"),
+    )
+
+
+def _pivot_join(rows: DataFrame, pivots: int, block_rows: int) -> DataFrame:
+    """``id, partner, similarity`` of the nearest other row for ``id, vector``."""
+    spark = rows.sparkSession
+    key_type = rows.schema["id"].dataType.simpleString()
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(min(pivots, MAX_PIVOTS)).select("vector").collect()
     if not chosen:
-        return vectors.select(
-            key, F.col(key).alias(f"closest_{key}"), F.lit(None).cast("double").alias("closest_similarity")
-        ).where("false")
+        return spark.createDataFrame([], f"id {key_type}, partner {key_type}, similarity double")
     centres = spark.sparkContext.broadcast(_unit_rows(pd.Series([np.array(r["vector"]) for r in chosen])))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,11 +191,7 @@ def nearest_neighbours(
         .groupBy("id")
         .agg(F.min(F.struct((-F.col("similarity")).alias("distance"), F.col("partner"))).alias("best"))
     )
-    return best.select(
-        F.col("id").alias(key),
-        F.col("best.partner").alias(f"closest_{key}"),
-        (-F.col("best.distance")).alias("closest_similarity"),
-    )
+    return best.select("id", "best.partner", (-F.col("best.distance")).alias("similarity"))
 
 
 def with_titles(closest: DataFrame, articles: DataFrame, key: str = "article_id") -> DataFrame:
@@ -190,14 +203,3 @@ def with_titles(closest: DataFrame, articles: DataFrame, key: str = "article_id"
     own = closest.join(articles.select(key, "title", "text"), key, "left")
     other = articles.select(F.col(key).alias(f"closest_{key}"), F.col("title").alias("closest_title"))
     return own.join(other, f"closest_{key}", "left")
-
-
-def pair_similarity(pairs: DataFrame, vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """Cosine of given pairs ``left_id, right_id``."""
-    left = vectors.select(F.col(key).alias("left_id"), F.col(vector).alias("_left"))
-    right = vectors.select(F.col(key).alias("right_id"), F.col(vector).alias("_right"))
-    return (
-        pairs.join(left, "left_id")
-        .join(right, "right_id")
-        .select("left_id", "right_id", cosine(F.col("_left"), F.col("_right")).alias("similarity"))
-    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from newsflow import settings
 from newsflow.functions.text import embedding_input, percent
@@ -43,12 +43,13 @@ def backlog_shares(articles: DataFrame, embeddings: DataFrame, shards: int) -> D
     counts = backlog.groupBy(shard_of(F.col("article_id"), shards).cast("int").alias("shard_id")).agg(
         F.count("*").alias("shard_rows")
     )
-    every = df_range(backlog, shards)
+    every = backlog.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard_id"))
     filled = every.join(F.broadcast(counts), "shard_id", "left").select(
         "shard_id", F.coalesce("shard_rows", F.lit(0)).alias("shard_rows")
     )
-    total = counts.agg(F.coalesce(F.sum("shard_rows"), F.lit(0)).alias("total_rows"))
-    return filled.join(F.broadcast(total)).select(
+    # One row per shard, so the total may come from a window.
+    total = F.sum("shard_rows").over(Window.partitionBy(F.lit(0)))
+    return filled.withColumn("total_rows", total).select(
         "shard_id",
         "shard_rows",
         "total_rows",
@@ -56,10 +57,6 @@ def backlog_shares(articles: DataFrame, embeddings: DataFrame, shards: int) -> D
     )
 
 
-def df_range(df: DataFrame, n: int) -> DataFrame:
-    return df.sparkSession.range(n).select(F.col("id").cast("int").alias("shard_id"))
-
-
 def newest_first(work_set: DataFrame, limit: int) -> DataFrame:
     """The next batch: newest articles, those without a time last."""
     return work_set.orderBy(F.desc_nulls_last("datetime"), F.asc("article_id")).limit(limit)
@@ -88,8 +85,6 @@ def batch_progress(batches: DataFrame, total: DataFrame) -> DataFrame:
     ``batches`` has ``shard_id, batch_no, batch_rows``; ``total`` has
     ``shard_id, shard_rows, total_rows``.
     """
-    from pyspark.sql import Window
-
     so_far = Window.partitionBy("shard_id").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)
     done = F.sum("batch_rows").over(so_far)
     return (

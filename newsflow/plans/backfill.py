@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,7 +38,6 @@ class Backfill:
     seed: int = 0
     source_type: str = "ccnews"
     tasks: int | None = None
-    order: list = field(default_factory=list)
 
 
 def _with_detected_language(page: DataFrame, model: DataFrame) -> DataFrame:

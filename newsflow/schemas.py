@@ -133,11 +133,16 @@ def add_missing_columns(spark: SparkSession, table: str, schema: StructType) ->
     return [f.name for f in missing]
 
 
-def broken_rows(df: DataFrame, schema: StructType, key: str | None = None) -> DataFrame:
-    """Rows that break a NOT NULL column of ``schema`` or repeat ``key``."""
+def broken_rows(
+    df: DataFrame, schema: StructType, key: str | None = None, allowed: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Rows that break a NOT NULL column of ``schema``, a list of ``allowed`` values, or repeat ``key``."""
     required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
     nulls = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
     bad = df.select(F.lit("null").alias("problem"), F.explode(nulls).alias("detail"))
+    for column, values in (allowed or {}).items():
+        other = df.where(~F.col(column).isin(*values))
+        bad = bad.unionAll(other.select(F.lit("value not allowed"), F.col(column).cast("string")))
     if key:
         repeated = df.groupBy(key).count().where("count > 1")
         bad = bad.unionAll(repeated.select(F.lit("duplicate key"), F.col(key).cast("string")))

@@ -146,6 +146,9 @@ def test_broken_rows(spark):
     rows = spark.createDataFrame([("a", "u"), ("a", None)], "article_id string, url string")
     found = sorted(tuple(r) for r in schemas.broken_rows(rows, schemas.ARTICLES, "article_id").collect())
     assert found == [("duplicate key", "a"), ("null", "url")]
+    states = spark.createDataFrame([("p", "done"), ("q", "lost")], "warc_path string, status string")
+    found = schemas.broken_rows(states, schemas.ARCHIVE_LEDGER, allowed={"status": schemas.ARCHIVE_STATES})
+    assert [tuple(r) for r in found.collect()] == [("value not allowed", "lost")]
 
 
 @pytest.mark.parametrize("sql, params, rows", [("SELECT ? AS x", [1], 1), ("SHOW TABLES", None, None)])
