@@ -176,3 +176,11 @@ def test_relational_plans_stay_in_the_jvm(spark):
     for frame in (unify.archive_articles(lines), unify.feed_articles(lines)):
         plan = plan_of(frame)
         assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_filter_on_extracted_text_does_not_extract_twice(spark):
+    from newsflow.operators.gate import extract_pages
+
+    pages = spark.createDataFrame([("<p>x</p>",)], "html string")
+    plan = plan_of(extract_pages(pages).where(F.length("text") > 500).select("title"))
+    assert plan.count("(?s)<!--.*?-->") == 1
