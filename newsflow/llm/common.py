@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from newsflow.session import work_dir
+
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,32 +25,63 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_hash(text: Column) -> Column:
+    """With the id, the identity of a row up to exact repeats; null texts count as ''."""
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text, F.length(text))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep one Arrow batch of long texts to some 16 MB (one row may be larger)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
-def by_text(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[object, str], Iterable[tuple]]]) -> DataFrame:
+def by_text(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    schema: str,
+    make: Callable[[], Callable[[object, str], Iterable[tuple]]],
+    carry: dict[str, Column] | None = None,
+) -> DataFrame:
     """Give every row's (id, text) to a function that returns output rows.
 
     ``make`` runs once per task and returns that function; null texts come as
-    ''. Only the two columns travel to Python, in Arrow batches.
+    ''. Only the columns named travel to Python, in Arrow batches. ``carry``
+    names further columns that are put behind the output columns as they are.
     """
     bounded_batches(df.sparkSession)
-    chosen = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    target = pa_schema(df.sparkSession, schema)
+    carry = carry or {}
+    chosen = df.select(
+        F.col(id_col).alias("id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *(c.alias(f"_c_{n}") for n, c in carry.items()),
+    )
+    for name in carry:
+        schema += f",{name} {chosen.schema[f'_c_{name}'].dataType.simpleString()}"
+    target = pa_schema(schema)
+    carried_columns, own = len(carry), len(target) - len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_of = make()
+
+        def packed(batch, found, sources):
+            carried = [batch.column(i + 2).take(pa.array(sources, pa.int64())) for i in range(carried_columns)]
+            made = to_batch(found, pa.schema(list(target)[:own]))
+            return pa.RecordBatch.from_arrays([*made.columns, *carried], schema=target)
+
         for batch in batches:
             found: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            sources: list[int] = []
+            for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                before = len(found)
                 found.extend(rows_of(key, text.as_py()))
+                sources.extend([i] * (len(found) - before))
                 if len(found) >= 20_000:
-                    yield to_batch(found, target)
-                    found = []
+                    yield packed(batch, found, sources)
+                    found, sources = [], []
             if found:
-                yield to_batch(found, target)
+                yield packed(batch, found, sources)
 
     return chosen.mapInArrow(run, schema)
 
@@ -58,10 +91,10 @@ def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-_ARROW = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+_ARROW = {"smallint": pa.int16(), "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
-def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
+def pa_schema(ddl: str) -> pa.Schema:
     """Arrow schema of a flat DDL string (scalars and arrays of scalars)."""
     fields = []
     for part in ddl.split(","):
@@ -95,3 +128,10 @@ class Memo:
             self.known.update(self.fill(list(missing)))
             self.drop = [w for w in missing if len(w) > self.long]
         return map(self.known.__getitem__, words)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read it: computed once, lineage cut."""
+    target = work_dir(df.sparkSession, purpose)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

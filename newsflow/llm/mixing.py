@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.llm.common import word_count
+from newsflow.llm.common import stored, word_count
 from newsflow.operators.running import running_total
 from newsflow.session import materialise
 
@@ -35,22 +35,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     limited = weighed.withColumn("_limit", F.col("source_size") * max_epochs)
     by_limit = [F.col("_limit") / F.col("_weight"), F.col("_place")]
     summed = running_total(running_total(limited, by_limit, "_limit", "_limits"), by_limit, "_weight", "_weights")
-    total = summed.agg(
-        (F.coalesce(F.sum("source_size"), F.lit(0)) * share).alias("_budget"),
-        F.coalesce(F.sum("_weight"), F.lit(0)).alias("_all_weights"),
-    )
+    summed = materialise(summed)
+    words, all_weights = summed.agg(F.sum("source_size"), F.sum("_weight")).first()
+    budget, all_weights = (words or 0) * share, all_weights or 0
     stops = (
-        F.col("_limit") * (F.col("_all_weights") - (F.col("_weights") - F.col("_weight")))
-        <= (F.col("_budget") - (F.col("_limits") - F.col("_limit"))) * F.col("_weight")
-    )
-    # One row: the sums of all sources, and of those that stop.
-    judged = summed.join(F.broadcast(total)).withColumn("_stops", stops)
-    stopped = judged.agg(
-        F.coalesce(F.sum(F.when(F.col("_stops"), F.col("_limit"))), F.lit(0)).alias("_stopped"),
-        F.coalesce(F.sum(F.when(F.col("_stops"), F.col("_weight"))), F.lit(0)).alias("_stopped_weight"),
+        F.col("_limit") * (F.lit(all_weights) - (F.col("_weights") - F.col("_weight")))
+        <= (F.lit(budget) - (F.col("_limits") - F.col("_limit"))) * F.col("_weight")
     )
-    free = (F.col("_budget") - F.col("_stopped")) * F.col("_weight") / (F.col("_all_weights") - F.col("_stopped_weight"))
-    return judged.join(F.broadcast(stopped)).select(
+    judged = summed.withColumn("_stops", stops)
+    stopped, stopped_weight = judged.where("_stops").agg(F.sum("_limit"), F.sum("_weight")).first()
+    free = F.lit(float(budget - (stopped or 0))) * F.col("_weight") / F.lit(float(all_weights - (stopped_weight or 0)))
+    return judged.select(
         "source", "source_size", F.when(F.col("_stops"), F.col("_limit").cast("double")).otherwise(free).alias("target")
     )
 
@@ -109,18 +104,12 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     return mix(sized, **options).withColumnRenamed("id", id_col)
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mix as rows: whole documents only, each as often as it is taken, with the columns of ``docs``."""
-    keyed = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
-    sized = materialise(
-        keyed.select(F.col("_row").alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    )
-    taken = mix(sized, whole_documents=True, **options).select(F.col("id").alias("_row"), F.col("epochs").alias("_epochs"))
-    return (
-        keyed.join(taken, "_row")
-        .where("_epochs > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-        .select(*docs.columns)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.struct(*docs.columns).alias("doc")
     )
-
-
+    keyed = stored(rows, "mix")
+    sized = materialise(keyed.select("id", "source", "size"))
+    taken = mix(sized, whole_documents=True, **options).select("id", "epochs").where("epochs > 0")
+    return keyed.select("id", "doc").join(taken, "id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("epochs")))).select("doc.*")

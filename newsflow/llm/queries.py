@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import licenses, mixing, packing, rules, tokens, url_rules
+from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, rules, site_quality, tokens, url_rules
 from newsflow.llm.common import table
 from newsflow.session import prepare
 
@@ -136,3 +136,39 @@ LEFT JOIN (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS
 )
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
+
+
+@query("op3_personal_data")
+def personal_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
+
+
+@query("op8_site_quality")
+def site_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources stand for sites, and the languages of a source for its paths."""
+    judged = site_quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"), F.col("source"), F.col("lang"))
+    return judged.drop("_hash")
+
+
+@query("op6_ngram_join")
+def ngram_components(spark: SparkSession, folder: str) -> DataFrame:
+    linked = ngram_join.link_documents(table(spark, folder, "documents"), size=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query(
+    "op10_near_vectors",
+    """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+  least(vec_id, coalesce((SELECT min(b) FROM reached WHERE a = vec_id), vec_id)) AS component_id,
+  vec_id <= coalesce((SELECT min(b) FROM reached WHERE a = vec_id), vec_id) AS kept
+FROM embeddings""",
+)
+def near_vector_components(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.link_vectors(table(spark, folder, "embeddings"))
