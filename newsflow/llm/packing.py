@@ -10,6 +10,7 @@ among the pieces of their length, which Spark computes in sorted slices.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from functools import cache
 
@@ -60,21 +61,26 @@ def encoder(path: str):
 
     def word_ids(words: list[str]) -> dict[str, bytes]:
         bare = ((w, w if w.isascii() else w.encode().decode("latin1").translate(stand_ins)) for w in words)
-        return {w: np.array([t.id for t in tokenizer.model.tokenize(b)], "<u4").tobytes() for w, b in bare}
+        return {w: struct.pack(f"<{len(found)}I", *[t.id for t in found]) for w, found in ((w, tokenizer.model.tokenize(b)) for w, b in bare)}
 
-    words = Memo({}, word_ids)
+    words = Memo({}, word_ids, 800_000)
+
+    def lowered(chunk: str) -> str:
+        return chunk.lower() if chunk.isascii() else "".join(map(str.lower, chunk))
 
     def chunk_ids(chunks: list[str]) -> dict[str, bytes]:
         return {
-            c: b"".join(words.values(_PARTS.findall("".join(map(str.lower, c))))) if _PLAIN.fullmatch(c) else whole(c)
+            c: b"".join(words.values(_PARTS.findall(lowered(c)))) if _PLAIN.fullmatch(c) else whole(c)
             for c in chunks
         }
 
-    chunks = Memo({}, chunk_ids)
+    chunks = Memo({}, chunk_ids, 1_200_000)
+    # Special strings are tokens, and these four separate words in one library only.
+    odd = (*special, "\x1c", "\x1d", "\x1e", "\x1f")
 
     def ids(text: str) -> bytes:
-        if any(s in text for s in special) or any("\x1c" <= ch <= "\x1f" for ch in set(text)):
-            return whole(text)  # special strings are tokens, and these four separate words in one library only
+        if any(s in text for s in odd):
+            return whole(text)
         return b"".join(chunks.values(text.split()))
 
     return ids
