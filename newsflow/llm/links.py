@@ -63,24 +63,28 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): node, component (the least node).
 
     Stars alternate: every node hands its larger neighbours to the least one
-    it knows, then its smaller ones, until nothing changes. Edges never grow
-    in number, and each round is written to the shared folder.
+    it knows, then its smaller ones, until all edges lead to a node that leads
+    nowhere. Edges never grow in number, and each round is written to the
+    shared folder.
     """
     flat = lambda df: materialise(df.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     edges = flat(edges)
-    state = mark(edges)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = flat(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = flat(small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))))
-        now = mark(edges)
-        if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node has both a larger neighbour and a smaller one, nor two smaller ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(
+        edges.groupBy("b").agg(F.lit(0).alias("low"), F.lit(1).alias("high")).withColumnRenamed("b", "node")
+    )
+    return ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("high").alias("high")).where("low > 1 OR (low > 0 AND high > 0)").isEmpty()
 
 
 def labelled(classes: DataFrame, paired: DataFrame) -> DataFrame:

@@ -3,13 +3,16 @@
 If two sets reach a Jaccard similarity of t, then under any global order of
 all tokens the first n - ceil(t n) + 1 tokens of each (its prefix) have one in
 common. That holds under every order at once, so only documents that share a
-prefix token under each of several orders are compared. All orders put rare
-tokens first, as a sketch of counts knows them, and differ in how they order
-tokens of like frequency. The sketch only chooses the orders: any order is
-correct, so its errors cost time, not results.
+prefix token under each of several orders are compared.
+
+The first order puts a fixed part of all tokens (by hash) first, the rare
+before the frequent, by exact counts. Counting that part is enough, since
+prefixes seldom reach beyond it. A document whose prefix no other document
+shares any token of links with none and leaves here. The other orders are by
+different hashes; they filter the pairs that the first one leaves.
 
 Documents of equal sets are one class. Classes that share a prefix token meet
-at the least class of that token's list. A group of many near copies has its
+at the least class that has the token. A group of many near copies has its
 prefix tokens in common, so its members meet at few such hubs and travel a
 few times only, as texts; pairs are compared inside tasks and not written.
 """
@@ -21,14 +24,13 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from newsflow.llm.common import Memo, bounded_batches, by_text, id_type, stored, text_hash, word_count
+from newsflow.llm.common import Memo, by_text, id_type, stored, text_hash, word_count
 from newsflow.llm.links import PAIRED, first_shared, in_blocks, labelled, summed_up
 from newsflow.session import materialise
 
-CELLS = 1 << 22  # of the sketch
-CHUNK = 1 << 14
+PART = 4  # one token of so many is counted exactly
 ORDERS = 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], "uint64")
@@ -63,54 +65,25 @@ def shingler(size: int):
     return shingles
 
 
-def _sketch(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """A level of frequency, 0 to 255, for every cell that tokens hash to.
+def prefix_length(n: int, percent: int) -> int:
+    return n - (-(-percent * n // 100)) + 1 if n else 0
+
+
+def _first_tokens(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens that the prefix under the first order is among.
 
-    Each task counts into its own cells and hands them on in chunks, which
-    are summed where they meet. The driver gets ``CELLS`` counters.
+    All of the counted part, which stands first; if that is shorter than a
+    prefix, also the next tokens by value.
     """
-    bounded_batches(docs.sparkSession)
-
-    def count(batches):
-        shingles, cells = shingler(size), np.zeros(CELLS, "uint16")
-        for batch in batches:
-            for text in batch.column(0):
-                at = (shingles(text.as_py()) % np.uint64(CELLS)).astype("int64")
-                cells[at] += cells[at] < 60_000
-        small = np.minimum(cells, 255).astype("uint8").reshape(-1, CHUNK)
-        some = np.flatnonzero(small.any(axis=1))
-        for part in np.array_split(some, max(1, len(some) // 64)):
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([small[i].tobytes() for i in part], pa.binary())], names=["chunk", "cells"])
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total = sums.setdefault(chunk, np.zeros(CHUNK, "uint32"))
-                total += np.frombuffer(cells.as_py(), "uint8")
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["chunk", "cells"])
-
-    counted = docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(count, "chunk int, cells binary")
-    summed = counted.repartition("chunk").mapInArrow(add, "chunk int, cells binary")
-    cells = np.zeros((CELLS // CHUNK, CHUNK), "uint32")
-    for row in summed.collect():  # CELLS counters, whatever the corpus
-        cells[row["chunk"]] = np.frombuffer(row["cells"], "uint32")
-    cells = cells.reshape(-1)
-    steps = np.unique(np.quantile(cells, np.linspace(0, 1, 257)[1:-1], method="nearest"))
-    return np.searchsorted(steps, cells).astype("uint8")
-
-
-def _prefixes(tokens: np.ndarray, levels: np.ndarray, percent: int, orders: int) -> list[np.ndarray]:
-    """The prefix under each order; ``tokens`` are sorted, so equal places fall back on the token itself."""
-    n = len(tokens)
-    length = n - (-(-percent * n // 100)) + 1 if n else 0
-    level = levels[(tokens % np.uint64(CELLS)).astype("int64")].astype("uint64")
-    found = []
-    for k in range(orders):
-        rank = level if k == 0 else level >> np.uint64(1 + k)  # coarser classes of frequency differ more
-        place = (rank << np.uint64(56)) | (_mixed(tokens, k) >> np.uint64(8))
-        found.append(tokens[np.argsort(place, kind="stable")[:length]])
-    return found
+    counted = tokens % np.uint64(PART) == 0
+    short = prefix_length(len(tokens), percent) - int(counted.sum())
+    return tokens[counted] if short <= 0 else np.concatenate([tokens[counted], tokens[~counted][:short]])
+
+
+def _prefixes(tokens: np.ndarray, percent: int, orders: int) -> list[np.ndarray]:
+    """Prefixes under the other orders, by different hashes of the tokens."""
+    length = prefix_length(len(tokens), percent)
+    return [tokens[np.argsort(_mixed(tokens, k), kind="stable")[:length]] for k in range(1, orders)]
 
 
 def _meeting(sets: list[np.ndarray]) -> np.ndarray:
@@ -154,51 +127,51 @@ def link_documents(
     count as ids only where a component has no others. An empty table gives no
     rows; other columns are not read.
 
-    Texts are read three times: for the sketch, for the prefixes, and those
-    that have candidates for the comparison. N-grams are 64-bit hashes.
+    Texts are read twice: for the prefixes, and those that have candidates for
+    the comparison. N-grams are 64-bit hashes, classes 64 bits of a hash.
     """
-    session = docs.sparkSession
-    levels = session.sparkContext.broadcast(_sketch(docs, text_col, size))
-    lists = ",".join(f"p{k} array<long>" for k in range(orders))
 
     def make():
         shingles = shingler(size)
 
         def rows(key, text):
             tokens = shingles(text)
-            name = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-            yield key, len(tokens), name, *(p.view("int64").tolist() for p in _prefixes(tokens, levels.value, percent, orders))
+            name = hashlib.blake2b(tokens.tobytes(), digest_size=8).digest() if len(tokens) else None
+            yield key, len(tokens), None if name is None else int.from_bytes(name, "little", signed=True), _first_tokens(tokens, percent).view("int64").tolist()
 
         return rows
 
-    schema = f"id {id_type(docs, id_col)},n_shingles long,sig binary,{lists}"
+    schema = f"id {id_type(docs, id_col)},n_shingles long,cls long,tokens array<long>"
     rows = stored(by_text(docs, id_col, text_col, schema, make, {"_hash": text_hash(F.col(text_col))}), "ngrams")
-    grouped = rows.where("n_shingles > 0").groupBy("sig").agg(
-        F.min("id").alias("least_id"),
-        F.count("*").alias("size"),
-        F.max(F.struct("_hash", "id")).alias("_row"),  # a document whose text stands for the class
-        F.first("n_shingles").alias("n"),
-        *(F.first(f"p{k}").alias(f"p{k}") for k in range(orders)),
+    classes = materialise(
+        rows.where("cls IS NOT NULL").groupBy("cls").agg(
+            F.min("id").alias("least_id"),
+            F.count("*").alias("size"),
+            F.max(F.struct("_hash", "id")).alias("_row"),  # a document whose text stands for the class
+            F.first("n_shingles").alias("n"),
+        )
     )
-    classes = stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
-
-    # Order by order, only classes that share a prefix token with another one stay.
-    left = hubs = None
-    for k in range(orders):
-        own = classes if left is None else classes.join(left, "cls", "left_semi")
-        postings = own.select("cls", F.explode(f"p{k}").alias("token"))
-        shared = postings.groupBy("token").agg(F.min("cls").alias("hub"), F.count("*").alias("_n")).where("_n > 1").select("token", "hub")
-        met = postings.join(shared, "token").select("cls", "hub").distinct()
-        if k == 0:
-            hubs = materialise(met)
-            met = hubs
-        left = materialise(met.select("cls").distinct())
-    stars = hubs.join(left, "cls", "left_semi")
-    met = stars.groupBy("cls").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
-    chosen = classes.join(met, "cls").select("cls", "size", "n", "hubs", F.col("_row._hash").alias("_hash"), F.col("_row.id").alias("_id"))
+    counted = F.pmod("token", F.lit(PART)) == 0
+    length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+
+    # Tokens of one class only cannot be shared. A class with a prefix of them has no candidates.
+    postings = rows.where("cls IS NOT NULL").select("cls", F.explode("tokens").alias("token"))
+    alone = postings.groupBy("token").agg(F.min("cls").alias("cls"), F.max("cls").alias("_max")).where("cls = _max")
+    lonely = alone.groupBy("cls").agg(F.count(F.when(counted, 1)).alias("_alone"))
+    left = classes.join(lonely, "cls", "left").where(F.coalesce("_alone", F.lit(0)) < length)
+    left = materialise(left.select("cls", "size", "n", "_row"))
+
+    # Among the classes left: the prefix is what is alone, then shared tokens, the rarest first.
+    postings = rows.join(left.select("cls"), "cls", "left_semi").select("cls", F.explode("tokens").alias("token")).distinct()
+    shared = postings.groupBy("token").agg(F.min("cls").alias("hub"), F.count("*").alias("df"))
+    placed = postings.join(shared, "token")
+    rarest_first = Window.partitionBy("cls").orderBy(~counted, F.when(counted, F.col("df")), "token")
+    prefix = placed.withColumn("_place", F.row_number().over(rarest_first)).join(left.select("cls", "n"), "cls").where((F.col("_place") <= length) & (F.col("df") > 1))
+    met = prefix.groupBy("cls").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
+    chosen = left.join(met, "cls").select("cls", "size", "n", "hubs", F.col("_row._hash").alias("_hash"), F.col("_row.id").alias("_id"))
     texts = docs.select(F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), F.col(text_col).alias("text"))
     chosen = chosen.join(texts, (F.col("_hash") == F.col("_h")) & F.col("_id").eqNullSafe(F.col("_i"))).select("cls", "size", "n", "hubs", "text")
-    members = stored(chosen.select("cls", "size", "n", "hubs", "text"), "texts").select("*", F.explode("hubs").alias("hub"))
+    members = stored(chosen, "texts").select("*", F.explode("hubs").alias("hub"))
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         cls = table.column("cls").to_numpy()
@@ -211,8 +184,8 @@ def link_documents(
         if key[1].as_py() != key[2].as_py():
             own = table.column("_own").to_numpy()
             possible &= own[:, None] != own[None, :]
-        prefixes = [_prefixes(s, levels.value, percent, orders) for s in sets]
-        for k in range(orders):
+        prefixes = [_prefixes(s, percent, orders) for s in sets]
+        for k in range(orders - 1):
             if not possible.any():
                 return PAIRED.empty_table()
             possible &= _meeting([p[k] for p in prefixes]) > 0
@@ -230,8 +203,8 @@ def link_documents(
 
     pieces = in_blocks(members, "hub", "cls", F.col("n"), block_rows, block_tokens)
     paired = pieces.groupBy("hub", "_i", "_j").applyInArrow(compare, "cls long, links long, root long")
-    found = labelled(classes.select("cls", "sig", "least_id", "size"), paired).select("sig", "component", "component_id", "n_links")
-    return rows.select("id", "_hash", "n_shingles", "sig").join(found, "sig", "left").select(
+    found = labelled(classes.select("cls", "least_id", "size"), paired).select("cls", "component", "component_id", "n_links")
+    return rows.select("id", "_hash", "n_shingles", "cls").join(found, "cls", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "component", "_hash"
     )
 
