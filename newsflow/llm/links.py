@@ -33,13 +33,14 @@ def in_blocks(members: DataFrame, group: str, item: str, weight: Column, most_ro
 def first_shared(groups: list[np.ndarray], a: np.ndarray, b: np.ndarray, this: int) -> np.ndarray:
     """Which pairs have ``this`` as the smallest group they share, so that each pair counts once."""
     width = max(map(len, groups))
-    padded = np.full((len(groups), width), -1, "int64")
+    padded, filled = np.zeros((len(groups), width), "int64"), np.zeros((len(groups), width), bool)
     for i, g in enumerate(groups):
-        padded[i, : len(g)] = np.sort(g)
+        padded[i, : len(g)], filled[i, : len(g)] = g, True
     keep = np.ones(len(a), bool)
     for at in range(0, len(a), 4096):
-        x, y = padded[a[at : at + 4096]], padded[b[at : at + 4096]]
-        shared = ((x[:, :, None] == y[:, None, :]).any(axis=2)) & (x >= 0) & (x < this)
+        i, j = a[at : at + 4096], b[at : at + 4096]
+        same = (padded[i][:, :, None] == padded[j][:, None, :]) & filled[j][:, None, :]
+        shared = same.any(axis=2) & filled[i] & (padded[i] < this)
         keep[at : at + 4096] = ~shared.any(axis=1)
     return keep
 
