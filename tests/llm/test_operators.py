@@ -1,0 +1,317 @@
+"""The text operators on hostile rows, and against brute force."""
+
+import collections
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from newsflow.llm import licenses, links, mixing, near_vectors, ngram_join, packing, personal_data, rules, site_quality, tokens, url_rules
+from newsflow.llm.features import counts
+
+WORD = r"[^\x20\x09-\x0D]+"
+LONG = " ".join(f"word{i % 700}{chr(97 + i % 26)}" for i in range(9000))
+BASE = " ".join(f"w{i}" for i in range(60))
+TEXTS = [
+    (1, None), (2, ""), (3, " \n\t "), (4, BASE), (5, BASE), (5, BASE), (6, BASE + " tail"), (7, BASE.upper()),
+    (8, LONG), (9, "a"), (10, "a b"), (11, "  two  spaces ▁ and\n\nlines\x1cfs <|endoftext|> é Σίσυφος ﬁ"), (None, "no id here"),
+    (12, "x" * 3000), (13, "Mail a.b@c.example.com or +1 (555) 555-0100, ip 10.0.0.300 10.1.2.3 card 4111 1111 1111 1111."),
+]
+SCHEMA = "doc_id long, text string, source string, lang string, n_chars long, id string, size string, kept string, cls string, _hash string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["s1", None, "s1", "s2"][n % 4], "en", len(t or ""), "x", "y", "z", "c", "h") for n, (i, t) in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(4, 1, 0, "t"), (8, 1, 0, "t"), (12, 0, 0, "t"), (12, None, 0, "t")], "doc_id long, quality int, toxic int, text string")
+
+
+def bag(rows):
+    return collections.Counter(map(tuple, rows))
+
+
+def test_token_counts_equal_the_library(docs, none):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = tokens.count_tokens(docs, path)
+    assert bag(got.collect()) == bag((i, len((t or "").encode()), n := len(model.encode(t or "")), n > 4096) for i, t in TEXTS)
+    assert tokens.count_tokens(none, path).collect() == []
+    whole = tokens.whole_tokens(path)
+    assert len(whole) > 5000 and all(len(model.encode(w)) == 1 for w in list(whole)[:200])
+
+
+def test_packing_is_exact_and_full(docs, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    want = []
+    for i, t in TEXTS:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [1]
+        want += [(i, p, s, len(ids[s : s + 4096]), zlib.crc32(np.array(ids[s : s + 4096], "<u4").tobytes())) for p, s in enumerate(range(0, len(ids), 4096))]
+    got = packing.pack_documents(docs, path).collect()
+    assert bag(r[:5] for r in got) == bag(want)
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 4096
+    assert packing.pack_documents(none, path).collect() == []
+
+
+def test_bins_are_the_fullest():
+    random = np.random.default_rng(1)
+    for _ in range(30):
+        sizes = random.integers(1, 30, 8).tolist()
+        room = int(random.integers(5, 60))
+        taken = packing.fullest(collections.Counter(sizes), room)
+        sums = {0}
+        for s in sizes:
+            sums |= {x + s for x in sums}
+        assert sum(k * n for k, n in taken.items()) == max(x for x in sums if x <= room)
+        assert all(n <= sizes.count(k) for k, n in taken.items())
+    plan = packing.plan_bins({4096: 1000, 4000: 10, 96: 10, 50: 3}, 4096)
+    assert sum(t for t, _ in plan) == 1011
+
+
+def brute_spans(text):
+    shapes = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    found = []
+    for kind, shape in shapes.items():
+        for m in re.finditer(shape, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            luhn = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+            if kind == "ip" and max(map(int, m[0].split("."))) > 255 or kind == "card" and not (16 <= len(digits) <= 19 and luhn) or kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            found.append((kind, m.start(), m.end()))
+    return found
+
+
+def test_base_spans_equal_the_patterns():
+    random = np.random.default_rng(2)
+    pieces = ["a@b.c", "@", ".", "+", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "x", " ", "-", "+1 (555) 555-0100", "12", "é", "\n", "a.b@c-d.e.f+g@h.i", "1.2.3.4.5.6.7.8"]
+    for _ in range(2000):
+        text = "".join(random.choice(pieces, 8))
+        assert personal_data.base_spans(text) == brute_spans(text), text
+
+
+def test_contexts_find_unseen_identifiers(spark, docs, none):
+    rows = [(n, f"please write to contact mail user{n}@site{n}.example.com today") for n in range(12)]
+    rows += [(100, "please write to contact mail user77xx99@localhost today"), (101, "some other words 123456 stand here")]
+    got = {r.doc_id: r for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100].spans == "id:29:49" and got[100].n_found == 1 and got[101].spans == ""
+    assert all(got[n].n_email == 1 and got[n].spans.startswith("email:29:") for n in range(12))
+    found = personal_data.find_personal_data(docs).select("doc_id", "base").collect()
+    assert bag(found) == bag((i, ",".join(f"{k}:{a}:{b}" for k, a, b in brute_spans(t or ""))) for i, t in TEXTS)
+    assert personal_data.find_personal_data(none).collect() == []
+    assert personal_data.masked("to a@b.cd +1 2", "email:3:9") == "to [EMAIL] +1 2"
+    masked = personal_data.mask_documents(docs, length_col="n_chars")
+    assert masked.columns == docs.columns and masked.where("doc_id = 13").first().text.startswith("Mail [EMAIL] or [PHONE], ip 10.0.0.300 [IP] card [CARD]")
+
+
+def test_licenses(spark, docs, none):
+    s = licenses.SENTENCES
+    bsd = ["bsd-grant", "bsd-source", "bsd-binary"]
+    rows = [
+        (1, "\n".join(s[x] + "." for x in bsd)),
+        (2, "\n".join("# " + s[x].upper() + ":" for x in [*bsd, "bsd-endorse"])),
+        (3, "\n".join(s[x] for x in reversed(bsd))),
+        (4, "x. Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."),
+        (4, "x. Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."),
+        (5, None),
+    ]
+    got = licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(got) == bag([(1, 3, "BSD-2-Clause"), (2, 4, "BSD-3-Clause"), (3, 3, ""), (4, 2, "Apache-2.0,MIT"), (4, 2, "Apache-2.0,MIT"), (5, 0, "")])
+    assert licenses.find_licenses(docs).count() == len(TEXTS) and licenses.find_licenses(none).count() == 0
+
+
+def test_mixing_meets_targets(spark, docs, none):
+    got = mixing.mix_documents(docs).collect()
+    assert bag((r.doc_id, r.size) for r in got) == bag((i, len(re.findall(WORD, t or ""))) for i, t in TEXTS)
+    per = collections.defaultdict(list)
+    for r in got:
+        per[r.source].append(r)
+        assert 0 <= r.taken <= 3 * r.size
+    for rows in per.values():
+        assert sum(r.taken for r in rows) == int(rows[0].target + 0.5) and rows[0].target <= 3 * rows[0].source_size
+        assert sum(r.size for r in rows) == rows[0].source_size
+    assert abs(sum(rows[0].target for rows in per.values()) - sum(r.size for r in got)) < 1e-6
+    assert bag(mixing.mix_documents(docs).collect()) == bag(got)
+    assert mixing.mix_documents(none).collect() == []
+    assert mixing.mixed_rows(docs).columns == docs.columns and mixing.mixed_rows(none).collect() == []
+
+
+def test_targets_share_the_excess(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 500), ("d", 1)], "source string, source_size long")
+    got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    assert got["a"] == 30 and got["d"] == 3 and abs(sum(got.values()) - 1511) < 1e-9 and abs(got["b"] / got["c"] - 2) < 1e-9
+
+
+def test_url_rules(spark):
+    urls = [None, "", "nohost", "http://", "http://www.example.com", "HTTP://WWW.Example.com/en/x?y#z", "x://a.example.com/en/1", "http://net/es/", "http://a.net/fr", "http://xexample.com/en/", "http://a.b.net/fr/x", "q://com/", "q://example.com/en/sub/deep"]
+    pages = spark.createDataFrame([(n, u, "h") for n, u in enumerate(urls)] + [(5, urls[5], "h")], "page_id long, url string, host string")
+    listed = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("example.com", "/en/sub/", "allow"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"), ("net", "/fr/", "block"), (None, "/", "block")]
+    ruled = spark.createDataFrame(listed, "host string, path string, verdict string")
+    want = []
+    for n, u in [*enumerate(urls), (5, urls[5])]:
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host) :])[0]
+        host = host.lower()
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in listed if h and ("." + host).endswith("." + h) and path.startswith(p)]
+        best = max(fits, default=(0, 0, None, "allow"))
+        want.append((n, host, path, best[2], best[3]))
+    assert bag(url_rules.judge_urls(pages, ruled).collect()) == bag(want)
+    assert url_rules.judge_urls(pages.limit(0), ruled).collect() == [] and url_rules.judge_urls(pages, ruled.limit(0)).count() == len(want)
+
+
+def test_quality_rules(docs, none):
+    def slow(text):
+        words, lines = re.findall(WORD, text), [x for x in text.split("\n") if re.search(WORD, x)]
+        windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        inside = {k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(i, i + 5)}
+        return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(inside)
+
+    got = rules.judge(docs).collect()
+    assert bag((r.doc_id, *r[1:6]) for r in got) == bag((i, *slow(t or "")) for i, t in TEXTS)
+    assert all(not r.kept for r in got if r.base_failed) and rules.judge(none).collect() == []
+    patterns = np.array([[-1, 0, 0], [0, 0, 1], [0, -1, 0], [0, 0, 0]])
+    assert (rules.posterior(patterns, 0.5, rules.fit_votes(patterns, np.array([30.0, 900, 30, 5]))) >= 0.5).tolist() == [False, True, False, True]
+
+
+def test_counts_of_repeats():
+    assert counts("a b c d e f a b c d e g")[4] == 10 and counts("")[0] == 0 and counts("x " * 20)[4] == 20
+
+
+def test_site_quality(spark, docs, labels, none):
+    got = site_quality.classify(docs, labels, F.col("source"), F.col("lang")).collect()
+    assert bag([r.doc_id] for r in got) == bag([i] for i, _ in TEXTS)
+    assert all((r.quality == 0 and not r.kept) for r in got if r.doc_id in (1, 2, 3))
+    assert site_quality.classify(none, labels, F.col("source"), F.col("lang")).collect() == []
+    assert site_quality.classify(docs, labels.limit(0), F.col("source"), F.col("lang")).where("kept").count() == len(TEXTS) - 3
+    kept = site_quality.keep_good(docs, labels, F.col("source"), F.col("lang"))
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
+
+
+def test_classifier_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = site_quality.classify(spark.read.parquet(f"{folder}/documents.parquet"), given.where("doc_id % 2 = 0"), F.col("source"), F.col("lang"))
+    right = judged.select("doc_id", "kept").join(given.where("doc_id % 2 = 1"), "doc_id").agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def grouped(ids, linked):
+    least = dict(zip(range(len(ids)), range(len(ids))))
+    def find(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+    for a, b in linked:
+        a, b = find(a), find(b)
+        least[max(a, b)] = min(a, b)
+    groups = collections.defaultdict(list)
+    for i in range(len(ids)):
+        groups[find(i)].append(ids[i])
+    return [min((x for x in groups[find(i)] if x is not None), default=None) for i in range(len(ids))]
+
+
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
+def test_ngram_join_equals_brute_force(spark, docs, none, size, percent):
+    random = np.random.default_rng(3)
+    vocabulary = [f"v{i}" for i in range(40)]
+    rows = [(i, t) for i, t in TEXTS]
+    for g in range(12):
+        base = random.choice(vocabulary, int(random.integers(2, 90))).tolist()
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(int(random.integers(0, 4))):
+                copy[int(random.integers(len(copy)))] = str(random.choice(vocabulary))
+            rows.append((len(rows) + 100, " ".join(copy)))
+    sets = [shingles(t, size) for _, t in rows]
+    linked = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    degree = collections.Counter(x for pair in linked for x in pair)
+    component = grouped([i for i, _ in rows], linked)
+    want = bag((i, len(sets[n]), component[n], degree[n]) for n, (i, _) in enumerate(rows))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (512, 5):  # one piece a group, and pairs of blocks
+        got = ngram_join.link_documents(frame, size=size, percent=percent, block_rows=most)
+        assert bag(got.select("doc_id", "n_shingles", "component_id", "n_links").collect()) == want
+    assert ngram_join.link_documents(none).collect() == []
+    kept = ngram_join.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert bag([r.doc_id] for r in kept.collect()) == bag([i] for i in [1, 2, 3, 4, 8, 9, 10, 11, None, 12, 13])
+
+
+def test_vectors_against_brute_force(spark):
+    random = np.random.default_rng(4)
+    centers = random.standard_normal((40, 16))
+    rows = []
+    for i in range(600):
+        v = centers[i % 40] + random.standard_normal(16) * (0.12 if i % 3 else 2)
+        rows.append((i, v.tolist(), "x"))
+    rows += [(600, rows[0][1], "x"), (600, rows[0][1], "x"), (601, None, "x"), (602, [], "x"), (603, [0.0] * 16, "x"), (604, [float("nan")] * 16, "x"), (605, [None] * 16, "x"), (606, [1.0], "x"), (None, rows[1][1], "x")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, unit string")
+    unit = [np.array(v) / np.linalg.norm(v) if v and len(v) == 16 and None not in v and np.isfinite(v).all() and any(v) else None for _, v, _ in rows]
+    linked = [(a, b) for a in range(len(rows)) for b in range(a) if unit[a] is not None and unit[b] is not None and unit[a] @ unit[b] >= 0.95]
+    degree = collections.Counter(x for pair in linked for x in pair)
+    component = grouped([i for i, _, _ in rows], linked)
+    got = near_vectors.link_vectors(frame, leaf=64).collect()
+    assert bag((r.vec_id, r.n_links, r.component_id) for r in got) == bag((i, degree[n], component[n]) for n, (i, _, _) in enumerate(rows))
+    assert near_vectors.link_vectors(frame.limit(0)).collect() == []
+
+
+def test_forest_recall(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x = np.array([r[0] for r in frame.select("embedding").collect()], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links_there = int((x @ x.T >= 0.95).sum()) - len(x)
+    found = near_vectors.link_vectors(frame, leaf=64).agg(F.sum("n_links")).first()[0]
+    assert 0.9 * links_there <= found <= links_there
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(139, 200), (200, 139), (7, 7)]
+    got = dict(map(tuple, links.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(1, 51)}, **{100 + i: 100 for i in range(1, 40)}, 200: 100}
+
+
+def test_pipeline_keeps_columns_and_words(spark, docs, labels, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, str(tmp_path))
+        assert frame.columns == docs.columns, name
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and packed.count() > 0
