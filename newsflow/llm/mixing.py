@@ -50,7 +50,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     )
 
 
-def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS, seed: int = 0, whole_documents: bool = False) -> DataFrame:
+def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS, seed: int = 0, whole_documents: bool = False, identity: str = "id") -> DataFrame:
     """Say how many words of each document the mix takes.
 
     ``sized`` has a row id ``id``, ``source`` and ``size`` (words) and is used
@@ -61,14 +61,15 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0
     cut. The document at the cut gives the words that are missing; with
     ``whole_documents`` it is taken if that brings the source nearer.
 
-    A null source is a source. Null ids and rows that repeat one another share
+    Keys are of the column ``identity``, so that they do not depend on how rows
+    are numbered. A null source is a source. Null ids and rows that repeat one another share
     a key and stand side by side. Sizes of 0 give 0. An empty table gives
     none. Sums run over sorted slices, so a source may hold most of the rows.
     """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialise(source_targets(sizes, weights, share, max_epochs))
-    order = [F.col("source").isNull(), F.col("source"), F.col("_key"), F.col("id"), F.col("size")]
-    total = running_total(sized.withColumn("_key", mix_key(F.col("id"), seed)), order, "size", "_end")
+    order = [F.col("source").isNull(), F.col("source"), F.col("_key"), F.col(identity), F.col("size"), F.col("id")]
+    total = running_total(sized.withColumn("_key", mix_key(F.col(identity), seed)), order, "size", "_end")
     # Words before each source's first document, from the sums of the sources.
     starts = running_total(targets, order[:2], "source_size", "_through").withColumn("_start", F.col("_through") - F.col("source_size"))
     joined = total.alias("d").join(
@@ -104,12 +105,12 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     return mix(sized, **options).withColumnRenamed("id", id_col)
 
 
-def mixed_rows(docs: DataFrame, source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mix as rows: whole documents only, each as often as it is taken, with the columns of ``docs``."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.struct(*docs.columns).alias("doc")
+        F.monotonically_increasing_id().alias("id"), F.col(id_col).alias("name"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.struct(*docs.columns).alias("doc")
     )
     keyed = stored(rows, "mix")
-    sized = materialise(keyed.select("id", "source", "size"))
-    taken = mix(sized, whole_documents=True, **options).select("id", "epochs").where("epochs > 0")
+    sized = materialise(keyed.select("id", "name", "source", "size"))
+    taken = mix(sized, whole_documents=True, identity="name", **options).select("id", "epochs").where("epochs > 0")
     return keyed.select("id", "doc").join(taken, "id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("epochs")))).select("doc.*")
