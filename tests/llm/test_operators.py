@@ -163,7 +163,9 @@ def test_mixing_meets_targets(spark, docs, none):
     assert abs(sum(rows[0].target for rows in per.values()) - sum(r.size for r in got)) < 1e-6
     assert bag(mixing.mix_documents(docs).collect()) == bag(got)
     assert mixing.mix_documents(none).collect() == []
-    assert mixing.mixed_rows(docs).columns == docs.columns and mixing.mixed_rows(none).collect() == []
+    mixed = mixing.mixed_rows(docs)
+    assert bag(mixed.collect()) == bag(mixing.mixed_rows(docs.repartition(3, "n_chars")).collect())
+    assert mixed.columns == docs.columns and mixing.mixed_rows(none).collect() == []
 
 
 def test_targets_share_the_excess(spark):
