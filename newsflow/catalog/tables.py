@@ -8,6 +8,7 @@ from newsflow.catalog import inputs as I
 from newsflow.catalog.registry import query
 from newsflow.catalog.scalars import FEED_GATE, RFC_DATES, SQL_FEED_TS, SQL_LENIENT, marked_entries
 from newsflow.functions import dates, text, urls, vectors
+from newsflow.operators.running import running_total
 from newsflow.operators import coverage, dedup, ledger, merge, unify, worksets
 from newsflow.plans.corpus import page_coverage
 from newsflow.plans.feed_cycle import cycle_counters
@@ -563,13 +564,11 @@ def pending_archives(spark, d):
     return ledger.pending_archives(I.manifest(spark, d), I.archive_ledger(spark, d)).select("warc_path", "month")
 
 
-@query("random_archive_order", f"WITH {I.MANIFEST} SELECT warc_path, row_number() OVER (ORDER BY sha256('42:' || warc_path), warc_path) AS place FROM manifest ORDER BY place LIMIT 100")
+@query("random_archive_order", f"WITH {I.MANIFEST} SELECT warc_path, row_number() OVER (ORDER BY sha256('42:' || warc_path), warc_path) AS place FROM manifest")
 def random_archive_order(spark, d):
-    from pyspark.sql import Window
-
-    first = I.manifest(spark, d).select("warc_path").orderBy(*ledger.seeded_order("warc_path", 42)).limit(100)
-    place = F.row_number().over(Window.orderBy(*ledger.seeded_order("warc_path", 42)))
-    return first.select("warc_path", place.cast("bigint").alias("place"))
+    archives = I.manifest(spark, d).select("warc_path", F.lit(1).alias("one"))
+    placed = running_total(archives, ledger.seeded_order("warc_path", 42), "one", "place")
+    return placed.select("warc_path", F.col("place").cast("bigint").alias("place"))
 
 
 @query(

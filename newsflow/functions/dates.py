@@ -13,7 +13,7 @@ ZONE_OFFSETS = {
 }
 
 _RFC822 = (
-    r"(?i)^\s*(?:[a-z]{3,9},?\s+)?(\d{1,2})\s+([a-z]{3})[a-z]*\s+(\d{4})\s+"
+    r"(?i)^\s*(?:[a-z]{3,9},?\s+)?(\d{1,2})\s+([a-z]{3})[a-z]*\s+(\d{4}|\d{2})\s+"
     r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[a-z]+)?"
 )
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}"
@@ -23,8 +23,10 @@ _ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}:?\d{2}$"
 def _rfc822_local(value: Column) -> Column:
     """Wall-clock reading of a mail date, null for other input."""
     part = lambda n: F.regexp_extract(value, _RFC822, n)
+    # Years of two digits: up to 68 they are of this century, as mail readers take them.
+    century = F.when(F.length(part(3)) == 4, "").when(part(3) <= "68", "20").otherwise("19")
     text = F.concat(
-        part(1), F.lit(" "), F.initcap(part(2)), F.lit(" "), part(3), F.lit(" "),
+        part(1), F.lit(" "), F.initcap(part(2)), F.lit(" "), century, part(3), F.lit(" "),
         F.lpad(part(4), 2, "0"), F.lit(":"), part(5), F.lit(":"),
         F.coalesce(F.nullif(part(6), F.lit("")), F.lit("00")),
     )

@@ -56,8 +56,9 @@ def unescape(text: Column) -> Column:
 
 
 def _meta(html: Column, name: str) -> Column:
-    pattern = rf"(?is)<meta\s+(?:name|property|itemprop)=[\"']{name}[\"']\s+content=[\"']([^\"']*)[\"']"
-    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    # The value ends at the quote that opened it.
+    pattern = rf"(?is)<meta\s+(?:name|property|itemprop)=[\"']{name}[\"']\s+content=(?:\"([^\"]*)\"|'([^']*)')"
+    return F.nullif(F.concat(F.regexp_extract(html, pattern, 1), F.regexp_extract(html, pattern, 2)), F.lit(""))
 
 
 def raw_title(html: Column) -> Column:

@@ -32,7 +32,7 @@ class Backfill:
     max_archives: int | None = None
     limit_first: bool = False
     max_page_bytes: int = settings.MAX_PAGE_BYTES
-    max_rows_per_archive: int = settings.MAX_ROWS_PER_ARCHIVE
+    max_rows_per_archive: int | None = None  # no limit
     min_text_chars: int = settings.MIN_TEXT_CHARS
     sample_rate: float | None = None
     seed: int = 0
@@ -100,7 +100,8 @@ def run_backfill(
 
     failed = staged.where("rec_type = 'error'").groupBy("warc_path").agg(F.max("read_error").alias("error_text"))
     good = absent_rows(staged.where("outcome = 'kept'"), failed, "warc_path")
-    lines = first_n_per_key(good, "warc_path", "record_no", job.max_rows_per_archive)
+    limit = job.max_rows_per_archive
+    lines = good if limit is None else first_n_per_key(good, "warc_path", "record_no", limit)
     tables.land_archive_lines(
         lines.select("url", "domain", "title", "date", "author", "lang", "text", "warc_path", "record_no"), job.landing
     )

@@ -17,9 +17,13 @@ from newsflow.sources import feeds, tables
 MAX_BROADCAST_LINKS = 500_000  # rows of about 300 bytes
 
 
-def new_candidates(entries: DataFrame, stored: DataFrame, **lists) -> DataFrame:
-    """Links of the feeds that are allowed and not stored yet, once per link."""
-    marked = feeds.mark_entries(feeds.first_entries(entries), **lists)
+def _within(entries: DataFrame, max_entries: int | None) -> DataFrame:
+    return entries if max_entries is None else feeds.first_entries(entries, max_entries)
+
+
+def new_candidates(entries: DataFrame, stored: DataFrame, max_entries: int | None = None, **lists) -> DataFrame:
+    """Links of the feeds that are allowed and not stored yet, once per link; all entries unless limited."""
+    marked = feeds.mark_entries(_within(entries, max_entries), **lists)
     links = feeds.candidates(marked).withColumn("article_id", sha256_hex(F.col("url")))
     return absent_rows(first_per_key(links, ["article_id"], [F.col("feed_url")]), stored)
 
@@ -54,9 +58,9 @@ def feed_lines(
     return tables.landing_line(kept)
 
 
-def cycle_counters(entries: DataFrame, stored: DataFrame, **lists) -> DataFrame:
+def cycle_counters(entries: DataFrame, stored: DataFrame, max_entries: int | None = None, **lists) -> DataFrame:
     """Counters of a cycle up to the choice of links to fetch; one row."""
-    marked = feeds.mark_entries(feeds.first_entries(entries), **lists)
+    marked = feeds.mark_entries(_within(entries, max_entries), **lists)
     count = lambda stage, name: F.count_if(F.col("entry_stage") == stage).alias(name)
     seen = marked.agg(
         F.count_distinct("feed_url").alias("feeds"),

@@ -134,3 +134,12 @@ def test_shards_are_disjoint_and_complete(spark):
     for bad in ((0, 0, None), (3, 3, None), (-1, 2, None), (0, 9, 8)):
         with pytest.raises(ValueError):
             vectors.check_shard(*bad)
+
+
+def test_mail_dates_with_two_digit_years_and_quoted_meta_values(spark):
+    from newsflow.functions.dates import rfc822_timestamp
+    from newsflow.operators.gate import _meta
+
+    rows = [("Tue, 15 Nov 94 12:45:26 GMT", """<meta name="author" content="Conan O'Brien">"""), ("1 Jan 07 00:00:00 +0000", "<meta name='author' content='A \"B\" C'>")]
+    got = spark.createDataFrame(rows, "d string, h string").select(rfc822_timestamp(F.col("d")).cast("string"), _meta(F.col("h"), "author")).collect()
+    assert [tuple(r) for r in got] == [("1994-11-15 12:45:26", "Conan O'Brien"), ("2007-01-01 00:00:00", 'A "B" C')]
