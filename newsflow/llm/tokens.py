@@ -5,7 +5,8 @@ If no piece holds a mark behind another character, no merge ever crosses the
 place before a run of marks, so a text's count is the sum over its pre-tokens
 (a run of marks and what follows). Which vocabulary strings encode alone as
 exactly one token is proved beforehand with the library itself; such
-pre-tokens are counted directly and only the others are merged.
+pre-tokens are counted directly and only the others are merged, those of a
+text in one call of the library.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from functools import cache
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from newsflow.llm.common import Memo, by_text, id_type
@@ -50,20 +52,20 @@ def counter(path: str):
     model = load(path)
     if not splits_at_marks(path):
         return lambda text: len(model.encode(text))
-    break_alone = len(model.encode("\n"))  # a mark and the line feed's bytes
+    starts = np.array([model.id_to_piece(i)[:1] == MARK for i in range(model.vocab_size())])
 
     def merged(words: list[str]) -> dict[str, int]:
-        """Counts of pre-tokens, here without their first mark; a line feed splits them further."""
-        heads = {w: w.split("\n") for w in words}
-        parts = list({h for hs in heads.values() for h in hs[:1] if h} - base.keys())
-        tails = list({h for hs in heads.values() for h in hs[1:] if h})
-        head = dict(zip(parts, map(len, model.encode([p.replace(MARK, " ") for p in parts]))))
-        tail = dict(zip(tails, (len(x) - break_alone for x in model.encode(["\n" + t for t in tails]))))
-        # A pre-token of a mark alone is one token.
-        return {
-            w: (base.get(h[0]) or head.get(h[0], 1)) + sum(break_alone - 1 + (tail[t] if t else 0) for t in h[1:])
-            for w, h in heads.items()
-        }
+        """Counts of pre-tokens, here without their first mark, merged in one call.
+
+        A pre-token of one mark has one token that begins with a mark, its
+        first, so the tokens of all of them together fall into words again.
+        """
+        plain = [w for w in words if w and MARK not in w]
+        ids = np.array(model.encode(" ".join(plain)), int)
+        first = np.flatnonzero(starts[ids])
+        known = dict(zip(plain, np.diff(first, append=len(ids)).tolist())) if len(first) == len(plain) else {}
+        # A mark alone is one token; words of several marks are merged one by one.
+        return {w: known.get(w) or (len(model.encode(w.replace(MARK, " "))) if w else 1) for w in words}
 
     base = whole_tokens(path)
     memo = Memo(base, merged)
