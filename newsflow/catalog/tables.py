@@ -98,19 +98,25 @@ def corpus_parts(spark, d):
     )
 
 
-@query(
-    "unified_corpus",
-    f"""WITH {_PARTS},
-keyed AS (SELECT *, sha256(url) AS article_id, {_HASH_STRIP_FIRST} AS text_hash FROM parts WHERE {_FILLED}),
+def _corpus_sql(text_hash: str) -> str:
+    return f"""WITH {_PARTS},
+keyed AS (SELECT *, sha256(url) AS article_id, {text_hash} AS text_hash FROM parts WHERE {_FILLED}),
 by_id AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY doc_id % 3, copy_no, doc_id) AS rn FROM keyed) AS k WHERE rn = 1),
 by_text AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY doc_id % 3, copy_no, doc_id) AS rn2 FROM by_id) AS k WHERE rn2 = 1)
 SELECT article_id, text_hash, source_type, dom AS "domain", title, url, strftime(ts, '{_TS}') AS ts_text,
-  strftime(ts, '%Y-%m-%d') AS day_text, out_lang AS lang, length(text) AS text_chars FROM by_text""",
-)
+  strftime(ts, '%Y-%m-%d') AS day_text, out_lang AS lang, length(text) AS text_chars FROM by_text"""
+
+
+@query("unified_corpus", _corpus_sql(_HASH_STRIP_FIRST))
 def unified_corpus(spark, d):
     return shown(unify.unified_corpus(_three_parts(spark, d), _ORDER))
 
 
+@query("whole_text_corpus", _corpus_sql(f"sha256({I.sql_strip('lower(text)')})"))
+def whole_text_corpus(spark, d):
+    return shown(unify.unified_corpus(_three_parts(spark, d), _ORDER, chars=None))
+
+
 @query(
     "relaxed_union",
     """SELECT CAST(doc_id AS VARCHAR) AS key, lang, CAST(n_chars AS DOUBLE) AS size, CAST(NULL AS VARCHAR) AS role FROM documents

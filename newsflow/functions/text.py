@@ -32,17 +32,19 @@ def sha256_hex(col: Column) -> Column:
     return F.sha2(col, 256)
 
 
-def text_fingerprint(text: Column, order: str = "slice_first", chars: int = settings.FINGERPRINT_CHARS) -> Column:
-    """Hash of the lowered, stripped opening of a text.
+def text_fingerprint(text: Column, order: str = "slice_first", chars: int | None = settings.FINGERPRINT_CHARS) -> Column:
+    """Hash of the lowered, stripped opening of a text; of all of it where ``chars`` is None.
 
     ``slice_first`` cuts, then strips; ``strip_first`` strips, then cuts. They
     differ for texts that start with white space.
     """
+    if order not in ("slice_first", "strip_first"):
+        raise ValueError(f"unknown fingerprint order: {order}")
+    if chars is None:
+        return sha256_hex(clean_key(text))
     if order == "slice_first":
         return sha256_hex(clean_key(F.substring(text, 1, chars)))
-    if order == "strip_first":
-        return sha256_hex(F.substring(clean_key(text), 1, chars))
-    raise ValueError(f"unknown fingerprint order: {order}")
+    return sha256_hex(F.substring(clean_key(text), 1, chars))
 
 
 def long_enough(text: Column, min_chars: int = settings.MIN_TEXT_CHARS) -> Column:

@@ -1,9 +1,10 @@
 """Merges into a table that has no MERGE of its own.
 
-Each merge returns the rows to append or the new state as a DataFrame. The
-stored side is only touched by an anti-join on its key column: Spark broadcasts
-the keys of a batch read from small files, and the stored table stays in place;
-a large batch is joined by a shuffle of keys.
+Each merge returns the rows to append or the new state as a DataFrame. An
+insert first cuts the stored keys to those of the batch: where Spark finds the
+batch's keys small it broadcasts them, and the stored table stays in place; a
+large batch is joined by a shuffle of keys. What is left of the stored keys is
+no more than the batch has.
 """
 
 from __future__ import annotations
@@ -21,6 +22,14 @@ def absent_rows(batch: DataFrame, stored: DataFrame, key: str = "article_id") ->
     return batch.join(stored.select(key), key, "left_anti")
 
 
+def new_rows(batch: DataFrame, stored: DataFrame, keys: DataFrame, key: str = "article_id") -> DataFrame:
+    """As ``absent_rows``, for a batch that is small against the stored table.
+
+    ``keys`` holds at least the keys of the batch; it is read apart from it.
+    """
+    return absent_rows(batch, stored.select(key).join(keys.select(key), key, "left_semi"), key)
+
+
 def stored_rows(batch: DataFrame, stored: DataFrame, key: str = "article_id") -> DataFrame:
     """Rows of the batch whose key is stored."""
     return batch.join(stored.select(key), key, "left_semi")
@@ -30,7 +39,7 @@ def insert_if_absent(
     batch: DataFrame, stored: DataFrame, order: list[Column], key: str = "article_id"
 ) -> DataFrame:
     """Rows to append: the first one per new key. Stored rows never change."""
-    return absent_rows(first_per_key(batch, [key], order), stored, key)
+    return new_rows(first_per_key(batch, [key], order), stored, batch, key)
 
 
 def merge_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:

@@ -25,10 +25,12 @@ def has_url_and_text(df: DataFrame) -> DataFrame:
     return df.where(is_filled(F.col("url")) & is_filled(F.col("text")))
 
 
-def with_keys(df: DataFrame, fingerprint_order: str = "slice_first") -> DataFrame:
+def with_keys(
+    df: DataFrame, fingerprint_order: str = "slice_first", chars: int | None = settings.FINGERPRINT_CHARS
+) -> DataFrame:
     """Add the article id and the text fingerprint."""
     return df.withColumn("article_id", sha256_hex(F.col("url"))).withColumn(
-        "text_hash", text_fingerprint(F.col("text"), fingerprint_order)
+        "text_hash", text_fingerprint(F.col("text"), fingerprint_order, chars)
     )
 
 
@@ -117,14 +119,16 @@ def unified_corpus(
     order: list[str],
     dedup_keys: tuple[str, ...] = ("article_id", "text_hash"),
     fingerprint_order: str = "strip_first",
+    chars: int | None = settings.FINGERPRINT_CHARS,
 ) -> DataFrame:
     """One corpus out of several parts, earlier parts first.
 
     De-duplicates by each key in turn; ``order`` names the columns that give
-    the order of rows within a part.
+    the order of rows within a part. Texts count as equal if their first
+    ``chars`` characters are (None: if they are equal as a whole).
     """
     numbered = [p.withColumn("_part", F.lit(n)) for n, p in enumerate(parts)]
-    keyed = with_keys(has_url_and_text(union_relaxed(numbered)), fingerprint_order)
+    keyed = with_keys(has_url_and_text(union_relaxed(numbered)), fingerprint_order, chars)
     first = [F.col("_part"), *[F.col(c) for c in order]]
     return (
         dedup_in_turn(keyed, list(dedup_keys), first)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from newsflow import settings
 from newsflow.functions.text import embedding_input, percent
 from newsflow.functions.vectors import check_shard, shard_of
-from newsflow.operators.merge import absent_rows
+from newsflow.operators.merge import absent_rows, stored_rows
 
 
 def embedding_backlog(articles: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -26,14 +26,16 @@ def embedding_work_set(
     """Id, encoder input and time of one shard of the backlog.
 
     The shard is a property of the id alone, so it is cut before the join and
-    both sides of the join shrink with it.
+    both sides of the join shrink with it. Ids alone decide what is due; only
+    then are the texts of those articles fetched.
     """
     check_shard(shard, shards)
     if shards > 1:
         articles = articles.where(shard_of(F.col("article_id"), shards) == shard)
         embeddings = embeddings.where(shard_of(F.col("article_id"), shards) == shard)
     text = embedding_input(F.col("title"), F.col("text"), model, null_title)
-    return embedding_backlog(articles, embeddings).select("article_id", text.alias("text"), "datetime")
+    due = embedding_backlog(articles.select("article_id"), embeddings)
+    return stored_rows(articles, due).select("article_id", text.alias("text"), "datetime")
 
 
 def backlog_shares(articles: DataFrame, embeddings: DataFrame, shards: int) -> DataFrame:

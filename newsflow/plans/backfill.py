@@ -11,7 +11,7 @@ from newsflow.functions.urls import netloc
 from newsflow.operators import gate, ledger, unify
 from newsflow.operators.dedup import first_n_per_key, first_per_key
 from newsflow.operators.language import detect_language
-from newsflow.operators.merge import absent_rows, apply_status_updates, upsert_latest
+from newsflow.operators.merge import absent_rows, apply_status_updates, new_rows, upsert_latest
 from newsflow.session import materialise, work_dir
 from newsflow.sources import tables
 from newsflow.sources.archives import decode_payload, read_archives
@@ -106,10 +106,10 @@ def run_backfill(
         lines.select("url", "domain", "title", "date", "author", "lang", "text", "warc_path", "record_no"), job.landing
     )
     batch = unify.archive_articles(lines, job.source_type, ["warc_path", "record_no"])
-    batch = first_per_key(batch, ["article_id"], [F.col("warc_path"), F.col("record_no")])
+    firsts = first_per_key(batch, ["article_id"], [F.col("warc_path"), F.col("record_no")])
     stored = tables.read_table(spark, job.articles, schemas.ARTICLES)
     new_path = work_dir(spark, "new-articles")
-    absent_rows(batch, stored).withColumn("source_warc", F.col("warc_path")).write.parquet(new_path)
+    new_rows(firsts, stored, batch).withColumn("source_warc", F.col("warc_path")).write.parquet(new_path)
     new = spark.read.parquet(new_path)
     schemas.align(new, schemas.ARTICLES).write.mode("append").parquet(job.articles)
 

@@ -12,15 +12,21 @@ from newsflow.sources.files import READ_ORDER, scan_tree
 
 
 def build_corpus(
-    spark: SparkSession, archive_root: str, feed_root: str, bulk_root: str, allowed=settings.ALLOWED_DOMAINS
+    spark: SparkSession,
+    archive_root: str,
+    feed_root: str,
+    bulk_root: str,
+    allowed=settings.ALLOWED_DOMAINS,
+    fingerprint_chars: int | None = None,
 ) -> DataFrame:
+    """The corpus of three trees. Whole texts are compared unless ``fingerprint_chars`` limits it."""
     line = ["url", "title", "date", "author", "lang", "text"]
     parts = [
         unify.archive_part(scan_tree(spark, archive_root, line), READ_ORDER, allowed),
         unify.feed_part(scan_tree(spark, feed_root, line), READ_ORDER),
         unify.bulk_part(scan_tree(spark, bulk_root, ["url", "title", "date", "author", "article"]), READ_ORDER),
     ]
-    return unify.unified_corpus(parts, READ_ORDER)
+    return unify.unified_corpus(parts, READ_ORDER, chars=fingerprint_chars)
 
 
 def page_coverage(pages: DataFrame, denied=settings.DENIED_URL_PARTS) -> DataFrame:

@@ -10,7 +10,7 @@ from newsflow.functions.text import sha256_hex
 from newsflow.functions.urls import domain_from_url
 from newsflow.operators import gate, unify
 from newsflow.operators.dedup import first_per_key
-from newsflow.operators.merge import absent_rows
+from newsflow.operators.merge import new_rows
 from newsflow.session import broadcast_if_small, materialise
 from newsflow.sources import feeds, tables
 
@@ -25,7 +25,7 @@ def new_candidates(entries: DataFrame, stored: DataFrame, max_entries: int | Non
     """Links of the feeds that are allowed and not stored yet, once per link; all entries unless limited."""
     marked = feeds.mark_entries(_within(entries, max_entries), **lists)
     links = feeds.candidates(marked).withColumn("article_id", sha256_hex(F.col("url")))
-    return absent_rows(first_per_key(links, ["article_id"], [F.col("feed_url")]), stored)
+    return new_rows(first_per_key(links, ["article_id"], [F.col("feed_url")]), stored, links)
 
 
 def feed_lines(

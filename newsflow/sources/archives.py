@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,6 +25,10 @@ _ARROW_SCHEMA = pa.schema(
     ]
 )
 _BATCH_BYTES = 16 << 20
+_CHARSET = re.compile(rb"charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
+_META_CHARSET = re.compile(rb"<meta[^>]{0,500}?charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
+_META_BYTES = 4096  # where a page names its charset
+_BAD_BODY = (OSError, EOFError, ValueError, zlib.error)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -84,27 +89,62 @@ def _headers(stream) -> dict[str, str]:
     return found
 
 
-def _http_body(block: bytes) -> bytes:
-    """Body of an HTTP response as its sender meant it."""
+def _as_utf8(body: bytes, content_type: str) -> bytes:
+    """A text body in UTF-8: the charset is the header's, else the page's own, else UTF-8."""
+    if content_type and not re.search("text|html|xml|json", content_type, re.I):
+        return body
+    named = _CHARSET.search(content_type.encode()) or _META_CHARSET.search(body[:_META_BYTES])
+    name = named[1].decode().lower() if named else "utf-8"
+    if name in ("utf-8", "utf8"):
+        return body
+    if name in ("iso-8859-1", "latin1", "us-ascii", "ascii"):
+        name = "cp1252"  # as browsers read them
+    try:
+        return body.decode(name, "replace").encode("utf-8", "replace")
+    except LookupError:
+        return body
+
+
+def _http_body(block: bytes) -> tuple[bytes, str | None]:
+    """Body of an HTTP response as its sender meant it, texts in UTF-8.
+
+    A body that is not coded as declared stays as it is, with the problem.
+    """
     stream = io.BytesIO(block)
     if not block.startswith(b"HTTP/"):
-        return block
+        return block, None
     stream.readline()
     headers = _headers(stream)
-    body = stream.read()
+    raw = stream.read()
+    problem = None
+    try:
+        body = _decoded(raw, headers)
+    except _BAD_BODY as found:
+        body, problem = raw, f"{type(found).__name__}: {found}"
+    return _as_utf8(body, headers.get("content-type", "")), problem
+
+
+def _decoded(body: bytes, headers: dict[str, str]) -> bytes:
+    """The body without transfer and content encodings."""
     if headers.get("transfer-encoding", "").lower() == "chunked":
         source, parts = io.BytesIO(body), []
         while size := int(source.readline().split(b";")[0].strip() or b"0", 16):
             parts.append(source.read(size))
             source.readline()
         body = b"".join(parts)
-    if headers.get("content-encoding", "").lower() in ("gzip", "x-gzip"):
-        body = gzip.decompress(body)
+    coding = headers.get("content-encoding", "").lower()
+    if coding in ("gzip", "x-gzip"):
+        return gzip.decompress(body)
+    if coding == "deflate":
+        # With the zlib header, or without as some servers send it.
+        return zlib.decompress(body, 15 if body[:1] == b"\x78" else -15)
+    if coding not in ("", "identity"):
+        raise ValueError(f"content encoding {coding} is not read")
     return body
 
 
-def _records(path: str) -> Iterator[tuple[str, str | None, bytes | None]]:
-    """Type, target URL and payload of each record; only responses carry a payload."""
+def _records(path: str) -> Iterator[tuple[str, str | None, bytes | None, str | None]]:
+    """Type, target URL, payload and decoding problem of each record; only responses carry a payload."""
     filesystem, name = filesystem_of(path)
     with filesystem.open_input_stream(name, compression=None) as raw:
         stream = io.BufferedReader(_Chunks(_members(raw)), 1 << 20)
@@ -120,7 +160,7 @@ def _records(path: str) -> Iterator[tuple[str, str | None, bytes | None]]:
                 raise EOFError("archive ends inside a record")
             kind = headers.get("warc-type", "")
             url = headers.get("warc-target-uri", "").strip("<>") or None
-            yield kind, url, _http_body(block) if kind == "response" else None
+            yield kind, url, *(_http_body(block) if kind == "response" else (None, None))
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +173,13 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for warc_path, location in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             number = -1
             try:
-                for number, (kind, url, payload) in enumerate(_records(location)):
-                    rows.append((warc_path, number, kind, url, payload, None))
+                for number, (kind, url, payload, problem) in enumerate(_records(location)):
+                    rows.append((warc_path, number, kind, url, payload, problem))
                     size += len(payload or b"") + 200
                     if size >= _BATCH_BYTES:
                         yield flush(rows)
                         rows, size = [], 0
-            except (OSError, EOFError, ValueError, zlib.error) as problem:
+            except _BAD_BODY as problem:
                 # One bad archive is a row of its own, not the end of the job.
                 rows.append((warc_path, number + 1, "error", None, None, f"{type(problem).__name__}: {problem}"))
     if rows:

@@ -9,7 +9,7 @@ from newsflow import schemas
 from newsflow.functions.dates import lenient_date, partition_month, partition_year
 from newsflow.functions.urls import archive_file, archive_month, archive_year
 from newsflow.operators.dedup import first_per_key
-from newsflow.operators.merge import absent_rows
+from newsflow.operators.merge import new_rows
 
 
 def land_articles(lines: DataFrame, root: str) -> None:
@@ -74,7 +74,7 @@ def append_if_absent(
     spark = batch.sparkSession
     offered, written = Observation(), Observation()
     firsts = first_per_key(batch, [key], order).observe(offered, F.count("*").alias("n"))
-    new = absent_rows(firsts, read_table(spark, path, schema), key)
+    new = new_rows(firsts, read_table(spark, path, schema), batch, key)
     new = schemas.align(new, schema).observe(written, F.count("*").alias("n"))
     writer = new.write.mode("append")
     if partition:

@@ -26,11 +26,14 @@ def landed_lines(spark: SparkSession, landing: str, max_files: int | None = None
     return reader.json(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def first_seen_links(lines: DataFrame, keep: str = "1 day") -> DataFrame:
-    """Lines without repeats of a link within ``keep``; state older than that is dropped.
+def first_seen_links(lines: DataFrame, keep: str | None = None) -> DataFrame:
+    """Lines without repeats of a link, however late they come.
 
-    Repeats beyond are caught by the merge.
+    The state holds one id per link for good. With ``keep`` it forgets links
+    older than that, and lines that come later than that are lost, seen or not.
     """
+    if keep is None:
+        return lines.withColumn("article_id", sha256_hex(F.col("url"))).dropDuplicates(["article_id"])
     timed = lines.withColumn("collected_ts", lenient_timestamp(F.col("collected_at")))
     keyed = timed.withColumn("article_id", sha256_hex(F.col("url")))
     return keyed.withWatermark("collected_ts", keep).dropDuplicatesWithinWatermark(["article_id"])

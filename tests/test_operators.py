@@ -120,6 +120,19 @@ def test_merge_of_a_small_batch_does_not_shuffle_the_stored_table(spark, tmp_pat
     assert merge.upsert_latest(stored, batch, [F.col("article_id")]).count() == 100010
 
 
+def test_insert_of_a_small_batch_leaves_the_stored_table_in_place(spark, tmp_path):
+    key = F.col("id").cast("string").alias("article_id")
+    spark.range(3_000_000).select(key).write.parquet(str(tmp_path / "stored"))
+    spark.range(2_999_990, 3_000_010).select(key).write.parquet(str(tmp_path / "batch"))
+    stored, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("stored", "batch"))
+    new = merge.insert_if_absent(batch, stored, [F.col("article_id")])
+    lines = plan_of(new).splitlines()
+    scan = next(n for n, line in enumerate(lines) if "FileScan" in line and "/stored" in line)
+    above = [line for line in lines[:scan] if "Exchange" in line or "LeftSemi" in line]
+    assert "BroadcastHashJoin" in above[-1] and "LeftSemi" in above[-1]
+    assert sorted(r.article_id for r in new.collect()) == [str(n) for n in range(3_000_000, 3_000_010)]
+
+
 def test_failed_archive_keeps_counts_and_retry_clears_the_error(spark):
     columns = "warc_path string, month string, status string, rows_written int, rows_inserted int, error_text string, updated_at timestamp"
     stored = spark.createDataFrame([], columns)

@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from newsflow.operators.language import train_language_model
 from newsflow.plans import backfill
 from newsflow.session import materialise
 from newsflow.sources import archives, feeds, files, tables
+from newsflow.streaming import landing as landing_stream
 
 
 def put(path, content):
@@ -155,3 +157,45 @@ def test_broken_rows(spark):
 def test_query(spark, sql, params, rows):
     frame = files.query(spark, sql, params)
     assert rows is None or frame.count() == rows
+
+
+def record(url, headers, body):
+    http = b"HTTP/1.1 200 OK\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers.items()).encode() + b"\r\n" + body
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(http)}\r\n\r\n"
+    return gzip.compress(head.encode() + http + b"\r\n\r\n")
+
+
+def test_bodies_of_all_encodings_and_charsets(spark, tmp_path):
+    page = "<html><p>Привет, мир</p></html>"
+    marked = '<html><meta charset="windows-1251"><p>Привет</p></html>'
+    deflated = zlib.compress(page.encode())
+    records = [
+        record("http://a/0", {"Content-Encoding": "gzip"}, b"not gzip"),
+        record("http://a/1", {"Transfer-Encoding": "chunked"}, b"zz\r\nnot chunked"),
+        record("http://a/2", {"Content-Type": "text/html; charset=windows-1251"}, page.encode("cp1251")),
+        record("http://a/3", {"Content-Type": "text/html"}, marked.encode("cp1251")),
+        record("http://a/4", {"Content-Encoding": "deflate"}, deflated),
+        record("http://a/5", {"Content-Encoding": "deflate"}, deflated[2:-4]),
+        record("http://a/6", {"Content-Type": "text/html; charset=nonsense"}, page.encode()),
+        record("http://a/7", {"Content-Encoding": "br"}, b"\x8b"),
+    ]
+    put(tmp_path / "one.warc.gz", b"".join(records))
+    manifest = spark.createDataFrame([("one.warc.gz",)], "warc_path string")
+    rows = archives.decode_payload(archives.read_archives(manifest, str(tmp_path))).orderBy("record_no").collect()
+    assert [r.record_no for r in rows] == list(range(8)) and {r.rec_type for r in rows} == {"response"}
+    assert [r.html for r in rows[:7]] == ["not gzip", "zz\r\nnot chunked", page, marked, page, page, page]
+    assert [r.record_no for r in rows if r.read_error] == [0, 1, 7]
+
+
+def test_late_lines_of_a_stream_are_kept(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    seen = []
+    for n, lines in enumerate([[("u1", "10")], [("u2", "05"), ("u3", "11")], [("u4", "05"), ("u1", "05"), ("u5", "12")]]):
+        text = "".join(json.dumps({"url": u, "collected_at": f"2025-01-{day}T00:00:00"}) + "\n" for u, day in lines)
+        put(landing / f"{n}.json", text.encode())
+        links = landing_stream.first_seen_links(landing_stream.landed_lines(spark, str(landing))).select("url")
+        links.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        seen = sorted(r.url for r in spark.read.schema("url string").parquet(out).collect())
+    assert seen == ["u1", "u2", "u3", "u4", "u5"]
