@@ -59,7 +59,7 @@ def _emails(text: str) -> list[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) by kind, then start; code points, end exclusive."""
     spans = [("email", s, e) for s, e in _emails(text)]
-    spans += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    spans += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in (g.lstrip("0") for g in m.groups()))]
     for m in _CARD.finditer(text):
         if len(m[0]) >= 16 and 16 <= len(digits := _NO_DIGIT.sub("", m[0])) <= 19 and _luhn(digits):
             spans.append(("card", *m.span()))
