@@ -11,7 +11,7 @@ from newsflow.operators import gate
 from newsflow.operators.embed import embed_texts
 from newsflow.operators.language import detect_language, train_language_model
 from newsflow.operators.neighbours import nearest_neighbours, with_titles
-from newsflow.session import materialise
+from newsflow.session import materialise, spread_small
 
 
 def _sql_page() -> str:
@@ -45,7 +45,7 @@ PAGE_TEXT = _sql_page()
 
 
 def _extracted(spark, d):
-    pages = gate.extract_pages(I.table(spark, d, "pages"))
+    pages = gate.extract_pages(spread_small(I.table(spark, d, "pages")))
     return pages.withColumn("lang", gate.page_lang(F.col("html")))
 
 
@@ -97,7 +97,7 @@ _COUNTERS = """count(*) AS records_seen, count(*) FILTER (stage <> 'other_record
 
 def _gated(spark, d):
     n = F.col("page_id")
-    pages = I.table(spark, d, "pages").select(
+    pages = spread_small(I.table(spark, d, "pages")).select(
         "page_id",
         (n % 4).alias("archive"),
         F.when(n % 10 == 0, "request").otherwise("response").alias("rec_type"),

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsflow import settings
 from newsflow.functions.text import in_languages, is_filled, strip
 from newsflow.functions.urls import in_allow_list_loose, is_article_url
-from newsflow.session import spread_small
 
 # Elements whose content is never part of an article.
 _DROPPED = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "iframe", "svg")
@@ -56,13 +55,31 @@ def unescape(text: Column) -> Column:
 
 
 def _meta(html: Column, name: str) -> Column:
-    # The value ends at the quote that opened it.
-    pattern = rf"(?is)<meta\s+(?:name|property|itemprop)=[\"']{name}[\"']\s+content=(?:\"([^\"]*)\"|'([^']*)')"
+    # Attributes come in any order. The value ends at the quote that opened it.
+    named = rf"(?=\s(?:[^>]*?\s)?(?:name|property|itemprop)=[\"']{name}[\"'])"
+    pattern = rf"(?is)<meta{named}\s(?:[^>]*?\s)?content=(?:\"([^\"]*)\"|'([^']*)')"
     return F.nullif(F.concat(F.regexp_extract(html, pattern, 1), F.regexp_extract(html, pattern, 2)), F.lit(""))
 
 
+def _up_to_last(text: Column, closing: str) -> Column:
+    return F.regexp_extract(text, rf"(?is)^(.*{closing})", 1)
+
+
+def _replace_up_to_last(text: Column, closing: str, pattern: str, by: str) -> Column:
+    """Replace ``pattern``, which ends in ``closing``, and look for it up to the last ``closing`` only.
+
+    Behind that nothing can match, but from every opening there a search would
+    run to the end of the page, which is quadratic in pages of unclosed tags.
+    """
+    rest = lambda t, head: F.substring(t, F.length(head) + 1, F.length(t))
+    within = lambda t: F.transform(
+        F.array(_up_to_last(t, closing)), lambda head: F.concat(F.regexp_replace(head, pattern, by), rest(t, head))
+    )[0]
+    return F.transform(F.array(text), within)[0]
+
+
 def raw_title(html: Column) -> Column:
-    return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return F.regexp_extract(_up_to_last(html, "</title>"), r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
 def page_lang(html: Column) -> Column:
@@ -94,15 +111,15 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     same reason the results pass through a generator: a filter on them is not
     copied below it, which would extract every page twice.
     """
-    body = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->", "")
+    body = _replace_up_to_last(F.col(html), "-->", r"(?s)<!--.*?-->", "")
     for tag in _DROPPED:
-        body = F.regexp_replace(body, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
+        body = _replace_up_to_last(body, rf"</{tag}\s*>", rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
     inner = lambda tag: F.nullif(
-        F.regexp_extract("_body", rf"(?is)<{tag}(?:\s[^>]*)?>(.*)</{tag}\s*>", 1), F.lit("")
+        F.regexp_extract(_up_to_last(F.col("_body"), rf"</{tag}\s*>"), rf"(?is)<{tag}(?:\s[^>]*)?>(.*)</{tag}\s*>", 1), F.lit("")
     )
     block = F.coalesce(inner("article"), inner("main"), inner("body"), F.col("_body"))
-    lines = F.regexp_replace("_block", rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n")
-    plain = F.regexp_replace(lines, r"(?s)<[^>]*>", "")
+    lines = _replace_up_to_last(F.col("_block"), ">", rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n")
+    plain = _replace_up_to_last(lines, ">", r"(?s)<[^>]*>", "")
     # One expression decodes all three texts.
     decoded = F.transform(F.array(raw_title(F.col(html)), raw_author(F.col(html)), F.col("_plain")), unescape)
     title, author, text = (F.col("_decoded")[n] for n in range(3))
@@ -114,7 +131,7 @@ def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
         filled(author).alias("author"),
         filled(spaced).alias("text"),
     )
-    steps = spread_small(df).withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
+    steps = df.withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
     return steps.withColumn("_decoded", decoded).select(*df.columns, F.inline(F.array(extracted)))
 
 

@@ -65,7 +65,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def spread_small(df: DataFrame, bytes_per_task: int = 64 << 20) -> DataFrame:
-    """Deal a small input out to all cores before work that costs much per row.
+    """Deal a small stored table out to all cores before work that costs much per row.
+
+    Hand in tables only: Spark's estimate of their size is that of their files,
+    but behind a Python step it is that of the step's input.
 
     A few files make a few splits, so most cores would idle. A large input has
     splits enough and is left where it is, without a shuffle.

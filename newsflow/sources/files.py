@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import json
+import re
+
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow import schemas
 from newsflow.functions.text import half_even
 
-# Readers by file suffix, in the order their rows are united.
 _SUFFIXES = ("csv", "jsonl", "parquet")
 
 READ_ORDER = ["source_file", "source_block", "source_row"]
@@ -18,11 +23,6 @@ def read_order() -> list[Column]:
     return [F.col(c).asc() for c in READ_ORDER]
 
 
-def _any_case(suffix: str) -> str:
-    letters = "".join(f"[{c}{c.upper()}]" for c in suffix)
-    return f"*.{letters}"
-
-
 def _with_read_order(df: DataFrame) -> DataFrame:
     """Add file, block and row position.
 
@@ -53,41 +53,78 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON lines with the given columns as text. No inference pass; absent ones are null."""
-    return _with_read_order(_scan_suffix(spark, path, "jsonl", columns))
+    return _with_read_order(_scan_jsonl(spark, path, columns))
 
 
-def _scan_suffix(spark: SparkSession, root: str, suffix: str, columns: list[str] | None) -> DataFrame:
-    glob = "*.[jJ][sS][oO][nN]{,[lL]}" if suffix == "jsonl" else _any_case(suffix)
-    settings = {"recursiveFileLookup": True, "pathGlobFilter": glob}
-    reader = spark.read.options(**settings)
-    if suffix == "jsonl":
-        if columns:
-            reader = reader.schema(schemas.text_schema(columns))
-        return reader.json(root)
+def _scan_jsonl(spark: SparkSession, root: str, columns: list[str] | None) -> DataFrame:
+    reader = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.[jJ][sS][oO][nN]{,[lL]}")
+    return (reader.schema(schemas.text_schema(columns)) if columns else reader).json(root)
+
+
+def _csv_columns(header: list[str]) -> list[str]:
+    """Column names of a header; empty and repeated ones are told apart by their place."""
+    lowered = [h.lower() for h in header]
+    return [f"{h or '_c'}{i}" if not h or lowered.count(h.lower()) > 1 else h for i, h in enumerate(header)]
+
+
+def _scan_alike(spark: SparkSession, paths: list[str], suffix: str, head: str) -> DataFrame:
+    """CSV files of one header, or parquet files of one schema."""
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+    reader = spark.read.option("recursiveFileLookup", True)
+    if suffix == "csv":
+        # All values are text. Quoted values may hold line feeds, so a file is one task.
+        reader = reader.schema(schemas.text_schema(_csv_columns(json.loads(head))))
+        return reader.options(header=True, mode="DROPMALFORMED", multiLine=True, escape='"').csv(literal)
+    return reader.parquet(*literal)
+
+
+def _file_head(path: str, suffix: str) -> str:
+    """What files must share to be read together: column names (CSV) or schema (parquet)."""
+    from newsflow.sources.archives import filesystem_of
+
+    filesystem, name = filesystem_of(path)
     if suffix == "csv":
-        # Only header lines are read to find the columns; all values are text.
-        options = {"header": True, "mode": "DROPMALFORMED", "multiLine": True, "escape": '"'}
-        return reader.options(**options).csv(root)
-    # A scan skips empty files, but the schema pass would stumble over them.
-    lenient = spark.read.options(**settings, mergeSchema=True, ignoreCorruptFiles=True)
-    return reader.schema(lenient.parquet(root).schema).parquet(root)
+        with filesystem.open_input_stream(name) as stream:
+            lines = io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline="")
+            return json.dumps(next((row for row in csv.reader(lines) if row), []))
+    with filesystem.open_input_file(name) as file:
+        return pq.read_schema(file).remove_metadata().to_string()
+
+
+def _alike(files: DataFrame) -> list[tuple[str, str, list[str]]]:
+    """Suffix, head and paths of the files that can be read together; JSON lines need no paths.
+
+    Headers and footers are read inside the tasks. Paths come to the driver,
+    where Spark keeps the list of files of every scan anyway.
+    """
+
+    def heads(batches):
+        for batch in batches:
+            text = batch["suffix"] == "jsonl"
+            batch["head"] = ["" if t else _file_head(p, s) for t, p, s in zip(text, batch["path"], batch["suffix"])]
+            batch.loc[text, "path"] = None
+            yield batch
+
+    found = files.select("suffix", "path").mapInPandas(heads, "suffix string, path string, head string")
+    groups = found.groupBy("suffix", "head").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return [(r["suffix"], r["head"], r["paths"]) for r in groups.orderBy("suffix", "head").collect()]
 
 
 def scan_tree(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
     """All rows of the CSV, JSON-lines and parquet files below ``root``, united by name.
 
-    Empty files are skipped and malformed CSV rows dropped. With ``columns``
-    those are returned as text and no file is read to infer its types;
-    without, types are inferred and columns of mixed type become text. The
-    lineage columns of ``READ_ORDER`` are added. An empty tree gives no rows.
+    CSV files may differ in their headers and parquet files in their types:
+    files that agree are one scan. Empty files are skipped and malformed CSV
+    rows dropped. With ``columns`` those are returned as text and no file is
+    read to infer its types; without, types are inferred and columns of mixed
+    type become text. The lineage columns of ``READ_ORDER`` are added. An
+    empty tree gives no rows.
     """
-    files = file_listing(spark, root).where(F.col("suffix").isin(*_SUFFIXES))
-    found = {r["suffix"] for r in files.where("bytes > 0").select("suffix").distinct().collect()}
+    files = file_listing(spark, root).where(F.col("suffix").isin(*_SUFFIXES) & (F.col("bytes") > 0))
     parts = []
-    for suffix in _SUFFIXES:
-        if suffix not in found:
-            continue
-        part = _with_read_order(_scan_suffix(spark, root, suffix, columns))
+    for suffix, head, paths in _alike(files):
+        scan = _scan_jsonl(spark, root, columns) if suffix == "jsonl" else _scan_alike(spark, paths, suffix, head)
+        part = _with_read_order(scan)
         if columns:
             present = set(part.columns)
             part = part.select(

@@ -1,6 +1,7 @@
 """Scalar functions against plain Python with the standard library."""
 
 import hashlib
+import time
 from email.utils import parsedate_to_datetime
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
@@ -143,3 +144,19 @@ def test_mail_dates_with_two_digit_years_and_quoted_meta_values(spark):
     rows = [("Tue, 15 Nov 94 12:45:26 GMT", """<meta name="author" content="Conan O'Brien">"""), ("1 Jan 07 00:00:00 +0000", "<meta name='author' content='A \"B\" C'>")]
     got = spark.createDataFrame(rows, "d string, h string").select(rfc822_timestamp(F.col("d")).cast("string"), _meta(F.col("h"), "author")).collect()
     assert [tuple(r) for r in got] == [("1994-11-15 12:45:26", "Conan O'Brien"), ("2007-01-01 00:00:00", 'A "B" C')]
+
+
+def test_meta_attributes_in_any_order(spark):
+    from newsflow.operators.gate import _meta
+
+    cases = ['<meta content="A" name="author">', '<meta charset="x"><meta data-x="1" itemprop="author" lang="en" content="B">', '<meta content="C"><meta name="author">', None]
+    assert column(spark, cases, lambda c: _meta(c, "author")) == ["A", "B", None, None]
+
+
+@pytest.mark.parametrize("piece", ["<form>", "<!--", "<article>", "<title>", "<"])
+def test_extraction_of_unclosed_tags_is_linear(spark, piece):
+    page = lambda size: extract_pages(spark.createDataFrame([("<p>text</p>" + piece * (size // len(piece)),)], "html string"))
+    page(1000).collect()
+    started = time.monotonic()
+    row = page(1_000_000).first()
+    assert row.text.startswith("text") and time.monotonic() - started < 20

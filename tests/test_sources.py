@@ -43,6 +43,18 @@ def test_tree_of_formats(spark, tmp_path):
     assert {r.month for r in months.collect()} >= {"2024/01", "2024/02", "2024/03"}
 
 
+def test_csv_headers_and_parquet_types_may_differ(spark, tmp_path):
+    put(tmp_path / "a.csv", "url,title,text\nu1,t1,x1\n")
+    put(tmp_path / "b[1].csv", "﻿title,url,text\nt2,u2,x2\n")
+    put(tmp_path / "c.csv", 'url,text\nu3,"x3, more"\n')
+    for name, kind in (("n", "bigint"), ("s", "string")):
+        spark.range(7, 8).select(F.col("id").cast(kind).alias("url"), F.lit(name).alias("title")).write.parquet(str(tmp_path / name))
+    expected = [("7", "n", None), ("7", "s", None), ("u1", "t1", "x1"), ("u2", "t2", "x2"), ("u3", None, "x3, more")]
+    for columns in (["url", "title", "text"], None):
+        rows = files.scan_tree(spark, str(tmp_path), columns)
+        assert sorted(((r.url, r.title, r.text) for r in rows.collect()), key=str) == expected
+
+
 def test_empty_tree(spark, tmp_path):
     put(tmp_path / "notes.txt", "x")
     assert files.scan_tree(spark, str(tmp_path), ["url"]).count() == 0
