@@ -31,8 +31,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    """What follows the host up to "?", "#" or the end; '' if there is no host part."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """What follows the host up to "?", "#" or the end; '' if there is no host part. No later "://" is tried."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^(?>.*?://)[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def reversed_host(host: Column) -> Column:

@@ -194,6 +194,14 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(pages.limit(0), ruled).collect() == [] and url_rules.judge_urls(pages, ruled.limit(0)).count() == len(want)
 
 
+def test_url_with_a_second_scheme(spark):
+    urls = ["http://example.com?u=http://x.org/en/1", "http://example.com#http://x.org/en/1", "http://example.com/en/?u=http://x.org/fr/1", "http://?http://example.com/en/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    ruled = spark.createDataFrame([("com", "/", "allow"), ("example.com", "/en/", "block")], "host string, path string, verdict string")
+    got = bag(url_rules.judge_urls(pages, ruled).collect())
+    assert got == bag([(0, "example.com", "", None, "allow"), (1, "example.com", "", None, "allow"), (2, "example.com", "/en/", "example.com/en/", "block"), (3, "", "", None, "allow")])
+
+
 def test_quality_rules(docs, none):
     def slow(text):
         words, lines = re.findall(WORD, text), [x for x in text.split("\n") if re.search(WORD, x)]
