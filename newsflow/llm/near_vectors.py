@@ -14,6 +14,9 @@ TREES = 4
 LEAF = 512
 SPILL = 0.75
 SAMPLE = 30_000  # vectors that the splits are fitted on; every vector is indexed
+PROBE, PROBE_PAIRS = 1_000, 5_000  # vectors and close pairs that judge the splits of a node
+KEPT = 0.6  # share of a node's close pairs that the splits above and at it leave together, in one tree
+TILE = 1024  # vectors compared with all of their piece at once
 
 
 def _units(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -40,34 +43,57 @@ def _units(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 class Forest:
-    """Trees of random splits. A vector near a split goes down both sides."""
+    """Trees of random splits. A vector near a split goes down both sides.
 
-    def __init__(self, sample: np.ndarray, trees: int, leaf: int, margin: float, seed: int = 0) -> None:
-        self.random, self.margin, self.leaves = np.random.default_rng(seed), margin, 0
+    A split is taken where the node's own pairs at ``threshold`` show that it
+    parts few of them and that it saves work; along a path at least KEPT of
+    them stay together. A region too dense for that is one leaf.
+    """
+
+    def __init__(self, sample: np.ndarray, trees: int, leaf: int, margin: float, threshold: float, seed: int = 0) -> None:
+        self.random, self.margin, self.threshold, self.leaves = np.random.default_rng(seed), margin, threshold, 0
         self.directions: list[np.ndarray] = []
         self.nodes: list[tuple] = []  # (direction, split, left, right), or (leaf,)
-        self.roots = [self._grow(sample, np.arange(len(sample)), leaf, 0) for _ in range(trees)]
+        self.roots = [self._grow(sample, np.arange(len(sample)), leaf, 0, 1.0) for _ in range(trees)]
         self.random = None
 
-    def _grow(self, sample: np.ndarray, rows: np.ndarray, leaf: int, depth: int) -> int:
+    def _grow(self, sample: np.ndarray, rows: np.ndarray, leaf: int, depth: int, kept: float) -> int:
         at = len(self.nodes)
         self.nodes.append(())
-        if len(rows) > leaf and depth < 40:
-            for _ in range(3):
-                direction = self.random.standard_normal(sample.shape[1])
-                direction /= np.sqrt(direction @ direction)
-                place = sample[rows] @ direction
-                split = float(np.median(place))
-                left, right = rows[place <= split + self.margin], rows[place > split - self.margin]
-                if max(len(left), len(right)) < 0.9 * len(rows):
-                    self.directions.append(direction)
-                    number = len(self.directions) - 1
-                    self.nodes[at] = (number, split, self._grow(sample, left, leaf, depth + 1), self._grow(sample, right, leaf, depth + 1))
-                    return at
-        self.nodes[at] = (self.leaves,)  # small enough, or too much alike to be split
-        self.leaves += 1
+        best = self._split(sample[rows], kept) if len(rows) > leaf and depth < 40 else None
+        if best is None:
+            self.nodes[at] = (self.leaves,)  # small enough, or too much alike to be split
+            self.leaves += 1
+            return at
+        _, direction, split, kept = best
+        self.directions.append(direction)
+        number, place = len(self.directions) - 1, sample[rows] @ direction
+        left, right = rows[place <= split + self.margin], rows[place > split - self.margin]
+        self.nodes[at] = (number, split, self._grow(sample, left, leaf, depth + 1, kept), self._grow(sample, right, leaf, depth + 1, kept))
         return at
 
+    def _split(self, points: np.ndarray, kept: float) -> tuple | None:
+        """Of some directions and places the one that parts the fewest close pairs for the work it saves."""
+        if len(points) > PROBE:
+            points = points[self.random.choice(len(points), PROBE, replace=False)]
+        a, b = np.nonzero(np.triu(points @ points.T >= self.threshold, 1))
+        if len(a) > PROBE_PAIRS:
+            some = self.random.choice(len(a), PROBE_PAIRS, replace=False)
+            a, b = a[some], b[some]
+        best = None
+        for _ in range(8):
+            direction = self.random.standard_normal(points.shape[1])
+            direction /= np.sqrt(direction @ direction)
+            place = points @ direction
+            low, high = np.minimum(place[a], place[b]), np.maximum(place[a], place[b])
+            for split in map(float, np.quantile(place, (0.3, 0.4, 0.5, 0.6, 0.7))):
+                left, right = (place <= split + self.margin).mean(), (place > split - self.margin).mean()
+                work = left**2 + right**2
+                loss = ((low <= split - self.margin) & (high > split + self.margin)).mean() if len(a) >= 20 else 0.0
+                if work <= 0.8 and kept * (1 - loss) >= KEPT and (best is None or loss + work / 4 < best[0]):
+                    best = loss + work / 4, direction, split, kept * (1 - loss)
+        return best
+
     def leaves_of(self, x: np.ndarray) -> list[list[int]]:
         found: list[list[int]] = [[] for _ in x]
         todo = [(root, np.arange(len(x))) for root in self.roots]
@@ -84,6 +110,24 @@ class Forest:
         return found
 
 
+def _met_before(leaves: list[np.ndarray], start: int, this: int) -> np.ndarray:
+    """Which members of the tile at ``start`` share a leaf before ``this`` with which others, as ``first_shared`` by products."""
+    row = np.repeat(np.arange(len(leaves)), [len(v) for v in leaves])
+    leaf = np.concatenate(leaves)
+    row, leaf = row[leaf < this], leaf[leaf < this]
+    met = np.zeros((min(TILE, len(leaves) - start), len(leaves)), bool)
+    # Only leaves that some member of the tile is in.
+    inside = np.unique(leaf[(row >= start) & (row < start + TILE)])
+    for at in range(0, len(inside), 256):
+        part = inside[at : at + 256]
+        column = np.minimum(np.searchsorted(part, leaf), len(part) - 1)
+        there = part[column] == leaf
+        marks = np.zeros((len(leaves), len(part)), "float32")
+        marks[row[there], column[there]] = 1
+        met |= marks[start : start + TILE] @ marks.T > 0
+    return met
+
+
 def link_vectors(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -100,8 +144,9 @@ def link_vectors(
     double precision, is at least ``threshold``; none below it link. Trees are
     fitted on at most ``sample`` vectors chosen by hash; all vectors run down
     them. ``spill`` is the overlap of splits, in standard deviations of how far
-    a pair at the threshold lies apart along a random direction. Equal vectors
-    are one class and always link. Leaves beyond ``leaf`` vectors are compared
+    a pair at the threshold lies apart along a random direction. A split that
+    would part too many of the close pairs of its node is not made, so a dense
+    region stays one leaf. Equal vectors are one class and always link. Leaves beyond ``leaf`` vectors are compared
     in pairs of blocks, without a limit; pairs are counted where they are found
     and not written out.
 
@@ -124,7 +169,7 @@ def link_vectors(
     points = np.stack([np.frombuffer(r["unit"]) for r in fitted])
     margin = spill * np.sqrt(2 - 2 * threshold) / np.sqrt(width / 8) / 2
     # So many sample points that a leaf holds about ``leaf`` of all vectors.
-    forest = df.sparkSession.sparkContext.broadcast(Forest(points, trees, max(8, leaf * len(points) // n), margin))
+    forest = df.sparkSession.sparkContext.broadcast(Forest(points, trees, max(8, leaf * len(points) // n), margin, threshold))
 
     def route(batches):
         for batch in batches:
@@ -149,17 +194,26 @@ def link_vectors(
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(v.as_py()) for v in table.column("unit")])
-        own = table.column("_own").to_numpy()
-        close = np.triu(x @ x.T >= threshold, 1)
-        if key[1].as_py() != key[2].as_py():
-            close &= own[:, None] != own[None, :]
-        a, b = np.nonzero(close)
-        if not len(a):
-            return PAIRED.empty_table()
-        once = first_shared([np.array(v) for v in table.column("leaves").to_pylist()], a, b, key[0].as_py())
-        return summed_up(table.column("cls").to_numpy(), table.column("size").to_numpy(), a[once], b[once])
-
-    pieces = in_blocks(materialise(members), "leaf", "cls", F.lit(1), 2 * leaf, 1 << 40)
+        own, cls, sizes = (table.column(c).to_numpy() for c in ("_own", "cls", "size"))
+        leaves, this = [np.array(v) for v in table.column("leaves").to_pylist()], key[0].as_py()
+        found = []
+        for start in range(0, len(x), TILE):
+            close = np.triu(x[start : start + TILE] @ x.T >= threshold, start + 1)
+            if key[1].as_py() != key[2].as_py():
+                close &= own[start : start + TILE, None] != own[None, :]
+            few = np.count_nonzero(close) <= 50_000
+            if not few:
+                close &= ~_met_before(leaves, start, this)
+            a, b = np.nonzero(close)
+            a += start
+            if few and len(a):
+                once = first_shared(leaves, a, b, this)
+                a, b = a[once], b[once]
+            if len(a):
+                found.append(summed_up(cls, sizes, a, b))
+        return pa.concat_tables(found) if found else PAIRED.empty_table()
+
+    pieces = in_blocks(materialise(members), "leaf", "cls", F.lit(1), 8 * leaf, 1 << 40)
     paired = pieces.groupBy("leaf", "_i", "_j").applyInArrow(compare, "cls long, links long, root long")
     found = labelled(classes, paired).select("unit", "n_links", "component_id")
     joined = rows.join(found, "unit", "left")

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -312,6 +313,32 @@ def test_forest_recall(spark):
     assert 0.9 * links_there <= found <= links_there
 
 
+def test_recall_in_a_loose_cluster(spark, tmp_path):
+    """A third of the rows around one centre, at cosines around 0.95; all parameters as in production."""
+    random = np.random.default_rng(5)
+    n, width = 30_000, 64
+    x = random.standard_normal((n, width))
+    center = random.standard_normal(width)
+    x[: n // 3] = center / np.linalg.norm(center) + random.standard_normal((n // 3, width)) * np.sqrt((1 / 0.95 - 1) / width)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x[random.permutation(n)]
+    there = np.concatenate([(x[i : i + 1000] @ x.T >= 0.95).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    pd.DataFrame({"vec_id": range(n), "embedding": list(x)}).to_parquet(f"{tmp_path}/vectors.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/vectors.parquet")
+    found = near_vectors.link_vectors(frame).select("vec_id", "n_links").toPandas().sort_values("vec_id")["n_links"].to_numpy()
+    assert there.sum() > 10**7 and found.sum() >= 0.9 * there.sum()
+    assert found.sum() <= there.sum() + 100  # no pair counts twice; some may round across the threshold
+
+
+def test_pairs_met_before_equal_first_shared():
+    random = np.random.default_rng(6)
+    leaves = [np.unique(random.integers(0, 900, 30)) for _ in range(1500)]
+    a, b = np.nonzero(np.ones((len(leaves) - 1024, len(leaves)), bool))
+    want = ~links.first_shared(leaves, a[:200_000] + 1024, b[:200_000], 700)
+    got = near_vectors._met_before(leaves, 1024, 700)[a[:200_000], b[:200_000]]
+    assert (got == want).all() and 0 < got.sum() < len(got)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(139, 200), (200, 139), (7, 7)]
     got = dict(map(tuple, links.components(spark.createDataFrame(edges, "a long, b long")).collect()))
