@@ -14,6 +14,7 @@ TREES = 4
 LEAF = 512
 SPILL = 0.75
 SAMPLE = 30_000  # vectors that the splits are fitted on; every vector is indexed
+FORESTS = 16  # of different lengths
 PROBE, PROBE_PAIRS = 1_000, 5_000  # vectors and close pairs that judge the splits of a node
 KEPT = 0.6  # share of a node's close pairs that the splits above and at it leave together, in one tree
 TILE = 1024  # vectors compared with all of their piece at once
@@ -151,8 +152,9 @@ def link_vectors(
     and not written out.
 
     Null, empty and zero vectors, and vectors with null or non-finite
-    components, link with nothing. Vectors of another length than the most
-    frequent one link with equal ones only. component_id is the least id of a
+    components, link with nothing. Only vectors of one length link. Each of the
+    FORESTS most frequent lengths has a forest of its own; the vectors of any
+    rarer length are one leaf, compared exactly. component_id is the least id of a
     component; null ids count as ids only where there are no others. Repeated
     rows are copies of one another. An empty table gives no rows; other columns
     are not read. ``kept`` is whether the id is the component's.
@@ -160,21 +162,36 @@ def link_vectors(
     rows = materialise(_units(df, id_col, vec_col))
     grouped = rows.where("unit IS NOT NULL").groupBy("unit").agg(F.min("id").alias("least_id"), F.count("*").alias("size"))
     classes = materialise(grouped.withColumn("cls", F.monotonically_increasing_id()))
-    widths = classes.groupBy(F.length("unit").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(1).collect()
+    widths = classes.groupBy(F.length("unit").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(FORESTS).collect()
     if not widths:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    width, n = widths[0]
-    usual = classes.where(F.length("unit") == width)
-    fitted = usual.select("unit", F.xxhash64("unit").alias("_h")).orderBy("_h", "unit").limit(sample).collect()
-    points = np.stack([np.frombuffer(r["unit"]) for r in fitted])
-    margin = spill * np.sqrt(2 - 2 * threshold) / np.sqrt(width / 8) / 2
-    # So many sample points that a leaf holds about ``leaf`` of all vectors.
-    forest = df.sparkSession.sparkContext.broadcast(Forest(points, trees, max(8, leaf * len(points) // n), margin, threshold))
+    total, forests, first_leaf = classes.count(), {}, 0
+    for width, n in widths:
+        if n <= leaf:
+            continue  # as one leaf
+        share = min(sample, max(sample // FORESTS, sample * n // total))
+        fitted = classes.where(F.length("unit") == width).select("unit", F.xxhash64("unit").alias("_h")).orderBy("_h", "unit").limit(share).collect()
+        points = np.stack([np.frombuffer(r["unit"]) for r in fitted])
+        margin = spill * np.sqrt(2 - 2 * threshold) / np.sqrt(width / 8) / 2
+        # So many sample points that a leaf holds about ``leaf`` of all vectors.
+        forests[width] = first_leaf, Forest(points, trees, max(8, leaf * len(points) // n), margin, threshold)
+        first_leaf += forests[width][1].leaves
+    forest = df.sparkSession.sparkContext.broadcast(forests)
+
+    def leaves_of(units: list[bytes]) -> list[list[int]]:
+        """Leaves by row; numbers below 0 are lengths without a forest."""
+        found = [[-len(u)] for u in units]
+        lengths = np.array([len(u) for u in units])
+        for width, (first, trees) in forest.value.items():
+            own = np.flatnonzero(lengths == width)
+            if len(own):
+                for r, placed in zip(own, trees.leaves_of(np.stack([np.frombuffer(units[r]) for r in own]))):
+                    found[r] = [first + x for x in placed]
+        return found
 
     def route(batches):
         for batch in batches:
-            x = np.stack([np.frombuffer(v.as_py()) for v in batch.column("unit")]) if len(batch) else np.zeros((0, width // 8))
-            leaves = forest.value.leaves_of(x)
+            leaves = leaves_of(batch.column("unit").to_pylist())
             placed = [(r, leaf) for r, own in enumerate(leaves) for leaf in own]
             for start in range(0, len(placed), 20_000):
                 part = placed[start : start + 20_000]
@@ -190,7 +207,7 @@ def link_vectors(
                     names=["leaf", "cls", "size", "unit", "leaves"],
                 )
 
-    members = usual.select("cls", "size", "unit").mapInArrow(route, "leaf long, cls long, size long, unit binary, leaves array<long>")
+    members = classes.select("cls", "size", "unit").mapInArrow(route, "leaf long, cls long, size long, unit binary, leaves array<long>")
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(v.as_py()) for v in table.column("unit")])

@@ -330,6 +330,24 @@ def test_recall_in_a_loose_cluster(spark, tmp_path):
     assert found.sum() <= there.sum() + 100  # no pair counts twice; some may round across the threshold
 
 
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    random = np.random.default_rng(7)
+    vectors = []
+    for width, n in ((16, 330), (24, 270), (8, 40)):
+        centers = random.standard_normal((20, width))
+        vectors += [(centers[i % 20] + random.standard_normal(width) * 0.12).tolist() for i in range(n)]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    unit = [np.array(v) / np.linalg.norm(v) for v in vectors]
+    linked = [(a, b) for a in range(len(unit)) for b in range(a) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    degree, component = collections.Counter(x for pair in linked for x in pair), grouped(list(range(len(unit))), linked)
+    assert all(any(degree[i] for i in part) for part in (range(330), range(330, 600), range(600, 640)))
+    want = bag((i, degree[i], component[i]) for i in range(len(unit)))
+    for forests in (16, 1):  # a forest for each frequent length, and one with the others compared exactly
+        monkeypatch.setattr(near_vectors, "FORESTS", forests)
+        got = near_vectors.link_vectors(frame, leaf=64)
+        assert bag(got.select("vec_id", "n_links", "component_id").collect()) == want
+
+
 def test_pairs_met_before_equal_first_shared():
     random = np.random.default_rng(6)
     leaves = [np.unique(random.integers(0, 900, 30)) for _ in range(1500)]
