@@ -197,20 +197,22 @@ def stage_pages(
     pages: DataFrame,
     denied: tuple[str, ...] = settings.DENIED_URL_PARTS,
     allowed: tuple[str, ...] = settings.ALLOWED_DOMAINS,
-    max_bytes: int = settings.MAX_PAGE_BYTES,
+    max_bytes: int | None = settings.MAX_PAGE_BYTES,
 ) -> DataFrame:
     """Mark how far each record (``rec_type, url, payload_bytes``) gets before extraction.
 
     Cheap checks on the URL come before the one on the size, so a plan that
-    filters on ``stage`` extracts nothing that was refused.
+    filters on ``stage`` extracts nothing that was refused. Without
+    ``max_bytes`` no page is too large.
     """
+    too_large = F.lit(False) if max_bytes is None else F.col("payload_bytes") > max_bytes
     url_ok = is_article_url(F.col("url"), denied) & in_allow_list_loose(F.col("url"), allowed)
     return pages.withColumn(
         "stage",
         F.when(F.coalesce(F.col("rec_type") != "response", F.lit(True)), "other_record")
         .when(~is_filled(F.col("url")), "no_url")
         .when(~url_ok, "url_filtered")
-        .when(F.col("payload_bytes") > max_bytes, "too_large")
+        .when(too_large, "too_large")
         .otherwise("extract"),
     )
 

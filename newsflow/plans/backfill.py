@@ -31,7 +31,7 @@ class Backfill:
     langs: tuple[str, ...] = settings.ALLOWED_LANGS
     max_archives: int | None = None
     limit_first: bool = False
-    max_page_bytes: int = settings.MAX_PAGE_BYTES
+    max_page_bytes: int | None = None  # no limit
     max_rows_per_archive: int | None = None  # no limit
     min_text_chars: int = settings.MIN_TEXT_CHARS
     sample_rate: float | None = None

@@ -104,6 +104,19 @@ def test_a_broken_archive_fails_alone_and_is_retried(spark, tmp_path):
     assert months.agg(F.sum("total_warcs"), F.sum("done_warcs"), F.sum("failed_warcs")).first() == (len(paths), len(paths), 0)
 
 
+def test_backfill_keeps_pages_over_a_million_bytes(spark, tmp_path):
+    html = "<html lang='en'><head><title>T</title></head><body><article><p>" + "many words here " * 100_000 + "</p></article></body></html>"
+    spark.createDataFrame([(1, "http://news.example.com/en/1", html)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    root = str(tmp_path / "archives")
+    manifest = write_archives(spark, str(tmp_path), root)
+    job = backfill.Backfill(
+        archive_root=root, landing=str(tmp_path / "landing"), articles=str(tmp_path / "articles"),
+        archive_ledger=str(tmp_path / "ledger"), month_ledger=str(tmp_path / "months"), allowed=(), langs=("en",),
+    )
+    assert backfill.run_backfill(spark, manifest, job).first().inserted_total == 1
+    assert tables.read_table(spark, job.articles, schemas.ARTICLES).first().url == "http://news.example.com/en/1"
+
+
 def test_backfill_with_a_language_model(spark, tmp_path):
     folder, root = "/root/testdata/sf0.001", str(tmp_path / "archives")
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text")
