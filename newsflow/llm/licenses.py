@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Sentences of well-known licences and notices, by identifier.
 SENTENCES = {
@@ -64,25 +66,42 @@ RULES = (
     ("CC0-1.0", ("cc0",)),
 )
 
-# A sentence ends at a line feed, or at . ; : ! ? before white space or the end.
-_ENDS = r"[.;:!?]+(?=\s|$)|\n"
-_OTHER = r"[^a-z0-9]+"
+# A sentence ends at . ; : ! ? before white space or the end, but not inside "v. 2", and at a line without letters and digits.
+_CLOSES = r"(?!(?<=\b[vV])\.\s[^A-Za-z0-9]{0,9}[0-9])[.;:!?]+(?=\s|$)"
+_ENDS = _CLOSES + r"|\n[^\p{L}\p{N}\n]*(?=\n)"
 
 
 def sentences_of(text: Column) -> Column:
-    """The sentences of a text: parts between closing marks, and lines."""
+    """The parts of a text between closing marks and blank lines (or bare comment marks)."""
     return F.split(text, _ENDS)
 
 
 def normalised(sentence: Column) -> Column:
-    """Lower case; all but letters a-z and digits is one space; none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(sentence), _OTHER, " "))
+    """Lower case; line feeds stay; all else but letters a-z and digits is one space; none at the ends of lines."""
+    plain = F.regexp_replace(F.lower(sentence), r"[^a-z0-9\n]+", " ")
+    return F.btrim(F.regexp_replace(plain, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
 
+def _known(sentences: dict[str, str]) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Identifiers by normalised sentence; and by given identifier those of the sentences it is split into."""
+    known: dict[str, str] = {}
+    parts: dict[str, list[str]] = {}
+    for name, sentence in sentences.items():
+        plain = [re.sub(r"[^a-z0-9]+", " ", x.lower()).strip() for x in re.split(_CLOSES, sentence)]
+        plain = [x for x in plain if x]
+        parts[name] = [known.setdefault(x, name if len(plain) == 1 else f"{name}/{i}") for i, x in enumerate(plain, 1)]
+    return known, parts
 
-def _known(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
-    """Identifiers by normalised sentence. A known sentence holds no sentence end of its own."""
-    listed = spark.createDataFrame(list(sentences.items()), "sentence_id string, sentence string")
-    return listed.select("sentence_id", normalised(F.col("sentence")).alias("sentence")).dropDuplicates(["sentence"])
+
+def _begins(known: dict[str, str]) -> str:
+    """Pattern for the begin of a line that may begin a known sentence: up to three of its words, fewer if the line ends."""
+    starts = set()
+    for sentence in known:
+        pattern = ""
+        for w in reversed(sentence.split(" ")[:3]):
+            pattern = rf"{w}(?:\n|$| {pattern})"
+        starts.add(pattern)
+    return "(?:" + "|".join(sorted(starts)) + ")"
 
 
 def find_licenses(
@@ -95,7 +114,9 @@ def find_licenses(
     """Licences of every document: id, n_sentences (known ones), licenses (sorted, comma-joined).
 
     A rule matches if its sentences stand in the document in this order, with
-    or without others between them. Where a matching rule's sentences are a
+    or without others between them. Sentences may be wrapped: any run of lines
+    of a paragraph can be one, comment marks do not count. Known sentences are
+    split as texts are, and n_sentences counts these parts. Where a matching rule's sentences are a
     part of another matching rule's, in order, only the longer one counts.
     Documents without text or licence have 0 and ''. Repeated rows and null
     ids give a row each; an empty table gives none; other columns are not read.
@@ -107,19 +128,30 @@ def find_licenses(
     spark = docs.sparkSession
     sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
-    known = F.broadcast(_known(spark, sentences))
+    by_sentence, by_name = _known(sentences)
+    rules = tuple((name, tuple(x for s in seq for x in by_name[s])) for name, seq in rules)
+    known = F.broadcast(spark.createDataFrame(list(by_sentence.items()), "sentence string, sentence_id string"))
+    begins = _begins(by_sentence)
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text, F.length(text)).alias("_hash"))
     parts = keyed.select("id", "_hash", F.posexplode(sentences_of(F.col("text"))).alias("pos", "part"))
-    longest = max((len(s) for s in sentences.values()), default=0)
-    # Normalising only shortens: longer ones than the longest known sentence are not known.
+    # Only lines that begin like a known sentence go on; every run of lines from there on may be one.
+    lines = (
+        parts.select("id", "_hash", "pos", normalised(F.col("part")).alias("part"))
+        .where(F.col("part").rlike(rf"(?:^|\n){begins}"))
+        .select("id", "_hash", "pos", F.split("part", "\n").alias("lines"))
+        .select("id", "_hash", "pos", "lines", F.posexplode("lines").alias("line", "begin"))
+        .where(F.col("begin").rlike(f"^{begins}"))
+    )
+    most = max((s.count(" ") + 1 for s in by_sentence), default=1)  # lines have a word at least
+    runs = F.sequence(F.lit(1), F.least(F.lit(most), F.size("lines") - F.col("line")))
     hits = (
-        parts.select("id", "_hash", "pos", normalised(F.col("part")).alias("sentence"))
-        .where(F.length("sentence").between(1, longest))
+        lines.select("id", "_hash", "pos", "line", "lines", F.explode(runs).alias("n"))
+        .select("id", "_hash", "pos", "line", "n", F.array_join(F.slice("lines", F.col("line") + 1, F.col("n")), " ").alias("sentence"))
         .join(known, "sentence")
         # Rows that repeat a document give the same places again.
         .groupBy("id", "_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("pos", "sentence_id"))).alias("found"))
+        .agg(F.sort_array(F.collect_set(F.struct("pos", "line", "n", "sentence_id"))).alias("found"))
     )
     listed = spark.createDataFrame([(name, list(seq), seq[0]) for name, seq in rules], "license string, needed array<string>, first string")
     matched = (

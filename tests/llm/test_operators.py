@@ -2,6 +2,7 @@
 
 import collections
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -153,6 +154,29 @@ def test_licenses(spark, docs, none):
     assert licenses.find_licenses(docs).count() == len(TEXTS) and licenses.find_licenses(none).count() == 0
 
 
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+
+
+def test_wrapped_licenses(spark):
+    s = licenses.SENTENCES
+    mit = f"Copyright (c) 2020 Somebody\n{s['mit-grant']}:\n\n{s['mit-condition']}.\n\n{s['mit-warranty']}. IN NO EVENT"
+    bsd = f"{s['bsd-grant']}:\n\n1. {s['bsd-source']}.\n2. {s['bsd-binary']}.\n3. {s['bsd-endorse']}."
+    gpl = lambda first: f"{s[first]}.\n\n{s['gpl-hope']}; {s['gpl-fitness']}. See the GNU General Public License for more details."
+    apache = f"{s['apache-notice-long']};\n{s['apache-compliance']}.\n{s['apache-copy']}\n\nhttp://www.apache.org/licenses/LICENSE-2.0"
+    title = "        Apache License\n     Version 2.0, January 2004\n  http://www.apache.org/licenses/"
+    texts = [("MIT", mit), ("MIT", f"MIT License\n{mit}"), ("BSD-3-Clause", bsd), ("GPL-3.0", gpl("gpl-free")), ("GPL-2.0", gpl("gpl2-free")), ("Apache-2.0", apache), ("MPL-2.0", MPL), ("ISC", s["isc-grant"] + ".")]
+    rows = [("Apache-2.0", title)]
+    for name, text in texts:
+        for width in (30, 72, 80):
+            for mark in ("", "# ", " * ", "// "):
+                lines = [x for line in text.split("\n") for x in textwrap.wrap(line, width) or [""]]
+                rows.append((name, "\n".join(["import os", "", *(mark + x for x in lines)])))
+    rows += [("", s["mit-grant"][:200] + "\n\n" + s["mit-grant"][200:])]  # two paragraphs
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.find_licenses(frame).collect()}
+    assert [(i, got[i], n) for i, (n, _) in enumerate(rows) if got[i] != n] == []
+
+
 def test_mixing_meets_targets(spark, docs, none):
     got = mixing.mix_documents(docs).collect()
     assert bag((r.doc_id, r.size) for r in got) == bag((i, len(re.findall(WORD, t or ""))) for i, t in TEXTS)
