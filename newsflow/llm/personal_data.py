@@ -10,6 +10,7 @@ sure patterns find are added, and count as known in the next round.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import pandas as pd
@@ -28,6 +29,8 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
+_DIGIT_OR_AT = re.compile(r"[0-9@]")
+_GROUPS = re.compile(r"(?<![^ \t\n(\[\"'=:])[0-9]{2,}(?: [0-9]{2,})+(?![^\s.,;:!?)\]\"'])")
 _SOME_DIGITS = re.compile(r"[0-9]{3}|@")
 _SPACE = re.compile(r"\s")
 _EDGES = "\"'`.,;:!?()[]{}<>*#$%&|"
@@ -69,10 +72,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def lookalikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Other strings that look like identifiers: 6 to 128 characters of a word with four digits or an "@"."""
+    """Other strings that look like identifiers: 6 to 128 characters of a word with four digits or an "@".
+
+    Groups of digits joined by single blanks are one string if none of them is one by itself.
+    """
     taken = sorted((s, e) for _, s, e in taken)
     found, end, i = [], 0, 0
-    for m in _SOME_DIGITS.finditer(text):
+    for m in _DIGIT_OR_AT.finditer(text):
         if m.start() < end:
             continue
         start = m.start()
@@ -80,8 +86,9 @@ def lookalikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
             start -= 1
         stop = _SPACE.search(text, m.end())
         end = stop.start() if stop else len(text)
+        first = _SOME_DIGITS.search(text, m.start(), end) or m
         for cut in "=:":
-            start = max(start, text.rfind(cut, start, m.start()) + 1)
+            start = max(start, text.rfind(cut, start, first.start()) + 1)
         a, b = start, end
         while a < b and text[a] in _EDGES:
             a += 1
@@ -92,7 +99,14 @@ def lookalikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
         free = i == len(taken) or taken[i][0] >= b
         if free and 6 <= b - a <= 128 and ("@" in text[a:b] or sum(c.isdigit() for c in text[a:b]) >= 4):
             found.append((a, b))
-    return found
+    single = set(found)
+    for m in _GROUPS.finditer(text):
+        a, b = m.span()
+        if not 6 <= b - a <= 128 or sum(c.isdigit() for c in m[0]) < 4 or any(s < b and e > a for s, e in taken):
+            continue
+        if not any(s < b and e > a for s, e in single):
+            found.append((a, b))
+    return sorted(found)
 
 
 def contexts(text: str, start: int, end: int) -> list[str]:
@@ -137,7 +151,7 @@ def _occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return by_text(df, id_col, text_col, schema, make, {"_hash": text_hash(F.col(text_col))})
 
 
-def bootstrap(places: DataFrame, rounds: int = 3, min_known: int = 5, min_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def bootstrap(places: DataFrame, rounds: int | None = None, min_known: int = 5, min_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Score the graph of ``places`` (pattern, name, kind; kind '' if unknown).
 
     Returns the sure patterns (pattern, kind, confidence) and the names they
@@ -145,11 +159,12 @@ def bootstrap(places: DataFrame, rounds: int = 3, min_known: int = 5, min_share:
     ``min_known`` different names known to be of it stand in it and they are
     ``min_share`` of all its names. An unknown name's score is one minus the
     product of its sure patterns' doubts; from ``min_share`` on it is known.
+    Rounds go on until none finds a new name, or ``rounds`` of them.
     """
     edges = materialise(places.groupBy("pattern", "name").agg(F.max("kind").alias("kind")))
     known = edges.where("kind <> ''").groupBy("name").agg(F.max("kind").alias("known"))
     patterns = names = None
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         totals = edges.join(known, "name", "left").groupBy("pattern", "known").agg(F.count("*").alias("n"))
         shares = totals.groupBy("pattern").agg(
             F.sum("n").alias("n"), F.max(F.when(F.col("known").isNotNull(), F.struct("n", "known"))).alias("best")
@@ -191,12 +206,11 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = materialise(_occurrences(df, id_col, text_col))
     zipped = F.arrays_zip("starts", "ends", "kinds", "names", "patterns")
     places = rows.select("id", "_hash", F.explode(zipped).alias("p")).select(
-        "id", "_hash", "p.starts", "p.ends", F.col("p.kinds").alias("kind"), F.col("p.names").alias("name"), F.explode(F.split("p.patterns", "\x1f")).alias("pattern")
-    ).where("pattern <> ''")
-    patterns, names = bootstrap(places.select("pattern", "name", "kind"), **options)
+        "id", "_hash", "p.starts", "p.ends", F.col("p.kinds").alias("kind"), F.col("p.names").alias("name"), "p.patterns"
+    )
+    _, names = bootstrap(places.select(F.explode(F.split("patterns", "\x1f")).alias("pattern"), "name", "kind").where("pattern <> ''"), **options)
     found = (
         places.where("kind = ''")
-        .join(patterns.select("pattern"), "pattern")
         .join(names.select("name"), "name")
         .groupBy(F.col("id").alias("_id"), F.col("_hash").alias("_same"))
         .agg(F.sort_array(F.collect_set(F.struct("starts", "ends"))).alias("found"))

@@ -138,6 +138,28 @@ def test_contexts_find_unseen_identifiers(spark, docs, none):
     assert masked.columns == docs.columns and masked.where("doc_id = 13").first().text.startswith("Mail [EMAIL] or [PHONE], ip 10.0.0.300 [IP] card [CARD]")
 
 
+def test_identifiers_of_all_shapes_and_places(spark):
+    shapes = ["0a:1b:2c:3d:4e:5f", "AB12CD34", "QQ12-34-56C", "12-34-56", "1234 5678 9012"]
+    for shape in shapes:
+        assert personal_data.lookalikes(f"some {shape}, here", []) == [(5, 5 + len(shape))], shape
+    assert personal_data.lookalikes("id1:12345678 x", []) == [(4, 12)]
+    rows = [(n, f"please write to contact mail user{n}@site{n}.example.com today") for n in range(40)]
+    rows += [(100 + n, f"please write to contact mail {shape} today") for n, shape in enumerate(shapes)]
+    rows += [(200 + n, f"{shape} stands elsewhere") for n, shape in enumerate(shapes)]
+    got = {r.doc_id: r.spans for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n, shape in enumerate(shapes):
+        assert got[100 + n] == f"id:29:{29 + len(shape)}" and got[200 + n] == f"id:0:{len(shape)}"
+
+
+def test_rounds_go_on_to_the_last_name(spark):
+    """Each pattern is sure only by the name that the pattern before found."""
+    edges = [("p0", f"a{i}", "email") for i in range(5)] + [("p0", "n0", "")]
+    for k in range(1, 6):
+        edges += [(f"p{k}", f"n{k - 1}", ""), (f"p{k}", f"n{k}", "")] + [(f"p{k}", f"b{k}-{i}", "email") for i in range(4)]
+    _, names = personal_data.bootstrap(spark.createDataFrame(edges, "pattern string, name string, kind string"))
+    assert {r.name for r in names.collect()} == {f"n{k}" for k in range(6)}
+
+
 def test_licenses(spark, docs, none):
     s = licenses.SENTENCES
     bsd = ["bsd-grant", "bsd-source", "bsd-binary"]
