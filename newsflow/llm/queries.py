@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, rules, site_quality, tokens, url_rules
-from newsflow.llm.common import table
+from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, rules, runs, site_quality, tokens, url_rules
+from newsflow.llm.common import WORD, table
 from newsflow.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,24 @@ FROM embeddings""",
 )
 def near_vector_components(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.link_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of all documents; in one document of ten the words from a place on repeat with a period first."""
+    docs = table(spark, folder, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"), F.expr("crc32(cast(cast(doc_id AS string) AS binary)) div 10").alias("g"))
+    placed = chosen.withColumn("a", F.expr("int(CASE WHEN size(w) > 0 THEN g % size(w) END)")).withColumn("p", F.expr("int(1 + (size(w) - a) div (3 + g % 8))"))
+    repeated = F.expr("concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), int(1 + (size(w) - a) div p))), 1, size(w) - a))")
+    texts = placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+    found = runs.find_runs(texts)
+    longer = lambda x, y: F.when(y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x)
+    listed = F.transform("runs", lambda x: F.concat_ws(",", *(x[c].cast("string") for c in ("start", "length", "period"))))
+    best = found.withColumn("best", F.reduce("runs", F.get("runs", F.lit(0)), longer))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
