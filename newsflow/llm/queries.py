@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, rules, runs, site_quality, tokens, url_rules
+from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, phrases, rules, runs, site_quality, tokens, url_rules
 from newsflow.llm.common import WORD, table
 from newsflow.session import prepare
 
@@ -193,3 +193,37 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_phrase_mining",
+    r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+grams AS MATERIALIZED (
+  SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) sizes(s) WHERE i + s - 1 <= len(w) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE s = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE s > 1 AND f >= 10),
+halves AS (
+  SELECT c.*, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM candidates c, (VALUES (1), (2)) t(k) WHERE k < s),
+parts AS (SELECT lang, phrase, f FROM grams WHERE f >= 10),
+cuts AS (
+  SELECT h.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM halves h JOIN parts x ON x.lang = h.lang AND x.phrase = lp JOIN parts y ON y.lang = h.lang AND y.phrase = rp),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) t(i) WHERE s = 3 GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+  FROM scored JOIN total USING (lang) LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT * FROM ranked WHERE rank <= 2000""",
+)
+def phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.top_collocations(table(spark, folder, "documents"))
