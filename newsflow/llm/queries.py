@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, phrases, rules, runs, site_quality, tokens, url_rules
+from newsflow.llm import licenses, mixing, near_vectors, ngram_join, packing, personal_data, phrases, rules, runs, secret_scan, site_quality, tokens, url_rules
 from newsflow.llm.common import WORD, table
 from newsflow.session import prepare
 
@@ -227,3 +227,9 @@ SELECT * FROM ranked WHERE rank <= 2000""",
 )
 def phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.top_collocations(table(spark, folder, "documents"))
+
+
+@query("op12_secret_scan")
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
