@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from newsflow.llm.common import bounded_batches, stored
@@ -27,7 +28,7 @@ from newsflow.session import materialise
 
 UNKNOWN = "und"
 #: Bytes of text in a batch; a longer text is a batch by itself.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Occurrences in a hash partition, on average.
 PART_MASS = 4_000_000
 
@@ -54,7 +55,7 @@ def word_batches(docs: DataFrame, text_col: str, lang_col: str, batch_bytes: int
 
     def row(lang: str, texts: list[bytes]) -> pa.RecordBatch:
         words, codes = numbered(texts)
-        cells = [lang], [int((codes > 0).sum())], [b" ".join(words)], [codes.tobytes()]
+        cells = [lang], [int((codes > 0).sum())], [zstandard.compress(b" ".join(words))], [zstandard.compress(codes.tobytes())]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cells, _BATCH)], schema=_BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,13 +103,15 @@ def gram_keys(lang: str, words: list[bytes], codes: np.ndarray, max_words: int)
 
 
 def packed(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view("u1").reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
+    """Sorted keys as their low four bytes, then the steps of their high two, which compress well."""
+    high = (keys >> np.uint64(32)).astype("<u2")
+    return (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + np.diff(high, prepend=high.dtype.type(0)).tobytes()
 
 
-def unpacked(keys: bytes) -> np.ndarray:
-    wide = np.zeros((len(keys) // _KEY_BYTES, 8), "u1")
-    wide[:, :_KEY_BYTES] = np.frombuffer(keys, "u1").reshape(-1, _KEY_BYTES)
-    return wide.view("<u8").ravel()
+def unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // _KEY_BYTES
+    high = np.cumsum(np.frombuffer(data, "<u2", n, 4 * n), dtype="uint64")
+    return (high << np.uint64(32)) | np.frombuffer(data, "<u4", n)
 
 
 def _counts(data: bytes, n: int) -> np.ndarray:
@@ -152,7 +155,8 @@ def frequent_grams(batches: DataFrame, max_words: int, threshold: int, part_mass
     first = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def read(row: dict) -> tuple[list[bytes], np.ndarray]:
-        return (row["words"].split(b" ") if row["words"] else []), np.frombuffer(row["codes"], "int32")
+        words, codes = map(zstandard.decompress, (row["words"], row["codes"]))
+        return (words.split(b" ") if words else []), np.frombuffer(codes, "int32")
 
     def summaries(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_of in rows:
@@ -179,7 +183,7 @@ def frequent_grams(batches: DataFrame, max_words: int, threshold: int, part_mass
         for rows_of in rows:
             for row in (r for i in range(len(rows_of)) for r in rows_of.slice(i, 1).to_pylist()):
                 words, codes = read(row)
-                wanted = np.sort(unpacked(b"".join(row["keys"])))
+                wanted = np.sort(np.concatenate([unpacked(k) for k in row["keys"]]))
                 for size, at, keys in gram_keys(row["lang"], words, codes, max_words):
                     place = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
                     at = at[wanted[place] == keys]
