@@ -10,6 +10,7 @@ from newsflow.functions import text, urls
 from newsflow.operators import gate
 from newsflow.operators.embed import embed_texts
 from newsflow.operators.language import detect_language, train_language_model
+from newsflow.operators.neighbour_graph import approximate_neighbours, neighbour_graph
 from newsflow.operators.neighbours import nearest_neighbours, with_titles
 from newsflow.session import materialise, spread_small
 
@@ -187,6 +188,21 @@ def closest_article_titles(spark, d):
     )
 
 
+@query("approximate_neighbours")
+def nearest_by_graph(spark, d):
+    """Not exact, so without SQL: the tests measure its recall against the exact query."""
+    closest = approximate_neighbours(I.table(spark, d, "embeddings"))
+    return closest.withColumn("closest_similarity", F.round("closest_similarity", 6))
+
+
+@query("neighbour_lists")
+def neighbour_lists(spark, d):
+    """The ten nearest of each vector, by the same graph."""
+    graph = neighbour_graph(I.table(spark, d, "embeddings"))
+    ranked = graph.select("vec_id", F.posexplode(F.slice("neighbours", 1, 10)).alias("place", "n"))
+    return ranked.select("vec_id", (F.col("place") + 1).alias("place"), F.col("n.id").alias("neighbour"), F.round("n.similarity", 6).alias("similarity"))
+
+
 @query(
     "repeated_links_shards",
     f"""SELECT CAST(CAST('0x' || substr(sha256(sha256({I.sql_domain('url')})), 1, 8) AS BIGINT) % 8 AS BIGINT) AS shard, count(*) AS pages,
