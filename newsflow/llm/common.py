@@ -130,6 +130,30 @@ class Memo:
         return map(self.known.__getitem__, words)
 
 
+class Remembered(dict):
+    """Values of words by a function, computed when first asked for.
+
+    Holds at most ``bound`` words: when the younger half is full, the older
+    half is forgotten, save for the words asked for since. Words of over
+    ``long`` characters are not kept.
+    """
+
+    def __init__(self, fill: Callable[[str], bytes], bound: int, long: int = 100) -> None:
+        super().__init__()
+        self.fill, self.half, self.long, self.older = fill, bound // 2, long, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.older.get(word)
+        if value is None:
+            value = self.fill(word)
+        if len(word) <= self.long:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as a table below the shared folder and read it: computed once, lineage cut."""
     target = work_dir(df.sparkSession, purpose)

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.llm.common import Memo, by_text, id_type
+from newsflow.llm.common import Remembered, by_text, id_type
 from newsflow.operators.running import running_total
 from newsflow.session import materialise
 
@@ -30,6 +30,8 @@ END_ID = 1
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Chunks for which one-character lower-casing and no composing are certain; others go through the library whole.
 _PLAIN = regex.compile(r"[\x21-\x7eÀ-ÖØ-öø-įĴ-ňŊ-ž]+")
+#: Signs that form one part at the end of a word.
+_CLOSING = ".,;:!?)"
 
 
 @cache
@@ -46,11 +48,13 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+@cache
 def encoder(path: str):
     """A function that gives a text's ids as little-endian unsigned 32-bit bytes.
 
     White space separates words and no token spans it, so a text's ids are
-    those of its chunks between white space, one after the other.
+    those of its chunks between white space, one after the other. One function
+    serves all tasks of a worker, which so share what it remembers.
     """
     tokenizer = load(path)
     stand_ins = _byte_characters()
@@ -59,29 +63,30 @@ def encoder(path: str):
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word_ids(words: list[str]) -> dict[str, bytes]:
-        bare = ((w, w if w.isascii() else w.encode().decode("latin1").translate(stand_ins)) for w in words)
-        return {w: struct.pack(f"<{len(found)}I", *[t.id for t in found]) for w, found in ((w, tokenizer.model.tokenize(b)) for w, b in bare)}
-
-    words = Memo({}, word_ids, 800_000)
+    def word_ids(word: str) -> bytes:
+        found = tokenizer.model.tokenize(word if word.isascii() else word.encode().decode("latin1").translate(stand_ins))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    def lowered(chunk: str) -> str:
-        return chunk.lower() if chunk.isascii() else "".join(map(str.lower, chunk))
+    words = Remembered(word_ids, 800_000)
 
-    def chunk_ids(chunks: list[str]) -> dict[str, bytes]:
-        return {
-            c: b"".join(words.values(_PARTS.findall(lowered(c)))) if _PLAIN.fullmatch(c) else whole(c)
-            for c in chunks
-        }
+    def chunk_ids(chunk: str) -> bytes:
+        plain = chunk.isascii()
+        if not plain and not _PLAIN.fullmatch(chunk):
+            return whole(chunk)
+        low = chunk.lower() if plain else "".join(map(str.lower, chunk))
+        core = low.rstrip(_CLOSING)
+        if core.isalpha():
+            return words[core] + words[low[len(core) :]] if len(core) < len(low) else words[core]
+        return b"".join(map(words.__getitem__, _PARTS.findall(low))) if _PLAIN.fullmatch(chunk) else whole(chunk)
 
-    chunks = Memo({}, chunk_ids, 1_200_000)
+    chunks = Remembered(chunk_ids, 1_200_000)
     # Special strings are tokens, and these four separate words in one library only.
     odd = (*special, "\x1c", "\x1d", "\x1e", "\x1f")
 
     def ids(text: str) -> bytes:
         if any(s in text for s in odd):
             return whole(text)
-        return b"".join(chunks.values(text.split()))
+        return b"".join(map(chunks.__getitem__, text.split()))
 
     return ids
 
