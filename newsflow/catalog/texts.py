@@ -9,7 +9,7 @@ from newsflow.catalog.registry import query
 from newsflow.functions import text, urls
 from newsflow.operators import gate
 from newsflow.operators.embed import embed_texts
-from newsflow.operators.language import detect_language, train_language_model
+from newsflow.operators.language import SLOTS, detect_language, multipliers, train_language_model
 from newsflow.operators.neighbour_graph import approximate_neighbours, neighbour_graph
 from newsflow.operators.neighbours import nearest_neighbours, with_titles
 from newsflow.session import materialise, spread_small
@@ -128,8 +128,9 @@ def folded_counters(spark, d):
     return gate.fold_counters(per_archive.withColumn("month", F.col("archive") % 2))
 
 
-_GRAMS = """chars AS (SELECT doc_id, lang, string_split(' ' || array_to_string(string_split_regex(lower(text), '[ \\t\\r\\n]+'), ' ') || ' ', '') AS c FROM documents),
-grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS g FROM chars)"""
+_SLOT = "((" + " + ".join(f"unicode(c[i + {k}]) * {m}" for k, m in enumerate(multipliers(3))) + f") % 4294967296) // {(1 << 32) // SLOTS}"
+_GRAMS = f"""chars AS (SELECT doc_id, lang, string_split(' ' || array_to_string(string_split_regex(lower(text), '[ \\t\\r\\n]+'), ' ') || ' ', '') AS c FROM documents),
+grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: {_SLOT})) AS g FROM chars)"""
 
 
 @query(
@@ -138,8 +139,8 @@ grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambd
 counts AS (SELECT lang, g, count(*) AS n FROM grams WHERE doc_id % 2 = 0 GROUP BY lang, g),
 tot AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
 base AS (SELECT t.lang, ln((SELECT count(*) FROM documents d WHERE d.lang = t.lang AND doc_id % 2 = 0) * 1.0 / (SELECT count(*) FROM documents WHERE doc_id % 2 = 0)) AS prior,
-  -ln(total + (SELECT count(DISTINCT g) FROM counts)) AS unseen FROM tot t),
-sizes AS (SELECT doc_id, count(*) AS size FROM grams GROUP BY doc_id),
+  -ln(total + {SLOTS}) AS unseen FROM tot t),
+sizes AS (SELECT doc_id, greatest(len(c) - 2, 0) AS size FROM chars),
 hits AS (SELECT x.doc_id, k.lang, sum(ln(k.n + 1.0)) AS s FROM grams x JOIN counts k ON x.g = k.g GROUP BY x.doc_id, k.lang),
 scores AS (SELECT z.doc_id, b.lang, prior + size * unseen + coalesce(s, 0) AS score FROM sizes z CROSS JOIN base b LEFT JOIN hits h ON h.doc_id = z.doc_id AND h.lang = b.lang)
 SELECT doc_id, lang AS detected_lang FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, lang) AS rn FROM scores) AS r WHERE rn = 1""",

@@ -1,86 +1,148 @@
-"""Language identification: naive Bayes over character n-grams, in SQL terms.
+"""Language identification: naive Bayes over hashed character n-grams, with a model of fixed size.
 
-Training counts n-grams per language; scoring joins the n-grams of a text with
-the model and adds up. Both combine before the shuffle, so a language that
-holds most of the texts is no burden to any task.
+Every n-gram falls into one of a fixed number of slots, so a model is one row
+of weights per language, whatever it was trained on. A text is scored inside
+its row: its slots pick rows of the weight matrix, which add up. There is no
+join, and the only shuffle is that of the counts in training, a fixed number
+of rows per task and language.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.session import broadcast_if_small, materialise, spread_small
+SLOTS = 1 << 16
+# Fixed value: an odd number of 32 bits; its powers weigh the characters of an n-gram.
+_FACTOR = 2654435761
+_PART = 1024
+#: Languages whose counts a task holds at once.
+_HELD = 256
 
-MAX_BROADCAST_MODEL = 2_000_000  # rows of about 50 bytes
 
+def multipliers(n: int) -> list[int]:
+    return [pow(_FACTOR, n - k, 1 << 32) for k in range(n)]
 
-def ngrams(text: Column, n: int = 3) -> Column:
-    """All overlapping character n-grams of a lowered text with single blanks around words.
 
-    Explode them with ``explode_outer``: for ``explode`` Spark infers a filter
-    on the array's size, which computes the array a second time.
-    """
-    words = F.concat(F.lit(" "), F.array_join(F.split(F.lower(text), r"[ \t\r\n]+"), " "), F.lit(" "))
-    return F.regexp_extract_all(words, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+def plain(text: Column) -> Column:
+    """Lowered text with single blanks around words; null counts as empty."""
+    return F.concat(F.lit(" "), F.array_join(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\r\n]+"), " "), F.lit(" "))
+
+
+def gram_slots(text: str, n: int = 3, slots: int = SLOTS) -> np.ndarray:
+    """Slots of all overlapping n-grams: the high bits of a weighted sum of code points (``slots`` is a power of two)."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype("uint64")
+    count = max(0, len(codes) - n + 1)
+    total = sum((codes[k : k + count] * np.uint64(m) for k, m in enumerate(multipliers(n))), np.zeros(count, "uint64"))
+    return ((total & np.uint64(0xFFFFFFFF)) >> np.uint64(33 - slots.bit_length())).astype("int64")
 
 
-def train_language_model(labelled: DataFrame, n: int = 3, min_count: int = 1) -> DataFrame:
-    """Model rows ``lang, ngram, weight``; the empty n-gram carries prior and default.
+def train_language_model(labelled: DataFrame, n: int = 3, slots: int = SLOTS) -> DataFrame:
+    """Model rows ``lang, n, prior, weights`` from ``lang, text``; rows without a language teach nothing.
 
-    The weight is the log probability above the one of an unseen n-gram, so
-    that a text only needs its known n-grams to be looked up.
+    ``weights`` are log probabilities of the slots, counts plus one. Rows are
+    as many as languages, each of the same size.
     """
-    counts = (
-        spread_small(labelled.select("lang", "text")).select("lang", F.explode_outer(ngrams(F.col("text"), n)).alias("ngram"))
-        .where("ngram IS NOT NULL")
-        .groupBy("lang", "ngram")
-        .count()
-        .where(F.col("count") >= min_count)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+
+        def rows() -> pa.RecordBatch:
+            made = [
+                (lang, part, texts if part == 0 else 0, counts[part * _PART : (part + 1) * _PART].tobytes())
+                for lang, (texts, counts) in held.items()
+                for part in range(-(-slots // _PART))
+            ]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*made)], names=["lang", "part", "texts", "counts"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                entry = held.setdefault(lang, [0, np.zeros(slots, "<i8")])
+                entry[0] += 1
+                entry[1] += np.bincount(gram_slots(text.as_py(), n, slots), minlength=slots)
+            if len(held) >= _HELD:
+                yield rows()
+        if held:
+            yield rows()
+
+    def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, "<i8") for c in table.column("counts").to_pylist())
+        texts = sum(table.column("texts").to_pylist())
+        return pa.table({"lang": [key[0].as_py()], "part": pa.array([key[1].as_py()], pa.int64()), "texts": [texts], "total": [int(total.sum())], "counts": [total.tolist()]})
+
+    given = labelled.where("lang IS NOT NULL").select("lang", plain(F.col("text")).alias("text"))
+    parts = given.mapInArrow(count, "lang string, part bigint, texts bigint, counts binary")
+    parts = parts.groupBy("lang", "part").applyInArrow(summed, "lang string, part bigint, texts bigint, total bigint, counts array<bigint>")
+    whole = parts.groupBy("lang").agg(
+        F.sum("texts").alias("texts"),
+        F.sum("total").alias("total"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "counts"))), lambda p: p["counts"])).alias("counts"),
     )
-    totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))
-    vocabulary = counts.agg(F.count_distinct("ngram").alias("vocabulary"))
-    texts = labelled.groupBy("lang").agg(F.count("*").alias("texts"))
-    everything = texts.agg(F.sum("texts").alias("all_texts"))
-    # One row per language, and single rows.
-    unseen = (
-        totals.join(F.broadcast(vocabulary))
-        .select("lang", (-F.log(F.col("total") + F.col("vocabulary"))).alias("unseen"))
-        .join(F.broadcast(texts), "lang")
-        .join(F.broadcast(everything))
-        .select("lang", "unseen", F.log(F.col("texts") / F.col("all_texts")).alias("prior"))
+    everything = whole.agg(F.sum("texts").alias("all_texts"))  # a single row
+    return (
+        whole.join(F.broadcast(everything))
+        .select(
+            "lang",
+            F.lit(n).alias("n"),
+            F.log(F.col("texts") / F.col("all_texts")).alias("prior"),
+            F.transform("counts", lambda c: F.log(c + 1.0) - F.log(F.col("total") + float(slots))).alias("weights"),
+        )
     )
-    seen = counts.select("lang", "ngram", F.log(F.col("count") + 1.0).alias("weight"))
-    base = unseen.select("lang", F.lit("").alias("ngram"), F.col("prior").alias("weight"), "unseen")
-    return seen.withColumn("unseen", F.lit(None).cast("double")).unionByName(base)
 
 
-def score_languages(texts: DataFrame, model: DataFrame, key: str = "doc_id", n: int = 3) -> DataFrame:
-    """``key`` and ``scores``, an array of language and score for every text.
+def language_scorer(model: DataFrame) -> tuple[list[str], Callable[[Column], Column]]:
+    """The languages of a model in alphabetic order, and a function from a text column to an array of their scores.
 
-    The model is turned to one row per n-gram with a weight per language, so
-    each n-gram of a text meets one row. The sums per text start inside the
-    task that holds it: with a broadcast model, one row per text is shuffled.
+    What is broadcast is one row of weights per language.
     """
-    base = model.where("ngram = ''").orderBy("lang").collect()  # one row per language
-    weights = [f"_w{i}" for i in range(len(base))]
-    wide = (
-        model.where("ngram <> ''")
-        .groupBy("ngram")
-        .agg(*[F.max(F.when(F.col("lang") == r["lang"], F.col("weight"))).alias(w) for w, r in zip(weights, base)])
-    )
-    grams = spread_small(texts.select(key, "text")).select(key, ngrams(F.col("text"), n).alias("_grams"))
-    rows = grams.select(key, F.size("_grams").alias("_size"), F.explode_outer("_grams").alias("ngram"))
-    sums = (
-        rows.join(broadcast_if_small(materialise(wide), MAX_BROADCAST_MODEL), "ngram", "left")
-        .groupBy(key)
-        .agg(F.max("_size").alias("_size"), *[F.coalesce(F.sum(w), F.lit(0.0)).alias(w) for w in weights])
+    rows = model.orderBy("lang").collect()
+    langs, n = [r["lang"] for r in rows], rows[0]["n"] if rows else 0
+    if not rows:
+        return [], lambda text: F.array().cast("array<double>")
+    held = model.sparkSession.sparkContext.broadcast(
+        (np.array([r["prior"] for r in rows]), np.ascontiguousarray(np.array([r["weights"] for r in rows]).T))
     )
-    score = lambda w, r: F.col(w) + F.col("_size") * F.lit(r["unseen"]) + F.lit(r["weight"])
-    scores = [F.struct(F.lit(r["lang"]).alias("lang"), score(w, r).alias("score")) for w, r in zip(weights, base)]
-    return sums.select(key, F.array(*scores).alias("scores"))
+
+    @F.pandas_udf("array<double>")
+    def scores(text: pd.Series) -> pd.Series:
+        prior, weights = held.value
+        return pd.Series([(prior + weights.take(gram_slots(t, n, len(weights)), axis=0).sum(axis=0)).tolist() for t in text])
+
+    return langs, lambda text: scores(plain(text))
+
+
+def language_of(model: DataFrame) -> Callable[[Column], Column]:
+    """A function from a text column to the code of its best language.
+
+    Scores are compared after rounding to six decimals; equal ones go to the
+    first code in the alphabet. Null and empty texts go by the priors alone; a
+    model without rows gives null.
+    """
+    langs, scores = language_scorer(model)
+    if not langs:
+        return lambda text: F.lit(None).cast("string")
+    codes = F.array(*map(F.lit, langs))
+
+    def best(text: Column) -> Column:
+        rounded = lambda s: F.transform(s, lambda x: F.round(x, 6))
+        place = lambda s: F.array_position(rounded(s), F.array_max(rounded(s)))
+        return F.transform(F.array(scores(text)), lambda s: F.element_at(codes, place(s).cast("int")))[0]
+
+    return best
+
+
+def score_languages(texts: DataFrame, model: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key`` and ``scores``, an array of language and score for every text."""
+    langs, scores = language_scorer(model)
+    codes = F.array(*map(F.lit, langs)) if langs else F.array().cast("array<string>")
+    return texts.select(key, F.zip_with(codes, scores(F.col("text")), lambda c, s: F.struct(c.alias("lang"), s.alias("score"))).alias("scores"))
 
 
-def detect_language(texts: DataFrame, model: DataFrame, key: str = "doc_id", n: int = 3) -> DataFrame:
-    """Best language per text. Equal scores go to the first code in the alphabet."""
-    ranked = F.transform("scores", lambda s: F.struct((-F.round(s["score"], 6)).alias("cost"), s["lang"].alias("lang")))
-    return score_languages(texts, model, key, n).select(key, F.array_min(ranked)["lang"].alias("detected_lang"))
+def detect_language(texts: DataFrame, model: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key`` and ``detected_lang``, the best language per text."""
+    return texts.select(key, language_of(model)(F.col("text")).alias("detected_lang"))

@@ -10,9 +10,9 @@ from newsflow import schemas, settings
 from newsflow.functions.urls import netloc
 from newsflow.operators import gate, ledger, unify
 from newsflow.operators.dedup import first_n_per_key, first_per_key
-from newsflow.operators.language import detect_language
+from newsflow.operators.language import language_of
 from newsflow.operators.merge import absent_rows, apply_status_updates, new_rows, upsert_latest
-from newsflow.session import materialise, work_dir
+from newsflow.session import work_dir
 from newsflow.sources import tables
 from newsflow.sources.archives import decode_payload, read_archives
 
@@ -40,15 +40,6 @@ class Backfill:
     tasks: int | None = None
 
 
-def _with_detected_language(page: DataFrame, model: DataFrame) -> DataFrame:
-    sample = gate.language_sample(F.col("title"), F.col("text"))
-    key = F.struct("warc_path", "record_no").alias("key")
-    samples = page.where(gate.is_filled(F.col("text"))).select(key, sample.alias("text"))
-    found = detect_language(samples, model, "key")
-    found = found.select("key.warc_path", "key.record_no", F.col("detected_lang").alias("lang"))
-    return page.join(found, ["warc_path", "record_no"], "left")
-
-
 def staged_records(records: DataFrame, job: Backfill, language_model: DataFrame | None = None) -> DataFrame:
     """Every record with the stage it reached and, where it was extracted, its outcome and text.
 
@@ -61,7 +52,8 @@ def staged_records(records: DataFrame, job: Backfill, language_model: DataFrame
     if language_model is None:
         page = page.withColumn("lang", gate.page_lang(F.col("html")))
     else:
-        page = _with_detected_language(materialise(page.drop("html")), language_model)
+        sample = gate.language_sample(F.col("title"), F.col("text"))
+        page = page.withColumn("lang", F.when(gate.is_filled(F.col("text")), language_of(language_model)(sample)))
     outcome = gate.gate_outcome(
         gate.is_filled(F.col("text")), F.lit(False), F.col("text"), F.col("lang"), job.langs, job.min_text_chars
     )
