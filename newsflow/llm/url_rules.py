@@ -35,9 +35,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^(?>.*?://)[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
+def _without_marks(part: Column) -> Column:
+    """A text without U+0000, which then can close it; different texts stay different."""
+    return F.replace(F.replace(part, F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
+
+
 def reversed_host(host: Column) -> Column:
-    """Labels from the last to the first, each closed by a mark that sorts below all of a host's characters."""
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "\x01"), F.lit("\x01"))
+    """Labels from the last to the first, each closed by a mark that no label holds."""
+    return F.concat(F.array_join(F.reverse(F.split(_without_marks(host), r"\.")), "\x00"), F.lit("\x00"))
 
 
 def _last_opened(marks: DataFrame, keys: DataFrame, levels: int) -> DataFrame:
@@ -99,7 +104,7 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     shorter = listed.select("host", F.col("path").alias("_prefix"))
     nested = materialise(prefixes.join(shorter, ["host", "_prefix"]).groupBy("host", "path").agg(F.count("*").cast("int").alias("level")))
     deepest = nested.agg(F.max("level")).first()[0]
-    path_key = lambda host, path: F.concat(F.col(host), F.lit("\x00"), F.col(path))
+    path_key = lambda host, path: F.concat(_without_marks(F.col(host)), F.lit("\x00"), F.col(path))
     marks = nested.join(listed, ["host", "path"]).select(
         path_key("host", "path").alias("key"), "level", F.struct("host", "path", "verdict").alias("value")
     )
@@ -132,7 +137,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """Per row: id, host, path, rule (null if none fits) and verdict (``default`` if none fits).
 
     Null urls and urls without "://" have an empty host and path, which no
-    rule of a host fits. Repeated rows and null ids give a row each; an empty
+    rule of a host fits. Hosts and paths may hold any characters. Repeated rows and null ids give a row each; an empty
     table gives none; other columns are not read. Each distinct host and each
     distinct pair is swept once, so a host may hold most of the rows.
     """
