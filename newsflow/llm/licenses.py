@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Sentences of well-known licences and notices, by identifier.
+# Sentences of well-known licences and notices, by identifier. "<>" stands for a name, of one word or more.
 SENTENCES = {
     "mit-notice": "Released under the MIT License",
     "mit-notice-2": "Licensed under the MIT License",
@@ -29,11 +29,21 @@ SENTENCES = {
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
-    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse": "Neither the name of <> nor the names of <> may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse-2": "The name of <> may not be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-notice": "Licensed under the BSD License",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "mpl2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v.2.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3-free": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3-free": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "epl2-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0",
+    "bsl-title": "Boost Software License - Version 1.0 - August 17th, 2003",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0",
     "cc-by-4": "Licensed under CC BY 4.0",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0",
@@ -55,10 +65,19 @@ RULES = (
     ("GPL-3.0", ("gpl-free", "gpl-hope", "gpl-fitness")),
     ("GPL-2.0", ("gpl2-free", "gpl-hope", "gpl-fitness")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-2")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD", ("bsd-notice",)),
     ("ISC", ("isc-grant",)),
     ("MPL-2.0", ("mpl2-notice",)),
+    ("LGPL-2.1", ("lgpl21-free",)),
+    ("LGPL-3.0", ("lgpl3-free",)),
+    ("AGPL-3.0", ("agpl3-free",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("EPL-2.0", ("epl2-title",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("BSL-1.0", ("bsl-notice",)),
+    ("BSL-1.0", ("bsl-title",)),
     ("Unlicense", ("unlicense",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
@@ -66,8 +85,31 @@ RULES = (
     ("CC0-1.0", ("cc0",)),
 )
 
-# A sentence ends at . ; : ! ? before white space or the end, but not inside "v. 2", and at a line without letters and digits.
-_CLOSES = r"(?!(?<=\b[vV])\.\s[^A-Za-z0-9]{0,9}[0-9])[.;:!?]+(?=\s|$)"
+# Identifiers in "SPDX-License-Identifier" lines, and the licences they name.
+SPDX = {
+    "MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0", "GPL-2.0": "GPL-2.0", "GPL-2.0+": "GPL-2.0",
+    "GPL-3.0-only": "GPL-3.0", "GPL-3.0-or-later": "GPL-3.0", "GPL-3.0": "GPL-3.0", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1",
+    "LGPL-2.1": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0",
+    "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause", "ISC": "ISC", "MPL-2.0": "MPL-2.0", "EPL-2.0": "EPL-2.0", "Zlib": "Zlib",
+    "BSL-1.0": "BSL-1.0", "Unlicense": "Unlicense", "CC0-1.0": "CC0-1.0", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+}
+_MARK = "SPDX-License-Identifier"
+SENTENCES |= {f"spdx/{name}": f"{_MARK}: {name}" for name in SPDX}
+RULES += tuple((license, (f"spdx/{name}",)) for name, license in SPDX.items())
+# Two licences to choose from, in either order.
+_PAIRS = [(a, b) for a in ("MIT", "Apache-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later", "BSD-3-Clause") for b in ("MIT", "Apache-2.0", "BSD-3-Clause") if a != b]
+SENTENCES |= {f"spdx/{x}/{y}": f"{_MARK}: {x} OR {y}" for a, b in _PAIRS for x, y in ((a, b), (b, a))}
+RULES += tuple((SPDX[one], (f"spdx/{x}/{y}",)) for a, b in _PAIRS for x, y in ((a, b), (b, a)) for one in (x, y))
+
+NAME = "<>"
+#: Words a name in the place of NAME may have, in count of lines it may be wrapped over.
+_NAME_WORDS = 40
+
+# Ends of holders' names that a full stop belongs to.
+FIRMS = ("Inc", "Ltd", "Corp", "Co")
+# A sentence ends at . ; : ! ? before white space or the end, but not inside "v. 2" or behind the SPDX mark or "Inc", and at a line without letters and digits.
+_FIRM = "|".join(rf"(?<=\b{f})" for f in FIRMS)
+_CLOSES = rf"(?!(?<=\b[vV])\.\s[^A-Za-z0-9]{{0,9}}[0-9]|(?:{_FIRM})\.|(?<=SPDX-License-Identifier):)[.;:!?]+(?=\s|$)"
 _ENDS = _CLOSES + r"|\n[^\p{L}\p{N}\n]*(?=\n)"
 
 
@@ -87,7 +129,8 @@ def _known(sentences: dict[str, str]) -> tuple[dict[str, str], dict[str, list[st
     known: dict[str, str] = {}
     parts: dict[str, list[str]] = {}
     for name, sentence in sentences.items():
-        plain = [re.sub(r"[^a-z0-9]+", " ", x.lower()).strip() for x in re.split(_CLOSES, sentence)]
+        marked = sentence.replace(NAME, "xnamex")
+        plain = [re.sub(r"[^a-z0-9]+", " ", x.lower()).strip().replace("xnamex", NAME) for x in re.split(_CLOSES, marked)]
         plain = [x for x in plain if x]
         parts[name] = [known.setdefault(x, name if len(plain) == 1 else f"{name}/{i}") for i, x in enumerate(plain, 1)]
     return known, parts
@@ -98,12 +141,17 @@ def _begins(known: dict[str, str]) -> str:
     starts = set()
     for sentence in known:
         pattern = ""
-        for w in reversed(sentence.split(" ")[:3]):
+        for w in reversed(sentence.split(" ")[: min(3, (sentence + " " + NAME).split(" ").index(NAME))]):
             pattern = rf"{w}(?:\n|$| {pattern})"
         starts.add(pattern)
     return "(?:" + "|".join(sorted(starts)) + ")"
 
 
+def _named(known: dict[str, str]) -> dict[str, str]:
+    """Known sentences with a place for a name, and the patterns of what they stand for."""
+    return {s: "^" + s.replace(NAME, "[a-z0-9][a-z0-9 ]*") + "$" for s in known if NAME in s}
+
+
 def find_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -115,7 +163,8 @@ def find_licenses(
 
     A rule matches if its sentences stand in the document in this order, with
     or without others between them. Sentences may be wrapped: any run of lines
-    of a paragraph can be one, comment marks do not count. Known sentences are
+    of a paragraph can be one, comment marks do not count. "<>" in a known
+    sentence stands for any words, as a holder's name. Known sentences are
     split as texts are, and n_sentences counts these parts. Where a matching rule's sentences are a
     part of another matching rule's, in order, only the longer one counts.
     Documents without text or licence have 0 and ''. Repeated rows and null
@@ -143,11 +192,15 @@ def find_licenses(
         .select("id", "_hash", "pos", "lines", F.posexplode("lines").alias("line", "begin"))
         .where(F.col("begin").rlike(f"^{begins}"))
     )
-    most = max((s.count(" ") + 1 for s in by_sentence), default=1)  # lines have a word at least
+    most = max((s.count(" ") + 1 + _NAME_WORDS * s.count(NAME) for s in by_sentence), default=1)  # lines have a word at least
+    sentence = F.col("sentence")
+    for whole, pattern in _named(by_sentence).items():
+        sentence = F.when(F.col("sentence").rlike(pattern), whole).otherwise(sentence)
     runs = F.sequence(F.lit(1), F.least(F.lit(most), F.size("lines") - F.col("line")))
     hits = (
         lines.select("id", "_hash", "pos", "line", "lines", F.explode(runs).alias("n"))
         .select("id", "_hash", "pos", "line", "n", F.array_join(F.slice("lines", F.col("line") + 1, F.col("n")), " ").alias("sentence"))
+        .withColumn("sentence", sentence)
         .join(known, "sentence")
         # Rows that repeat a document give the same places again.
         .groupBy("id", "_hash")

@@ -93,11 +93,12 @@ URL_RULES = (
 @query(
     "op7_url_rules",
     rf"""
-WITH parsed AS (
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
   SELECT page_id,
-    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*(/[^?#]*)', 1) AS path
-  FROM pages),
+    translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*(/[^?#]*)', 1) AS path
+  FROM cut),
 rules(h, p, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
 fits AS (
   SELECT page_id, host, path, h || p AS rule, v,
@@ -114,26 +115,40 @@ def _listed(rows: list[tuple[str, ...]]) -> str:
     return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in r) + ")" for r in rows)
 
 
-_NORMAL = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
-_CLOSED = "regexp_replace(coalesce(text, ''), '[.;:!?]+([ \t\r\x0b\f]|\n|$)', chr(10), 'g')"
-
-
-@query(
-    "op1_license_scan",
-    f"""
-WITH known AS (SELECT id, {_NORMAL.format("s")} AS sentence FROM (VALUES {_listed(list(licenses.SENTENCES.items()))}) t(id, s)),
+def _license_sql() -> str:
+    """Sentences as runs of lines between closing marks and blank lines, written without look-around."""
+    by_sentence, by_name = licenses._known(licenses.SENTENCES)
+    rules = [(name, " ".join(x for part in seq for x in by_name[part])) for name, seq in licenses.RULES]
+    most = max(s.count(" ") + 1 + licenses._NAME_WORDS * s.count(licenses.NAME) for s in by_sentence)
+    sentence = "run"
+    for whole, pattern in licenses._named(by_sentence).items():
+        sentence = f"CASE WHEN regexp_matches(run, '{pattern}') THEN '{whole}' ELSE {sentence} END"
+    firsts = _listed([(x,) for x in sorted({s.split(" ")[0] for s in by_sentence})])
+    return rf"""
+WITH known(sentence, id) AS (VALUES {_listed(list(by_sentence.items()))}),
+firsts(w) AS (VALUES {firsts}),
 rules AS (SELECT row_number() OVER () AS no, license, needed, '% ' || replace(needed, ' ', ' % ') || ' %' AS pat
-  FROM (VALUES {_listed([(name, " ".join(seq)) for name, seq in licenses.RULES])}) t(license, needed)),
-parts AS (SELECT doc_id, unnest(string_split({_CLOSED}, chr(10))) AS part, generate_subscripts(string_split({_CLOSED}, chr(10)), 1) AS pos FROM documents),
-hits AS (SELECT doc_id, count(*) AS n, '  ' || string_agg(id, '  ' ORDER BY pos) || '  ' AS seq
-  FROM parts JOIN known ON {_NORMAL.format("part")} = sentence GROUP BY doc_id),
-matched AS (SELECT doc_id, license, needed, pat, no FROM hits JOIN rules ON replace(seq, '  ', ' ') LIKE replace(pat, '% ', '% ')),
+  FROM (VALUES {_listed(rules)}) t(license, needed)),
+kept_dots AS (SELECT doc_id, regexp_replace(regexp_replace(replace(coalesce(text, ''), 'SPDX-License-Identifier:', 'SPDX-License-Identifier '),
+  '\b({"|".join(licenses.FIRMS)})\.(\s|$)', '\1 \2', 'g'),
+  '(\b[vV])\.(\s[^A-Za-z0-9]{{0,9}}[0-9])', '\1 \2', 'g') AS t FROM documents),
+closed AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[.;:!?]+(\s|$)', chr(2) || '\1', 'g'), '(?:\n[^\p{{L}}\p{{N}}\n]*)+\n', chr(2), 'g') AS t FROM kept_dots),
+parts AS (SELECT doc_id, unnest(string_split(t, chr(2))) AS part, generate_subscripts(string_split(t, chr(2)), 1) AS pos FROM closed),
+lined AS (SELECT doc_id, pos, string_split(trim(regexp_replace(regexp_replace(lower(part), '[^a-z0-9\n]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)), chr(10)) AS lines FROM parts),
+begun AS (SELECT doc_id, pos, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined),
+runs AS (SELECT doc_id, pos, i, n, array_to_string(lines[i:i + n - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, least({most}, len(lines) - i + 1) + 1)) AS n FROM begun WHERE string_split(lines[i], ' ')[1] IN (SELECT w FROM firsts))),
+hits AS (SELECT doc_id, count(*) AS n, '  ' || string_agg(id, '  ' ORDER BY pos, i, r.n) || '  ' AS seq
+  FROM (SELECT *, {sentence} AS sentence FROM runs) r JOIN known USING (sentence) GROUP BY doc_id),
+matched AS (SELECT doc_id, license, needed, pat, no FROM hits JOIN rules ON seq LIKE pat),
 kept AS (SELECT * FROM matched m WHERE NOT EXISTS (SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id
-  AND len(string_split(o.needed, ' ')) > len(string_split(m.needed, ' ')) AND (' ' || o.needed || ' ') LIKE m.pat))
+  AND len(string_split(o.needed, ' ')) > len(string_split(m.needed, ' ')) AND ('  ' || replace(o.needed, ' ', '  ') || '  ') LIKE m.pat))
 SELECT d.doc_id, coalesce(h.n, 0) AS n_sentences, coalesce(l.names, '') AS licenses
 FROM documents d LEFT JOIN hits h USING (doc_id)
-LEFT JOIN (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM kept GROUP BY doc_id) l USING (doc_id)""",
-)
+LEFT JOIN (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM kept GROUP BY doc_id) l USING (doc_id)"""
+
+
+@query("op1_license_scan", _license_sql())
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
 
