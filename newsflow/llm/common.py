@@ -31,6 +31,16 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text, F.length(text))
 
 
+def quoted(name: str) -> str:
+    """A column name as it stands, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct."""
+    return F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep one Arrow batch of long texts to some 16 MB (one row may be larger)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")

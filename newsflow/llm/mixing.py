@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.llm.common import stored, word_count
+from newsflow.llm.common import stored, whole_row, word_count
 from newsflow.operators.running import running_total
 from newsflow.session import materialise
 
@@ -108,7 +108,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mix as rows: whole documents only, each as often as it is taken, with the columns of ``docs``."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("id"), F.col(id_col).alias("name"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.struct(*docs.columns).alias("doc")
+        F.monotonically_increasing_id().alias("id"), F.col(id_col).alias("name"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), whole_row(docs).alias("doc")
     )
     keyed = stored(rows, "mix")
     sized = materialise(keyed.select("id", "name", "source", "size"))

@@ -12,15 +12,19 @@ from __future__ import annotations
 
 import itertools
 import re
+from bisect import bisect_left, bisect_right
+from hashlib import blake2b
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import by_text, id_type, text_hash
+from newsflow.llm.common import by_text, id_type, quoted, text_hash, whole_row
 from newsflow.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
+#: Longer names and context words are known by their hash.
+LONG_NAME = 128
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -33,6 +37,8 @@ _DIGIT_OR_AT = re.compile(r"[0-9@]")
 _GROUPS = re.compile(r"(?<![^ \t\n(\[\"'=:])[0-9]{2,}(?: [0-9]{2,})+(?![^\s.,;:!?)\]\"'])")
 _SOME_DIGITS = re.compile(r"[0-9]{3}|@")
 _SPACE = re.compile(r"\s")
+_WORDS = re.compile(r"\S+")
+_NEXT = re.compile(r"\w+|[^\w\s]+")
 _EDGES = "\"'`.,;:!?()[]{}<>*#$%&|"
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
@@ -71,13 +77,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+class Spans:
+    """Places as disjoint stretches in order, to ask what overlaps them."""
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meet(self, a: int, b: int) -> bool:
+        i = bisect_right(self.ends, a)
+        return i < len(self.starts) and self.starts[i] < b
+
+
 def lookalikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Other strings that look like identifiers: 6 to 128 characters of a word with four digits or an "@".
+    """Other strings that look like identifiers: words of six characters or more with four digits or an "@".
 
     Groups of digits joined by single blanks are one string if none of them is one by itself.
     """
-    taken = sorted((s, e) for _, s, e in taken)
-    found, end, i = [], 0, 0
+    known = Spans([(s, e) for _, s, e in taken])
+    found, end = [], 0
     for m in _DIGIT_OR_AT.finditer(text):
         if m.start() < end:
             continue
@@ -94,37 +118,55 @@ def lookalikes(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
             a += 1
         while b > a and text[b - 1] in _EDGES:
             b -= 1
-        while i < len(taken) and taken[i][1] <= a:
-            i += 1
-        free = i == len(taken) or taken[i][0] >= b
-        if free and 6 <= b - a <= 128 and ("@" in text[a:b] or sum(c.isdigit() for c in text[a:b]) >= 4):
+        if b - a >= 6 and not known.meet(a, b) and ("@" in text[a:b] or sum(c.isdigit() for c in text[a:b]) >= 4):
             found.append((a, b))
-    single = set(found)
+    single = Spans(found)
     for m in _GROUPS.finditer(text):
         a, b = m.span()
-        if not 6 <= b - a <= 128 or sum(c.isdigit() for c in m[0]) < 4 or any(s < b and e > a for s, e in taken):
-            continue
-        if not any(s < b and e > a for s, e in single):
+        if b - a >= 6 and sum(c.isdigit() for c in m[0]) >= 4 and not known.meet(a, b) and not single.meet(a, b):
             found.append((a, b))
     return sorted(found)
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span: two words before; one before and one behind; a label right before it."""
-    before = text[max(0, start - 120) : start]
-    left = before.split()
-    right = text[end : end + 60].split()
-    plain = lambda w: re.sub(r"[0-9]+", "0", w.lower().strip(_EDGES)) or w[:8]
-    if before and not before[-1].isspace() and left:
-        label = left.pop()  # joined to the span: "key=", 'id:"'
-        return [f"label {label[-40:].lower()}"] if label[-1:] in "=:\"'" else []
+def _short(name: str) -> str:
+    """A name, or for a long one its hash."""
+    return name if len(name) <= LONG_NAME else "blake2b " + blake2b(name.encode()).hexdigest()
+
+
+def _plain(word: str) -> str:
+    return _short(re.sub(r"[0-9]+", "0", word.lower().strip(_EDGES)) or word.lower())
+
+
+def contexts(text: str, start: int, end: int, words: list[tuple[int, int]]) -> list[str]:
+    """Lexical patterns around a span: two words before; one before and one behind; a label right before it.
+
+    ``words`` are the places of all words of the text, in order.
+    """
+    at = bisect_left(words, (start, -1))
+    whole = lambda i: text[words[i][0] : words[i][1]]
+    if at and words[at - 1][1] > start:  # joined to the span: "key=", 'id:"'
+        first = words[at - 1][0]
+        i = start
+        while i > first and text[i - 1] in "=:\"'":
+            i -= 1
+        j = i
+        while j > first and (text[j - 1].isalnum() or text[j - 1] in "_-."):
+            j -= 1
+        return [f"label {_short(text[j:start].lower())}"] if i < start else []
+    behind = bisect_left(words, (end, -1))
+    # What stands behind the span in its own word counts as the next one.
+    if behind and words[behind - 1][1] > end:
+        right = _NEXT.match(text, end)[0]
+    else:
+        right = whole(behind) if behind < len(words) else ""
+    left = [whole(i) for i in range(max(0, at - 2), at)]
     patterns = []
-    if left and left[-1][-1:] in "=:":
-        patterns.append("label " + " ".join(w.lower() for w in left[-2:]))
+    if left and left[-1][-1:] in ("=", ":"):
+        patterns.append("label " + " ".join(_short(w.lower()) for w in left))
     if len(left) > 1:
-        patterns.append(f"before {plain(left[-2])} {plain(left[-1])}")
+        patterns.append(f"before {_plain(left[-2])} {_plain(left[-1])}")
     if left and right:
-        patterns.append(f"around {plain(left[-1])} {plain(right[0])}")
+        patterns.append(f"around {_plain(left[-1])} {_plain(right)}")
     return patterns
 
 
@@ -139,11 +181,12 @@ def _occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def rows(key, text):
             spans = base_spans(text)
             places = spans + [("", s, e) for s, e in lookalikes(text, spans)]
+            words = [m.span() for m in _WORDS.finditer(text)] if places else []
             number = [sum(k == kind for k, _, _ in spans) for kind in KINDS]
             yield (
                 key, ",".join(f"{k}:{s}:{e}" for k, s, e in spans), *number,
                 [s for _, s, _ in places], [e for _, _, e in places], [k for k, _, _ in places],
-                [text[s:e].lower() for _, s, e in places], ["\x1f".join(contexts(text, s, e)) for _, s, e in places],
+                [_short(text[s:e].lower()) for _, s, e in places], ["\x1f".join(contexts(text, s, e, words)) for _, s, e in places],
             )
 
         return rows
@@ -255,10 +298,10 @@ def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def mask(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([None if s is None else masked(t, s) for t, s in zip(text, spans)])
 
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), F.col(text_col).alias("_text"))
+    rows = docs.select(whole_row(docs).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), F.col(text_col).alias("_text"))
     joined = rows.join(spans, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_same")), "left")
     changed = joined.withColumn("_new", mask(F.when(F.col("spans").isNotNull(), F.col("_text")), "spans"))
-    values = {c: F.col(f"_doc.`{c}`") for c in docs.columns}
+    values = {c: F.col(f"_doc.{quoted(c)}") for c in docs.columns}
     values[text_col] = F.coalesce("_new", values[text_col])
     if length_col:
         values[length_col] = F.when(F.col("_new").isNotNull(), F.length("_new")).otherwise(values[length_col]).cast(docs.schema[length_col].dataType)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.llm.common import by_text, id_type, text_hash
+from newsflow.llm.common import by_text, id_type, text_hash, whole_row
 from newsflow.llm.features import COUNTS, counts
 from newsflow.session import materialise
 
@@ -158,5 +158,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, site: Column, path: Column, id
     """``docs`` without those that ``classify`` rejects. All columns are kept."""
     rejected = classify(docs, labels, site, path, id_col, text_col, **options).where("NOT kept")
     rejected = rejected.select(F.col(id_col).alias("_id"), F.col("_hash").alias("_same")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"))
+    rows = docs.select(whole_row(docs).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"))
     return rows.join(rejected, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_same")), "left_anti").select("_doc.*")
