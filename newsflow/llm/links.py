@@ -32,16 +32,18 @@ def in_blocks(members: DataFrame, group: str, item: str, weight: Column, most_ro
 
 def first_shared(groups: list[np.ndarray], a: np.ndarray, b: np.ndarray, this: int) -> np.ndarray:
     """Which pairs have ``this`` as the smallest group they share, so that each pair counts once."""
-    width = max(map(len, groups))
-    padded, filled = np.zeros((len(groups), width), "int64"), np.zeros((len(groups), width), bool)
-    for i, g in enumerate(groups):
-        padded[i, : len(g)], filled[i, : len(g)] = g, True
+    member = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    group = np.concatenate(groups)
+    member, group = member[group < this], group[group < this]
+    known, place, count = np.unique(group, return_inverse=True, return_counts=True)
+    place, member = (np.cumsum(count > 1) - 1)[place[count[place] > 1]], member[count[place] > 1]
     keep = np.ones(len(a), bool)
-    for at in range(0, len(a), 4096):
-        i, j = a[at : at + 4096], b[at : at + 4096]
-        same = (padded[i][:, :, None] == padded[j][:, None, :]) & filled[j][:, None, :]
-        shared = same.any(axis=2) & filled[i] & (padded[i] < this)
-        keep[at : at + 4096] = ~shared.any(axis=1)
+    # Marks of so many groups at a time as bits: members x 64 groups a word.
+    for start in range(0, int((count > 1).sum()), 64):
+        own = (place >= start) & (place < start + 64)
+        marks = np.zeros(len(groups), "uint64")
+        np.bitwise_or.at(marks, member[own], np.uint64(1) << (place[own] - start).astype("uint64"))
+        keep &= (marks[a] & marks[b]) == 0
     return keep
 
 

@@ -11,10 +11,13 @@ prefixes seldom reach beyond it. A document whose prefix no other document
 shares any token of links with none and leaves here. The other orders are by
 different hashes; they filter the pairs that the first one leaves.
 
-Documents of equal sets are one class. Classes that share a prefix token meet
-at the least class that has the token. A group of many near copies has its
-prefix tokens in common, so its members meet at few such hubs and travel a
-few times only, as texts; pairs are compared inside tasks and not written.
+Documents of equal sets are one class. Sets that link are of like sizes, so
+classes are split into levels by size, a step the similarity apart. Classes of
+a level and the one below it that share a prefix token meet at the least of
+them that has the token. A group of many near copies has its prefix tokens in
+common, so its members meet at few such hubs and travel a few times only, as
+packed texts; what a text shares with texts of other sizes costs no copy of
+it. Pairs are compared inside tasks and not written.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newsflow.llm.common import Memo, by_text, id_type, stored, text_hash, word_count
+from newsflow.llm.common import Memo, bounded_batches, by_text, id_type, stored, text_hash, whole_row, word_count
 from newsflow.llm.links import PAIRED, first_shared, in_blocks, labelled, summed_up
 from newsflow.session import materialise
 
@@ -163,22 +167,37 @@ def link_documents(
 
     # Among the classes left: the prefix is what is alone, then shared tokens, the rarest first.
     postings = rows.join(left.select("cls"), "cls", "left_semi").select("cls", F.explode("tokens").alias("token")).distinct()
-    shared = postings.groupBy("token").agg(F.min("cls").alias("hub"), F.count("*").alias("df"))
+    shared = postings.groupBy("token").agg(F.count("*").alias("df"))
     placed = postings.join(shared, "token")
     rarest_first = Window.partitionBy("cls").orderBy(~counted, F.when(counted, F.col("df")), "token")
     prefix = placed.withColumn("_place", F.row_number().over(rarest_first)).join(left.select("cls", "n"), "cls").where((F.col("_place") <= length) & (F.col("df") > 1))
-    met = prefix.groupBy("cls").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
+    # A step is a little wider than the similarity, so that sets that link are one level apart at most.
+    level = F.floor(F.log("n") / (1.0001 * float(np.log(100 / percent)))) if percent < 100 else F.col("n")
+    prefix = stored(prefix.select("cls", "token", level.alias("level")), "prefixes")
+    spread = prefix.withColumn("top", F.explode(F.array("level", F.col("level") + 1)))
+    # A top level without members of its own joins classes that meet one level lower anyway.
+    hubs = spread.groupBy("token", "top").agg(F.min("cls").alias("least"), F.count("*").alias("_members"), F.max("level").alias("_highest"))
+    hubs = hubs.where((F.col("_members") > 1) & (F.col("_highest") == F.col("top"))).withColumn("hub", F.xxhash64("least", "top"))
+    met = spread.join(hubs.select("token", "top", "hub"), ["token", "top"]).groupBy("cls").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
     chosen = left.join(met, "cls").select("cls", "size", "n", "hubs", F.col("_row._hash").alias("_hash"), F.col("_row.id").alias("_id"))
     texts = docs.select(F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), F.col(text_col).alias("text"))
-    chosen = chosen.join(texts, (F.col("_hash") == F.col("_h")) & F.col("_id").eqNullSafe(F.col("_i"))).select("cls", "size", "n", "hubs", "text")
-    members = stored(chosen, "texts").select("*", F.explode("hubs").alias("hub"))
+    chosen = chosen.join(texts, (F.col("_hash") == F.col("_h")) & F.col("_id").eqNullSafe(F.col("_i"))).select("cls", "size", "n", "hubs", F.col("text").cast("binary").alias("text"))
+
+    def pack(batches):
+        for batch in batches:
+            texts = pa.array([zstandard.compress(t.as_py()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=batch.schema.names)
+
+    bounded_batches(docs.sparkSession)
+    packed = chosen.mapInArrow(pack, "cls long,size long,n long,hubs array<long>,text binary")
+    members = stored(packed, "texts").select("*", F.explode("hubs").alias("hub"))
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         cls = table.column("cls").to_numpy()
         _, at = np.unique(cls, return_index=True)  # rows that repeat the document that stands for a class
         table, cls = table.take(pa.array(at)), cls[at]
         shingles = shingler(size)
-        sets = [shingles(t.as_py()) for t in table.column("text")]
+        sets = [shingles(zstandard.decompress(t.as_py()).decode()) for t in table.column("text")]
         n = np.array([len(s) for s in sets], float)
         possible = np.triu(100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n), 1)
         if key[1].as_py() != key[2].as_py():
@@ -212,12 +231,17 @@ def link_documents(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of linked ones, that of the least id.
 
-    Of rows that repeat it one stays. Documents without words all stay. Null
+    Of rows of that id and text the first by their other columns, as JSON,
+    stays. Documents without words all stay. Null
     ids come last. All columns are kept.
     """
     linked = link_documents(docs, id_col, text_col, **options)
     kept = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "_hash")).alias("k"))
     kept = kept.select(F.col("k.id").alias("_id"), F.col("k._hash").alias("_same"))
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), (word_count(F.col(text_col)) > 0).alias("_some"))
+    rows = docs.select(whole_row(docs).alias("_doc"), F.col(id_col).alias("_i"), text_hash(F.col(text_col)).alias("_h"), (word_count(F.col(text_col)) > 0).alias("_some"))
     first = rows.where("_some").join(kept, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_same")), "left_semi")
-    return first.dropDuplicates(["_i", "_h"]).select("_doc.*").unionByName(rows.where("NOT _some").select("_doc.*"))
+    # Rows of one id and text are told apart by their other columns, so the choice does not depend on partitions.
+    others = [F.col("_doc")[c].alias(c) for c in docs.columns if c != text_col]
+    rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    one = first.groupBy("_i", "_h").agg(F.min_by("_doc", rest).alias("_doc"))
+    return one.select("_doc.*").unionByName(rows.where("NOT _some").select("_doc.*"))

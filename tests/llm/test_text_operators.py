@@ -3,6 +3,7 @@
 import collections
 import re
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from newsflow.llm import licenses, links, mixing, near_vectors, ngram_join, packing, personal_data, rules, site_quality, tokens, url_rules
+from newsflow.llm import licenses, links, mixing, near_vectors, ngram_join, packing, personal_data, queries, rules, site_quality, tokens, url_rules
 from newsflow.llm.features import counts
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -165,7 +166,7 @@ def test_licenses(spark, docs, none):
     bsd = ["bsd-grant", "bsd-source", "bsd-binary"]
     rows = [
         (1, "\n".join(s[x] + "." for x in bsd)),
-        (2, "\n".join("# " + s[x].upper() + ":" for x in [*bsd, "bsd-endorse"])),
+        (2, "\n".join("# " + s[x].upper().replace("<>", "THE COPYRIGHT HOLDER") + ":" for x in [*bsd, "bsd-endorse"])),
         (3, "\n".join(s[x] for x in reversed(bsd))),
         (4, "x. Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."),
         (4, "x. Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."),
@@ -182,7 +183,7 @@ MPL = "This Source Code Form is subject to the terms of the Mozilla Public Licen
 def test_wrapped_licenses(spark):
     s = licenses.SENTENCES
     mit = f"Copyright (c) 2020 Somebody\n{s['mit-grant']}:\n\n{s['mit-condition']}.\n\n{s['mit-warranty']}. IN NO EVENT"
-    bsd = f"{s['bsd-grant']}:\n\n1. {s['bsd-source']}.\n2. {s['bsd-binary']}.\n3. {s['bsd-endorse']}."
+    bsd = f"{s['bsd-grant']}:\n\n1. {s['bsd-source']}.\n2. {s['bsd-binary']}.\n3. {s['bsd-endorse'].replace('<>', 'the copyright holder', 1).replace('<>', 'its contributors')}."
     gpl = lambda first: f"{s[first]}.\n\n{s['gpl-hope']}; {s['gpl-fitness']}. See the GNU General Public License for more details."
     apache = f"{s['apache-notice-long']};\n{s['apache-compliance']}.\n{s['apache-copy']}\n\nhttp://www.apache.org/licenses/LICENSE-2.0"
     title = "        Apache License\n     Version 2.0, January 2004\n  http://www.apache.org/licenses/"
@@ -199,6 +200,44 @@ def test_wrapped_licenses(spark):
     assert [(i, got[i], n) for i, (n, _) in enumerate(rows) if got[i] != n] == []
 
 
+def named_texts():
+    """Licence texts with holders' names, of the lesser known licences, and SPDX lines."""
+    s = licenses.SENTENCES
+    bsd = [s["bsd-grant"] + ":", "1. " + s["bsd-source"] + ".", "2. " + s["bsd-binary"] + "."]
+    endorse = lambda name, more: s["bsd-endorse"].replace("<>", name, 1).replace("<>", more) + "."
+    free = "This program is free software: "
+    texts = [
+        ("BSD-3-Clause", "\n".join([*bsd, "3. " + endorse("Google Inc.", "its contributors")])),
+        ("BSD-3-Clause", "\n".join([*bsd, "* " + endorse("the University of California, Berkeley", "its contributors")])),
+        ("BSD-3-Clause", "\n".join([*bsd, "3. " + s["bsd-endorse-2"].replace("<>", "the author") + "."])),
+        ("BSD-2-Clause", "\n".join(bsd)),
+        ("LGPL-2.1", s["lgpl21-free"] + "."), ("LGPL-3.0", free + s["lgpl3-free"] + "."), ("AGPL-3.0", free + s["agpl3-free"] + "."),
+        ("EPL-2.0", s["epl2-notice"] + "/"), ("Zlib", f"{s['zlib-as-is']}. In no event.\n\n{s['zlib-grant']}:"), ("BSL-1.0", s["bsl-notice"] + ".\n(See accompanying file)"),
+        ("Apache-2.0,MIT", "x\n// SPDX-License-Identifier: MIT OR Apache-2.0\ncode"), ("", "SPDX-License-Identifier: LicenseRef-Own"), ("", "Neither the name of it"),
+    ]
+    texts += [(license, f"#!/bin/sh\n# SPDX-License-Identifier: {name}\n\ncode") for name, license in licenses.SPDX.items()]
+    return texts
+
+
+def test_named_holders_and_spdx_lines(spark, tmp_path):
+    import duckdb
+
+    rows = []
+    for name, text in named_texts():
+        for width in (36, 78, 1000):
+            for mark in ("", " * "):
+                if "SPDX" not in text or width == 1000:
+                    rows.append((name, "\n".join(mark + x for line in text.split("\n") for x in textwrap.wrap(line, width, break_long_words=False) or [""])))
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_sentences, r.licenses) for r in licenses.find_licenses(frame).collect()}
+    assert [(i, got[i], n) for i, (n, _) in enumerate(rows) if got[i][1] != n] == []
+    # The SQL counterpart describes the same, wrapped lines and names included.
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (_, t) in enumerate(rows)])
+    assert {i: (n, names) for i, n, names in connection.execute(queries.ORACLES["op1_license_scan"]).fetchall()} == got
+
+
 def test_mixing_meets_targets(spark, docs, none):
     got = mixing.mix_documents(docs).collect()
     assert bag((r.doc_id, r.size) for r in got) == bag((i, len(re.findall(WORD, t or ""))) for i, t in TEXTS)
@@ -249,6 +288,20 @@ def test_url_with_a_second_scheme(spark):
     assert got == bag([(0, "example.com", "", None, "allow"), (1, "example.com", "", None, "allow"), (2, "example.com", "/en/", "example.com/en/", "block"), (3, "", "", None, "allow")])
 
 
+def test_urls_of_control_characters(spark):
+    urls = ["http://net\x01x/es/1", "http://com\x01evil/a", "http://x.com\x00/a", "http://a\x00.net/es/", "http://\x01.net/es/", "http://net/es/\x00", "http://x\x01\x02.com/", "http://net\x00/es/1", "http://a.net\n/es/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = [("com", "/", "allow"), ("net", "/es/", "block"), ("a\x00", "/x", "block"), ("a", "\x00/x", "block"), ("x\x01\x02.com", "/", "block")]
+    ruled = spark.createDataFrame(listed, "host string, path string, verdict string")
+    want = []
+    for n, u in enumerate(urls):
+        host, path = re.fullmatch(r"(?s)http://([^/]*)(/.*)", u).groups()
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in listed if ("." + host).endswith("." + h) and path.startswith(p)]
+        best = max(fits, default=(0, 0, None, "allow"))
+        want.append((n, host, path, best[2], best[3]))
+    assert bag(url_rules.judge_urls(pages, ruled).collect()) == bag(want)
+
+
 def test_quality_rules(docs, none):
     def slow(text):
         words, lines = re.findall(WORD, text), [x for x in text.split("\n") if re.search(WORD, x)]
@@ -332,6 +385,59 @@ def test_ngram_join_equals_brute_force(spark, docs, none, size, percent):
     assert bag([r.doc_id] for r in kept.collect()) == bag([i] for i in [1, 2, 3, 4, 8, 9, 10, 11, None, 12, 13])
 
 
+def test_the_row_that_stays_does_not_depend_on_partitions(spark):
+    rows = [(1, BASE, s, n) for n, s in enumerate(["z", "y", "x", None, "w", "x"])] + [(2, BASE + " more", "a", 0), (None, "", "s", 1), (None, "", "r", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` long")
+    kept = [bag(ngram_join.drop_near_duplicates(f).collect()) for f in (frame.repartition(1), frame.repartition(7), frame.repartition(3, "source"), frame.repartitionByRange(5, F.desc("`a.b`")))]
+    assert all(k == kept[0] for k in kept) and sorted(map(str, kept[0])) == sorted(map(str, [(1, BASE, "w", 4), (None, "", "s", 1), (None, "", "r", 2)]))
+
+
+def test_compilations_travel_few_times(spark, monkeypatch):
+    """Two near-equal texts made of 3,000 short ones that are there too: few copies of the long ones."""
+    random = np.random.default_rng(9)
+    short = [" ".join(f"w{x}" for x in random.integers(0, 50_000, 12)) for _ in range(3000)]
+    long = "\n".join(short)
+    rows = list(enumerate([*short, long, long.replace(short[7], "nothing of the kind here"), long[:2000]]))
+    sizes, real = [], ngram_join.in_blocks
+
+    def recorded(members, *rest):
+        sizes.append(members.agg(F.sum(F.octet_length("text")), F.count("*"), F.max(F.size("hubs"))).first())
+        return real(members, *rest)
+
+    monkeypatch.setattr(ngram_join, "in_blocks", recorded)
+    got = {r.doc_id: r for r in ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert (got[3000].component_id, got[3000].n_links, got[3001].component_id) == (3000, 1, 3000)
+    assert all(got[i].component_id == i and got[i].n_links == 0 for i in [*range(3000), 3002])
+    assert sizes[0][0] < 3 * len(long) and sizes[0][2] <= 4
+
+
+def test_first_shared_against_sets():
+    random = np.random.default_rng(10)
+    groups = [np.unique(random.integers(-60, 60, int(random.integers(1, 40)))) for _ in range(120)]
+    a, b = np.triu_indices(len(groups), 1)
+    for this in (-20, 0, 35):
+        want = [not any(h < this for h in set(groups[i]) & set(groups[j])) for i, j in zip(a, b)]
+        assert links.first_shared(groups, a, b, this).tolist() == want
+
+
+def test_personal_data_in_linear_time():
+    def seconds(n):
+        text = " ".join(f"{i % 97:02d} {i:05d} id={i:06d},b:{i:07d}" for i in range(n)) + "," .join(f"k={i:08d}" for i in range(n)) + " " + "9" * n
+        start = time.process_time()
+        spans = personal_data.base_spans(text)
+        places = personal_data.lookalikes(text, spans)
+        words = [m.span() for m in re.finditer(r"\S+", text)]
+        for s, e in places + [(s, e) for _, s, e in spans]:
+            personal_data.contexts(text, s, e, words)
+        assert len(places) > n
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(20_000) < 15 * seconds(2_000)
+    long = "a" * 500 + "1234"
+    assert personal_data.lookalikes(f"key {long} end", []) == [(4, 508)]
+
+
 def test_vectors_against_brute_force(spark):
     random = np.random.default_rng(4)
     centers = random.standard_normal((40, 16))
