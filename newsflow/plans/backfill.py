@@ -37,7 +37,6 @@ class Backfill:
     sample_rate: float | None = None
     seed: int = 0
     source_type: str = "ccnews"
-    tasks: int | None = None
 
 
 def staged_records(records: DataFrame, job: Backfill, language_model: DataFrame | None = None) -> DataFrame:
@@ -72,7 +71,9 @@ def run_backfill(
     """Process the pending archives of a manifest (``warc_path, month``); one summary row.
 
     The archives are read and extracted once, into a staging table in the
-    shared folder; counters, landing files and the merge read that table. An
+    shared folder; counters, landing files and the merge read that table. A run
+    that ends early can be repeated: landed lines are replaced by archive, and
+    articles that are there already are counted for their archive. An
     archive with a read error is recorded as failed, adds no article and comes
     up again in the next run.
     """
@@ -82,7 +83,7 @@ def run_backfill(
     pending = ledger.select_archives(manifest, archives, job.max_archives, order, job.limit_first)
 
     stage_path = work_dir(spark, "backfill")
-    records = read_archives(pending, job.archive_root, job.tasks)
+    records = read_archives(pending, job.archive_root, job.denied, job.allowed, job.max_page_bytes)
     if job.sample_rate is not None:
         records = records.where((F.col("rec_type") == "error") | (F.rand(job.seed) < job.sample_rate))
     staged_records(records, job, language_model).write.parquet(stage_path)
@@ -95,7 +96,7 @@ def run_backfill(
     limit = job.max_rows_per_archive
     lines = good if limit is None else first_n_per_key(good, "warc_path", "record_no", limit)
     tables.land_archive_lines(
-        lines.select("url", "domain", "title", "date", "author", "lang", "text", "warc_path", "record_no"), job.landing
+        lines.select("url", "domain", "title", "date", "author", "lang", "text", "warc_path", "record_no"), job.landing, replace=True
     )
     batch = unify.archive_articles(lines, job.source_type, ["warc_path", "record_no"])
     firsts = first_per_key(batch, ["article_id"], [F.col("warc_path"), F.col("record_no")])
@@ -106,7 +107,9 @@ def run_backfill(
     schemas.align(new, schemas.ARTICLES).write.mode("append").parquet(job.articles)
 
     written = lines.groupBy("warc_path").agg(F.count("*").cast("int").alias("rows_written"))
-    inserted = new.groupBy("warc_path").agg(F.count("*").cast("int").alias("rows_inserted"))
+    # Counted in the table: a run that ended before its ledger was published may have added some of them.
+    added = tables.read_table(spark, job.articles, schemas.ARTICLES).select(F.col("source_warc").alias("warc_path"))
+    inserted = added.join(pending.select("warc_path"), "warc_path", "left_semi").groupBy("warc_path").agg(F.count("*").cast("int").alias("rows_inserted"))
     updates = (
         pending.join(failed, "warc_path", "left")
         .join(written, "warc_path", "left")

@@ -6,29 +6,17 @@ import gzip
 import io
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RECORD_SCHEMA = (
-    "warc_path string, record_no bigint, rec_type string, url string, payload binary, read_error string"
+    "warc_path string, record_no bigint, rec_type string, url string, payload binary, payload_bytes bigint, read_error string"
 )
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("warc_path", pa.string()),
-        ("record_no", pa.int64()),
-        ("rec_type", pa.string()),
-        ("url", pa.string()),
-        ("payload", pa.binary()),
-        ("read_error", pa.string()),
-    ]
-)
-_BATCH_BYTES = 16 << 20
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
 _META_CHARSET = re.compile(rb"<meta[^>]{0,500}?charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
-_META_BYTES = 4096  # where a page names its charset
-_BAD_BODY = (OSError, EOFError, ValueError, zlib.error)
+_HEAD_END = re.compile(rb"</head\s*>|<body[\s>]", re.I)
+BAD_BODY = (OSError, EOFError, ValueError, zlib.error)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -89,20 +77,29 @@ def _headers(stream) -> dict[str, str]:
     return found
 
 
-def _as_utf8(body: bytes, content_type: str) -> bytes:
-    """A text body in UTF-8: the charset is the header's, else the page's own, else UTF-8."""
+def _as_utf8(body: bytes, content_type: str) -> tuple[bytes, str | None]:
+    """A text body in UTF-8, and where bytes of it mean nothing in its charset.
+
+    The charset is the header's, else the one the page's head names, else UTF-8.
+    """
     if content_type and not re.search("text|html|xml|json", content_type, re.I):
-        return body
-    named = _CHARSET.search(content_type.encode()) or _META_CHARSET.search(body[:_META_BYTES])
+        return body, None
+    named = _CHARSET.search(content_type.encode())
+    if not named:
+        end = _HEAD_END.search(body)
+        named = _META_CHARSET.search(body, 0, end.start() if end else len(body))
     name = named[1].decode().lower() if named else "utf-8"
-    if name in ("utf-8", "utf8"):
-        return body
     if name in ("iso-8859-1", "latin1", "us-ascii", "ascii"):
         name = "cp1252"  # as browsers read them
     try:
-        return body.decode(name, "replace").encode("utf-8", "replace")
+        text = body.decode(name)
     except LookupError:
-        return body
+        return body, None
+    except UnicodeDecodeError as found:
+        # Binary bodies come without a type, too.
+        problem = f"UnicodeDecodeError: {found.reason} at byte {found.start} of {name}" if content_type or named else None
+        return (body if name in ("utf-8", "utf8") else body.decode(name, "replace").encode("utf-8", "replace")), problem
+    return (body if name in ("utf-8", "utf8") else text.encode("utf-8", "replace")), None
 
 
 def _http_body(block: bytes) -> tuple[bytes, str | None]:
@@ -119,9 +116,10 @@ def _http_body(block: bytes) -> tuple[bytes, str | None]:
     problem = None
     try:
         body = _decoded(raw, headers)
-    except _BAD_BODY as found:
+    except BAD_BODY as found:
         body, problem = raw, f"{type(found).__name__}: {found}"
-    return _as_utf8(body, headers.get("content-type", "")), problem
+    body, unread = _as_utf8(body, headers.get("content-type", ""))
+    return body, problem or unread
 
 
 def _decoded(body: bytes, headers: dict[str, str]) -> bytes:
@@ -143,8 +141,16 @@ def _decoded(body: bytes, headers: dict[str, str]) -> bytes:
     return body
 
 
-def _records(path: str) -> Iterator[tuple[str, str | None, bytes | None, str | None]]:
-    """Type, target URL, payload and decoding problem of each record; only responses carry a payload."""
+def _skip(stream, size: int) -> int:
+    """Read past ``size`` bytes without keeping them; how many there were."""
+    left = size
+    while left and (chunk := stream.read(min(left, 1 << 20))):
+        left -= len(chunk)
+    return size - left
+
+
+def records(path: str, keeps_body: Callable[[str, str | None], bool]) -> Iterator[tuple[str, str | None, bytes | None, str | None]]:
+    """Type, target URL, payload and decoding problem of each record; ``keeps_body`` says which have a payload."""
     filesystem, name = filesystem_of(path)
     with filesystem.open_input_stream(name, compression=None) as raw:
         stream = io.BufferedReader(_Chunks(_members(raw)), 1 << 20)
@@ -155,54 +161,33 @@ def _records(path: str) -> Iterator[tuple[str, str | None, bytes | None, str | N
                 raise ValueError("not a web archive record")
             headers = _headers(stream)
             size = int(headers.get("content-length", 0))
-            block = stream.read(size)
-            if len(block) < size:
-                raise EOFError("archive ends inside a record")
             kind = headers.get("warc-type", "")
             url = headers.get("warc-target-uri", "").strip("<>") or None
-            yield kind, url, *(_http_body(block) if kind == "response" else (None, None))
-
+            kept = keeps_body(kind, url)
+            block = stream.read(size) if kept else b""
+            if (len(block) if kept else _skip(stream, size)) < size:
+                raise EOFError("archive ends inside a record")
+            yield kind, url, *(_http_body(block) if kept else (None, None))
 
-def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([dict(zip(_ARROW_SCHEMA.names, r)) for r in rows], schema=_ARROW_SCHEMA)
 
-    rows: list[tuple] = []
-    size = 0
-    for batch in batches:
-        for warc_path, location in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            number = -1
-            try:
-                for number, (kind, url, payload, problem) in enumerate(_records(location)):
-                    rows.append((warc_path, number, kind, url, payload, problem))
-                    size += len(payload or b"") + 200
-                    if size >= _BATCH_BYTES:
-                        yield flush(rows)
-                        rows, size = [], 0
-            except _BAD_BODY as problem:
-                # One bad archive is a row of its own, not the end of the job.
-                rows.append((warc_path, number + 1, "error", None, None, f"{type(problem).__name__}: {problem}"))
-    if rows:
-        yield flush(rows)
-
-
-def read_archives(manifest: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+def read_archives(
+    manifest: DataFrame, root: str, denied: tuple[str, ...] = (), allowed: tuple[str, ...] = (), max_bytes: int | None = None
+) -> DataFrame:
     """Records of the archives in ``manifest``, whose paths are relative to ``root``.
 
-    A gzip file cannot be split, so an archive is one task's work; it is
+    A gzip file cannot be split, so an archive is one partition; it is
     streamed record by record and leaves the task in Arrow batches of bounded
-    size. By default the archives are dealt out to as many tasks as Spark's
-    parallelism allows; pass ``tasks`` to go up to one task per archive.
+    size. As with any file source, the driver knows the names of the files.
+    Filters on ``warc_path, record_no, rec_type`` and ``url`` reach the reader;
+    ``denied``, ``allowed`` and ``max_bytes`` name records whose payload is not
+    needed (null; ``payload_bytes`` is that of the payload where it was read).
     """
-    spark = manifest.sparkSession
-    location = F.concat(F.lit(root.rstrip("/") + "/"), F.col("warc_path"))
-    paths = manifest.select("warc_path", location.alias("location"))
-    tasks = tasks or max(spark.sparkContext.defaultParallelism, 1) * 4
-    return paths.repartition(tasks, "warc_path").mapInArrow(_read_batches, RECORD_SCHEMA)
+    from newsflow.sources import archive_source
+
+    paths = sorted(r["warc_path"] for r in manifest.select("warc_path").where("warc_path IS NOT NULL").distinct().toLocalIterator())
+    return archive_source.load(manifest.sparkSession, paths, root, archive_source.BodyRules(tuple(denied), tuple(allowed), max_bytes))
 
 
 def decode_payload(records: DataFrame) -> DataFrame:
-    """Payload as text with its size in bytes; bytes that are no UTF-8 become U+FFFD."""
-    return records.withColumn("payload_bytes", F.octet_length("payload")).withColumn(
-        "html", F.make_valid_utf8(F.col("payload").cast("string"))
-    )
+    """Payload as text; bytes that are no UTF-8 become U+FFFD (``read_error`` names the first)."""
+    return records.withColumn("html", F.make_valid_utf8(F.col("payload").cast("string")))

@@ -23,15 +23,21 @@ def land_articles(lines: DataFrame, root: str) -> None:
     parted.hint("rebalance", "year", "month").write.partitionBy("year", "month").mode("append").json(root)
 
 
-def land_archive_lines(lines: DataFrame, root: str, path: str = "warc_path") -> None:
-    """Append lines as JSON below year, month and archive, as found in the archive's path."""
+def land_archive_lines(lines: DataFrame, root: str, path: str = "warc_path", replace: bool = False) -> None:
+    """Write lines as JSON below year, month and archive, as found in the archive's path.
+
+    They are added to what is there, or with ``replace`` take the place of the
+    lines of the same archives, so that a repeated run lands nothing twice.
+    """
     parted = (
         lines.withColumn("year", archive_year(F.col(path)))
         .withColumn("month", archive_month(F.col(path)))
         .withColumn("archive", archive_file(F.col(path)))
     )
     parts = ["year", "month", "archive"]
-    parted.hint("rebalance", *parts).write.partitionBy(*parts).mode("append").json(root)
+    writer = parted.hint("rebalance", *parts).write.partitionBy(*parts)
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace else writer.mode("append")
+    writer.json(root)
 
 
 def landing_line(articles: DataFrame) -> DataFrame:
@@ -88,14 +94,15 @@ def append_rows(df: DataFrame, path: str, schema: StructType) -> None:
     schemas.align(df, schema).write.mode("append").parquet(path)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete snapshots below ``root``."""
+def _versions(spark: SparkSession, root: str, complete: bool = True) -> list[int]:
+    """Snapshots below ``root``, complete ones or all that were begun."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     filesystem = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not filesystem.exists(path):
         return []
-    done = filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done or [])
+    found = filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*" + "/_SUCCESS" * complete))
+    paths = [s.getPath().getParent() if complete else s.getPath() for s in found or []]
+    return sorted(int(p.getName().split("=")[1]) for p in paths)
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -110,9 +117,10 @@ def publish_snapshot(df: DataFrame, root: str, schema: StructType) -> int:
     """Write a new state next to the old ones; it counts once its write is complete.
 
     The state being read is never overwritten, and a failed write leaves the
-    former snapshot in force.
+    former snapshot in force. A version that someone else has begun is never
+    written to: of two writers at once the later one fails.
     """
-    versions = _versions(df.sparkSession, root)
+    versions = _versions(df.sparkSession, root, complete=False)
     version = versions[-1] + 1 if versions else 1
-    schemas.align(df, schema).write.mode("overwrite").parquet(f"{root}/version={version}")
+    schemas.align(df, schema).write.mode("errorifexists").parquet(f"{root}/version={version}")
     return version
