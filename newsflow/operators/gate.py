@@ -2,137 +2,80 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow import settings
+from newsflow.functions.pages import page_parts
 from newsflow.functions.text import in_languages, is_filled, strip
 from newsflow.functions.urls import in_allow_list_loose, is_article_url
 
-# Elements whose content is never part of an article.
-_DROPPED = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "iframe", "svg")
-_BLOCKS = (
-    "address|article|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|h[1-6]|hr|li|main|ol|p|pre|section|table|td|th|tr|ul"
-)
-
-# The named entities that news pages use, as characters. The
-# ampersand comes last so that nothing is decoded twice.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©", "&reg;": "®",
-    "&trade;": "™", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»",
-    "&euro;": "€", "&pound;": "£", "&deg;": "°", "&amp;": "&",
-}
-
-
-def _numeric_references(text: Column) -> Column:
-    """Replace ``&#233;`` and ``&#xE9;``; codes that are no characters stay."""
-    char = lambda code: F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-    valid = lambda n: (n > 0) & ((n < 0xD800) | ((n > 0xDFFF) & (n < 0x110000)))
-    decimal = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7});"), F.lit(1)))
-    out = F.aggregate(
-        F.filter(decimal, lambda n: valid(n.cast("int"))),
-        text,
-        lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")), char(F.hex(n.cast("bigint")))),
-    )
-    hexadecimal = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([xX][0-9A-Fa-f]{1,6});"), F.lit(1)))
-    return F.aggregate(
-        F.filter(hexadecimal, lambda h: valid(F.conv(F.substring(h, 2, 6), 16, 10).cast("int"))),
-        out,
-        lambda acc, h: F.replace(acc, F.concat(F.lit("&#"), h, F.lit(";")), char(F.substring(h, 2, 6))),
-    )
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
-def _named_references(text: Column) -> Column:
-    for name, value in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(value))
-    return text
+def _named_references() -> Column:
+    """All named character references of HTML, without "&" and ";", by the table of Python's library."""
+    table = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(table | {"nbsp": " "})), "map<string, string>")
 
 
 def unescape(text: Column) -> Column:
-    """Replace numeric, then named character references."""
-    numeric = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
-    return _named_references(numeric)
-
-
-def _meta(html: Column, name: str) -> Column:
-    # Attributes come in any order. The value ends at the quote that opened it.
-    named = rf"(?=\s(?:[^>]*?\s)?(?:name|property|itemprop)=[\"']{name}[\"'])"
-    pattern = rf"(?is)<meta{named}\s(?:[^>]*?\s)?content=(?:\"([^\"]*)\"|'([^']*)')"
-    return F.nullif(F.concat(F.regexp_extract(html, pattern, 1), F.regexp_extract(html, pattern, 2)), F.lit(""))
-
-
-def _up_to_last(text: Column, closing: str) -> Column:
-    return F.regexp_extract(text, rf"(?is)^(.*{closing})", 1)
-
-
-def _replace_up_to_last(text: Column, closing: str, pattern: str, by: str) -> Column:
-    """Replace ``pattern``, which ends in ``closing``, and look for it up to the last ``closing`` only.
+    """Replace character references, named and numeric; what is none, or no character, stays.
 
-    Behind that nothing can match, but from every opening there a search would
-    run to the end of the page, which is quadratic in pages of unclosed tags.
+    A text is cut at its references and each is decoded once, so what a
+    reference stands for is not taken for the begin of another one.
     """
-    rest = lambda t, head: F.substring(t, F.length(head) + 1, F.length(t))
-    within = lambda t: F.transform(
-        F.array(_up_to_last(t, closing)), lambda head: F.concat(F.regexp_replace(head, pattern, by), rest(t, head))
-    )[0]
-    return F.transform(F.array(text), within)[0]
-
-
-def raw_title(html: Column) -> Column:
-    return F.regexp_extract(_up_to_last(html, "</title>"), r"(?is)<title[^>]*>(.*?)</title>", 1)
+    char = lambda code: F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+    valid = lambda n: (n > 0) & ((n < 0xD800) | ((n > 0xDFFF) & (n < 0x110000)))
+    inner = lambda p: F.substring(p, F.lit(2), F.length(p) - 2)
+    code = lambda p: F.when(
+        F.lower(F.substring(p, 3, 1)) == "x", F.conv(F.substring(p, F.lit(4), F.length(p) - 4), 16, 10).cast("int")
+    ).otherwise(F.try_to_number(F.substring(p, F.lit(3), F.length(p) - 3), F.lit("9999999")).cast("int"))
+    numeric = lambda p: F.coalesce(F.when(valid(code(p)), char(F.hex(code(p).cast("bigint")))), p)
+    decoded = lambda p: (
+        F.when(~p.startswith("&") | (F.length(p) < 3), p).when(F.substring(p, 2, 1) == "#", numeric(p)).otherwise(F.coalesce(F.try_element_at(_named_references(), inner(p)), p))
+    )
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s){_REFERENCE}|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)
 
 
 def page_lang(html: Column) -> Column:
     """Two-letter code of the page's own language mark."""
-    lang = F.regexp_extract(html, r"(?is)<html[^>]*\slang=[\"']?([A-Za-z]{2,3})", 1)
+    tag = F.regexp_extract(html, r"(?is)^(?>.*?<html(?=[\s>]))([^>]*)", 1)
+    lang = F.regexp_extract(tag, r"(?i)\slang=[\"']?([A-Za-z]{2,3})", 1)
     return F.nullif(F.lower(lang), F.lit(""))
 
 
-def raw_author(html: Column) -> Column:
-    return F.coalesce(_meta(html, "author"), _meta(html, "article:author"))
-
-
-def page_date(html: Column) -> Column:
-    """ISO day the page gives for itself."""
-    stamp = F.coalesce(
-        _meta(html, "article:published_time"),
-        _meta(html, "datePublished"),
-        _meta(html, "date"),
-        F.nullif(F.regexp_extract(html, r"(?is)<time[^>]*\sdatetime=[\"']([^\"']*)[\"']", 1), F.lit("")),
-    )
-    return F.nullif(F.regexp_extract(stamp, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
-
-
 def extract_pages(df: DataFrame, html: str = "html") -> DataFrame:
     """Add title, date, author and text of a page.
 
     The text is that of the article block, with one line per block element.
-    Each step is a column of its own, so that Spark computes it once. For the
-    same reason the results pass through a generator: a filter on them is not
-    copied below it, which would extract every page twice.
+    One scan over a page's tags finds its parts; it counts as
+    non-deterministic, so that a filter on the results is not copied below it,
+    which would scan every page twice. A null page has no parts.
     """
-    body = _replace_up_to_last(F.col(html), "-->", r"(?s)<!--.*?-->", "")
-    for tag in _DROPPED:
-        body = _replace_up_to_last(body, rf"</{tag}\s*>", rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
-    inner = lambda tag: F.nullif(
-        F.regexp_extract(_up_to_last(F.col("_body"), rf"</{tag}\s*>"), rf"(?is)<{tag}(?:\s[^>]*)?>(.*)</{tag}\s*>", 1), F.lit("")
-    )
-    block = F.coalesce(inner("article"), inner("main"), inner("body"), F.col("_body"))
-    lines = _replace_up_to_last(F.col("_block"), ">", rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n")
-    plain = _replace_up_to_last(lines, ">", r"(?s)<[^>]*>", "")
+
+    @F.pandas_udf("title string, author string, stamp string, plain string")
+    def parts(pages: pd.Series) -> pd.DataFrame:
+        found = [(None, None, None, None) if page is None else page_parts(page) for page in pages]
+        return pd.DataFrame(found, columns=["title", "author", "stamp", "plain"], dtype=object)
+
+    raw = df.withColumn("_parts", parts.asNondeterministic()(F.col(html)))
     # One expression decodes all three texts.
-    decoded = F.transform(F.array(raw_title(F.col(html)), raw_author(F.col(html)), F.col("_plain")), unescape)
+    decoded = F.transform(F.array("_parts.title", "_parts.author", "_parts.plain"), unescape)
     title, author, text = (F.col("_decoded")[n] for n in range(3))
     spaced = F.regexp_replace(F.regexp_replace(text, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n")
     filled = lambda c: F.nullif(strip(c), F.lit(""))
-    extracted = F.struct(
+    return raw.withColumn("_decoded", decoded).select(
+        *df.columns,
         filled(F.regexp_replace(title, r"[ \t\r\n]+", " ")).alias("title"),
-        page_date(F.col(html)).alias("date"),
+        F.nullif(F.regexp_extract(F.col("_parts.stamp"), r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("")).alias("date"),
         filled(author).alias("author"),
         filled(spaced).alias("text"),
     )
-    steps = df.withColumn("_body", body).withColumn("_block", block).withColumn("_plain", plain)
-    return steps.withColumn("_decoded", decoded).select(*df.columns, F.inline(F.array(extracted)))
 
 
 EXTRACTED = "title string, date string, author string, text string"

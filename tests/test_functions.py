@@ -8,7 +8,7 @@ from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 import pytest
 from pyspark.sql import functions as F
 
-from newsflow.functions import dates, text, urls, vectors
+from newsflow.functions import dates, pages, text, urls, vectors
 from newsflow.operators.gate import extract_pages, unescape
 
 URLS = [
@@ -137,23 +137,43 @@ def test_shards_are_disjoint_and_complete(spark):
             vectors.check_shard(*bad)
 
 
-def test_mail_dates_with_two_digit_years_and_quoted_meta_values(spark):
+def test_mail_dates_with_two_digit_years(spark):
     from newsflow.functions.dates import rfc822_timestamp
-    from newsflow.operators.gate import _meta
 
-    rows = [("Tue, 15 Nov 94 12:45:26 GMT", """<meta name="author" content="Conan O'Brien">"""), ("1 Jan 07 00:00:00 +0000", "<meta name='author' content='A \"B\" C'>")]
-    got = spark.createDataFrame(rows, "d string, h string").select(rfc822_timestamp(F.col("d")).cast("string"), _meta(F.col("h"), "author")).collect()
-    assert [tuple(r) for r in got] == [("1994-11-15 12:45:26", "Conan O'Brien"), ("2007-01-01 00:00:00", 'A "B" C')]
+    days = column(spark, ["Tue, 15 Nov 94 12:45:26 GMT", "1 Jan 07 00:00:00 +0000"], lambda c: rfc822_timestamp(c).cast("string"))
+    assert days == ["1994-11-15 12:45:26", "2007-01-01 00:00:00"]
 
 
-def test_meta_attributes_in_any_order(spark):
-    from newsflow.operators.gate import _meta
+def test_meta_values_quoted_either_way_and_in_any_order():
+    cases = {
+        """<meta name="author" content="Conan O'Brien">""": "Conan O'Brien", "<meta name='author' content='A \"B\" C'>": 'A "B" C', '<meta content="A" name="author">': "A",
+        '<meta charset="x"><meta data-x="1" itemprop="author" lang="en" content="B > C">': "B > C", '<meta content="C"><meta name="author">': None, "<META NAME=Author CONTENT=D/>": "D/",
+        '<meta name="author" content="first"><meta name="author" content="second">': "first", "<meta": None, '<meta name="author" content="open': "",
+    }
+    for html, author in cases.items():
+        assert pages.metas(html).get("author") == author, html
+
+
+def test_all_named_references(spark):
+    from html.entities import html5
+
+    names = [n[:-1] for n in html5 if n.endswith(";") and n != "nbsp;"]
+    got = column(spark, [" ".join(f"&{n};" for n in names), "caf&eacute;&nbsp;&amp;eacute; &Eacute;T&Eacute; &unknown; &copy 2 &; &#x; AT&T", "&amp;amp;lt; &#38;lt; &NotEqualTilde;"], unescape)
+    assert got[0] == " ".join(html5[n + ";"] for n in names)
+    assert got[1:] == ["café &eacute; ÉTÉ &unknown; &copy 2 &; &#x; AT&T", "&amp;lt; &lt; \u2242\u0338"]
+
 
-    cases = ['<meta content="A" name="author">', '<meta charset="x"><meta data-x="1" itemprop="author" lang="en" content="B">', '<meta content="C"><meta name="author">', None]
-    assert column(spark, cases, lambda c: _meta(c, "author")) == ["A", "B", None, None]
+def test_parts_of_odd_pages():
+    text = lambda html: " ".join(pages.article_text(html).split())
+    assert text("a<nav>b<nav>c</nav>d</nav>e") == "ae" and text("a<nav>b") == "ab" and text("a</nav>b") == "ab"
+    assert text("<script>x</nav><p></script>a<script>b") == "ab" and text("<script src=x/>a<style>p{}</style>b") == "ab"
+    assert text("<article>a</article>b<article>c</article>d") == "a b c" and text("<main>m</main><article></article>z") == "m"
+    assert text("x<body>a<p>b<br/>c</body>y") == "a b c" and text("1 < 2 <3 a<b>c</b> >") == "1 < 2 <3 ac >"
+    assert text("a<!-- <p> -->b<!-- c") == "ab<!-- c" and text("<!doctype html><?xml?>a<") == "a<" and text("") == ""
+    assert pages.page_parts("<title>t<title>u</title><time datetime='2024-01-02'>")[:3] == ("t<title>u", None, "2024-01-02")
 
 
-@pytest.mark.parametrize("piece", ["<form>", "<!--", "<article>", "<title>", "<"])
+@pytest.mark.parametrize("piece", ["<form>", "<!--", "<article>", "<title>", "<", "<script>", "</nav><nav>", "<meta name=", "<meta content='", "&", "&amp", "<time ", "<title ", "<html "])
 def test_extraction_of_unclosed_tags_is_linear(spark, piece):
     page = lambda size: extract_pages(spark.createDataFrame([("<p>text</p>" + piece * (size // len(piece)),)], "html string"))
     page(1000).collect()

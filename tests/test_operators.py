@@ -196,4 +196,4 @@ def test_a_filter_on_extracted_text_does_not_extract_twice(spark):
 
     pages = spark.createDataFrame([("<p>x</p>",)], "html string")
     plan = plan_of(extract_pages(pages).where(F.length("text") > 500).select("title"))
-    assert plan.count("(?s)<!--.*?-->") == 1
+    assert plan.count("ArrowEvalPython") == 1
