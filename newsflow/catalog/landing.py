@@ -118,7 +118,7 @@ def archive_responses(spark, d):
 
 
 def write_feeds(spark, d, root: str) -> None:
-    """Feed documents of the entries; odd documents are Atom."""
+    """Feed documents of the entries, in turn RSS, Atom, RSS and RSS 1.0; with each fifth one an unreadable document."""
     entries = I.entries(spark, d).withColumn("doc_no", F.floor(F.col("entry_no") / _ENTRIES_PER_FEED))
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     tag = lambda name, c: F.coalesce(F.concat(F.lit(f"<{name}>"), esc(F.col(c)), F.lit(f"</{name}>")), F.lit(""))
@@ -127,15 +127,24 @@ def write_feeds(spark, d, root: str) -> None:
         F.lit("<entry>"), tag("title", "title"), F.lit('<link rel="self" href="x"/><link rel="alternate" href="'),
         esc(F.col("link")), F.lit('"/>'), tag("updated", "published"), F.lit("</entry>"),
     )
-    is_rss = F.col("doc_no") % 2 == 0
-    items = entries.withColumn("item", F.when(is_rss, rss).otherwise(atom))
+    rdf = F.concat(F.lit("<item>"), tag("title", "title"), tag("link", "link"), tag("dc:date", "published"), F.lit("</item>"))
+    is_rss, is_atom = F.col("doc_no") % 2 == 0, F.col("doc_no") % 4 == 1
+    items = entries.withColumn("item", F.when(is_rss, rss).when(is_atom, atom).otherwise(rdf))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("entry_no", "item"))), lambda x: x["item"]), "\n")
     docs = items.groupBy("doc_no").agg(body.alias("body"))
     rss_doc = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>Feed '), F.col("doc_no"), F.lit("</title>\n"), F.col("body"), F.lit("</channel></rss>"))
     atom_doc = F.concat(F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Feed '), F.col("doc_no"), F.lit("</title>\n"), F.col("body"), F.lit("</feed>"))
-    name = F.concat(F.url_encode(F.concat(F.lit("https://feeds.example.com/"), F.col("doc_no"))), F.lit(".xml"))
-    named = docs.select(name.alias("name"), F.when(is_rss, rss_doc).otherwise(atom_doc).cast("binary").alias("content"))
-    _write_named(named, root)
+    rdf_doc = F.concat(
+        F.lit('<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns="http://purl.org/rss/1.0/"><channel><title>Feed '),
+        F.col("doc_no"), F.lit("</title></channel>\n"), F.col("body"), F.lit("</rdf:RDF>"),
+    )
+    name = lambda *path: F.concat(F.url_encode(F.concat(F.lit("https://feeds.example.com/"), *path, F.col("doc_no"))), F.lit(".xml"))
+    whole = F.when(is_rss, rss_doc).when(is_atom, atom_doc).otherwise(rdf_doc)
+    bad = F.when(F.col("doc_no") % 15 == 0, "").when(F.col("doc_no") % 15 == 5, F.concat(F.lit("<html>"), F.col("doc_no"), F.lit("</html>")))
+    bad = bad.otherwise(F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+    named = docs.select(name().alias("name"), whole.cast("binary").alias("content"))
+    broken = docs.where("doc_no % 5 = 0").select(name(F.lit("bad/")).alias("name"), bad.cast("binary").alias("content"))
+    _write_named(named.unionByName(broken), root)
 
 
 @query(
@@ -152,6 +161,17 @@ def feed_scan(spark, d):
     )
 
 
+@query(
+    "feed_rejects",
+    f"""WITH {I.ENTRIES}, n AS (SELECT DISTINCT entry_no // {_ENTRIES_PER_FEED} AS doc_no FROM entries)
+SELECT 'https://feeds.example.com/bad/' || doc_no AS feed_url, CASE doc_no % 15 WHEN 0 THEN 'empty' WHEN 5 THEN 'no_feed' ELSE 'broken' END AS reason FROM n WHERE doc_no % 5 = 0""",
+)
+def feed_rejects(spark, d):
+    root = work_dir(spark, "feeds")
+    write_feeds(spark, d, root)
+    return feeds.feed_rejects(spark, root).select("feed_url", "reason")
+
+
 def _three_formats(spark, d, root: str) -> None:
     rows = I.lines(spark, d).where("text <> ''")
     third = lambda n: rows.where(F.col("doc_id") % 3 == n)
@@ -350,7 +370,7 @@ def feed_cycle_articles(spark, d):
     )
 
 
-@query("embedding_refresh", "SELECT sha256('article-' || doc_id) AS article_id, 'intfloat/multilingual-e5-small' AS model_name, 384 AS dims FROM documents")
+@query("embedding_refresh", "SELECT sha256('article-' || doc_id) AS article_id, 'hashed-tokens-384' AS model_name, 384 AS dims FROM documents")
 def embedding_refresh_run(spark, d):
     root = work_dir(spark, "embedding-store")
     articles = I.articles(spark, d)
@@ -417,7 +437,7 @@ def stream_month_counts(spark, d):
     return months.select(F.coalesce(F.date_format("month", "yyyy-MM"), F.lit("-")).alias("month"), "articles")
 
 
-@query("stream_embeds_new_articles", f"WITH {_MERGED} SELECT article_id, 384 AS dims FROM merged")
+@query("stream_embeds_new_articles", f"WITH {_MERGED} SELECT article_id, 384 AS dims, 'hashed-tokens-384' AS model_name FROM merged")
 def stream_embeds(spark, d):
     """Every loaded batch is followed by an embedding refresh."""
     root = work_dir(spark, "stream")
@@ -429,4 +449,4 @@ def stream_embeds(spark, d):
 
     streams.load_stream(source, f"{root}/articles", f"{root}/checkpoint", embed).awaitTermination()
     state = tables.read_table(spark, f"{root}/vectors", schemas.EMBEDDINGS)
-    return state.select("article_id", F.size("text_embedding").alias("dims"))
+    return state.select("article_id", F.size("text_embedding").alias("dims"), "model_name")

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DateType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
+from newsflow import schemas
 from newsflow.catalog import inputs as I
 from newsflow.catalog.registry import query
 from newsflow.catalog.scalars import FEED_GATE, RFC_DATES, SQL_FEED_TS, SQL_LENIENT, marked_entries
+from newsflow.catalog.texts import _OUTCOME as OUTCOME, PAGE_TEXT
 from newsflow.functions import dates, text, urls, vectors
 from newsflow.operators.running import running_total
-from newsflow.operators import coverage, dedup, ledger, merge, unify, worksets
+from newsflow.operators import coverage, dedup, key_filter, ledger, merge, sketches, unify, worksets
 from newsflow.plans.corpus import page_coverage
-from newsflow.plans.feed_cycle import cycle_counters
-from newsflow.sources import feeds
+from newsflow.plans.feed_cycle import cycle_counters, new_candidates
+from newsflow.session import materialise, work_dir
+from newsflow.sources import feeds, stores, tables
 
 _ORDER = ["copy_no", "doc_id"]
 _FILLED = "url IS NOT NULL AND text IS NOT NULL AND length(url) > 0 AND length(text) > 0"
@@ -193,27 +197,59 @@ one AS (SELECT sha256(url) AS article_id, url, min(feed_url) AS feed_url FROM ca
 SELECT o.article_id, o.url, o.feed_url FROM one o ANTI JOIN stored s ON o.article_id = s.article_id""",
 )
 def new_feed_links(spark, d):
-    links = feeds.candidates(marked_entries(spark, d)).withColumn("article_id", text.sha256_hex(F.col("url")))
-    new = merge.insert_if_absent(links, _stored_links(spark, d), [F.col("feed_url")])
+    stored = _stored_links(spark, d)
+    pages = key_filter.page_count(100_000)
+    known = materialise(key_filter.key_filter(stored, "article_id", pages))
+    lists = {"denied": I.DENIED, "allowed": I.ALLOWED, "groups": I.GROUPS, "proxies": I.PROXIES}
+    new = new_candidates(I.entries(spark, d), stored, known=(known, pages), **lists)
     return new.select("article_id", "url", "feed_url")
 
 
+@query(
+    "key_filter_answers",
+    "SELECT count(*) AS order_keys, count(*) FILTER (o_orderkey % 3 = 0) AS stored_seen, TRUE AS few_others_seen FROM orders",
+)
+def key_filter_answers(spark, d):
+    """Of keys in a filter built in two loads all are seen, of the others few."""
+    keys = I.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("key"))
+    pages = key_filter.page_count(200_000)
+    inside = F.col("key").cast("bigint") % 3 == 0
+    loads = [key_filter.key_filter(keys.where(inside & (F.length("key") % 2 == n)), "key", pages) for n in (0, 1)]
+    asked = key_filter.with_maybe(keys, key_filter.joined_filters(*loads), "key", pages)
+    return asked.agg(
+        F.count("*").alias("order_keys"),
+        F.count_if(inside & F.col("maybe")).alias("stored_seen"),
+        (F.count_if(~inside & F.col("maybe")) <= 0.03 * F.count("*")).alias("few_others_seen"),
+    )
+
+
+_FETCHED = f"""{PAGE_TEXT}, clean_pages AS (SELECT *, regexp_replace(regexp_replace(url, '&ref=[^&#]*', ''), '[?]ref=[^&#]*', '') AS clean FROM page_text WHERE page_id % 5 <> 2),
+fetched AS (SELECT clean, {OUTCOME} AS outcome FROM (SELECT *, row_number() OVER (PARTITION BY clean ORDER BY length(html), page_id) AS rn FROM clean_pages) AS r WHERE rn = 1)"""
 
 
 @query(
     "feed_cycle_counters",
-    f"""WITH {FEED_GATE}, {_STORED},
+    f"""WITH {_FETCHED}, {FEED_GATE}, {_STORED},
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_url ORDER BY entry_no) AS rn FROM marked) AS r WHERE rn <= 200),
-links AS (SELECT DISTINCT feed_url, sha256(url) AS article_id FROM firsts WHERE entry_stage = 'candidate')
-SELECT count(DISTINCT feed_url) AS feeds, count(*) AS rss_entries,
-  count(*) FILTER (entry_stage = 'url_filtered_out') AS url_filtered_out,
-  count(*) FILTER (entry_stage = 'domain_filtered_out') AS domain_filtered_out,
-  (SELECT count(*) FROM links) AS candidates,
-  (SELECT count(*) FROM links SEMI JOIN stored ON links.article_id = stored.article_id) AS already_in_db FROM firsts""",
+links AS (SELECT DISTINCT feed_url, url, sha256(url) AS article_id FROM firsts WHERE entry_stage = 'candidate'),
+due AS (SELECT l.*, f.outcome FROM links l ANTI JOIN stored s ON l.article_id = s.article_id LEFT JOIN fetched f ON f.clean = l.url)
+SELECT (SELECT count(DISTINCT feed_url) FROM firsts) AS feeds, (SELECT count(*) FROM firsts) AS rss_entries,
+  (SELECT count(*) FROM firsts WHERE entry_stage = 'url_filtered_out') AS url_filtered_out,
+  (SELECT count(*) FROM firsts WHERE entry_stage = 'domain_filtered_out') AS domain_filtered_out,
+  (SELECT count(*) FROM links) AS candidates, (SELECT count(*) FROM links) - count(*) AS already_in_db,
+  count(outcome) AS fetched_ok, count(*) - count(outcome) AS fetch_fail, count(*) FILTER (outcome = 'kept') AS extract_ok,
+  count(*) FILTER (outcome <> 'kept') AS extract_fail, count(*) FILTER (outcome IN ('short_text', 'lang_error', 'lang_filtered_out', 'kept')) AS extract_non_empty,
+  count(*) FILTER (outcome = 'json_error') AS json_errors, count(*) FILTER (outcome = 'lang_error') AS lang_errors,
+  count(*) FILTER (outcome = 'lang_filtered_out') AS lang_filtered_out, count(*) FILTER (outcome = 'kept') AS written FROM due""",
 )
 def feed_cycle_counters(spark, d):
+    """All counters of a cycle whose feeds give 200 entries; every fifth page cannot be fetched."""
+    pages = I.table(spark, d, "pages").where("page_id % 5 <> 2").select(
+        "page_id", urls.clean_url(F.replace("url", F.lit("ref="), F.lit("traffic_source="))).alias("url"), "html"
+    )
+    pages = dedup.first_per_key(pages, ["url"], [F.length("html"), F.col("page_id")])
     return cycle_counters(
-        I.entries(spark, d), _stored_links(spark, d),
+        I.entries(spark, d), _stored_links(spark, d), 200, pages, I.LANGS,
         denied=I.DENIED, allowed=I.ALLOWED, groups=I.GROUPS, proxies=I.PROXIES,
     )
 
@@ -254,22 +290,30 @@ def legacy_insert_if_absent(spark, d):
     return merge.insert_if_absent(batch, stored, [F.col("url")], key="hash")
 
 
+_VECTORS = StructType([StructField("vec_id", LongType()), StructField("model", StringType()), StructField("v", ArrayType(FloatType()))])
+
+
 @query(
     "embedding_upsert",
     """WITH batch AS (SELECT vec_id, 'new-' || label AS model, list_reverse(embedding) AS v FROM embeddings WHERE vec_id % 3 = 0),
-old AS (SELECT vec_id, 'old-' || label AS model, embedding AS v FROM embeddings WHERE vec_id % 2 = 0)
-SELECT vec_id, model, round(CAST(v[1] AS DOUBLE), 6) + 0.0 AS first_value FROM
-(SELECT * FROM batch UNION ALL SELECT o.* FROM old o ANTI JOIN batch b ON o.vec_id = b.vec_id) AS u""",
+old AS (SELECT vec_id, 'old-' || label AS model, embedding AS v FROM embeddings WHERE vec_id % 6 <> 3),
+state AS (SELECT * FROM batch UNION ALL SELECT o.* FROM old o ANTI JOIN batch b ON o.vec_id = b.vec_id)
+SELECT vec_id, model, CAST(place AS INTEGER) AS place, round(CAST(v[place + 1] AS DOUBLE), 6) + 0.0 AS value
+FROM (SELECT *, unnest(range(0, len(v))) AS place FROM state) AS u""",
 )
 def embedding_upsert(spark, d):
+    """A stored table of vectors, of which a batch replaces some and adds others; all vectors, all components."""
+    path = work_dir(spark, "vector-store")
     rows = I.table(spark, d, "embeddings")
-    old = rows.where("vec_id % 2 = 0").select("vec_id", F.concat(F.lit("old-"), "label").alias("model"), F.col("embedding").alias("v"))
-    new = rows.where("vec_id % 3 = 0").select("vec_id", F.concat(F.lit("new-"), "label").alias("model"), F.reverse("embedding").alias("v"))
+    named = lambda part, name, v: part.select("vec_id", F.concat(F.lit(name), "label").alias("model"), v.alias("v"))
+    old = named(rows.where("vec_id % 6 <> 3"), "old-", F.col("embedding"))
+    stores.create_store(old, path, _VECTORS, stores.hash_part(F.col("vec_id"), 16))
+    new = named(rows.where("vec_id % 3 = 0"), "new-", F.reverse("embedding"))
     # Each new row comes twice; the later one counts.
-    stale = new.withColumn("model", F.lit("stale")).withColumn("at", F.lit(1))
-    batch = stale.unionByName(new.withColumn("at", F.lit(2)))
-    state = merge.upsert_latest(old.withColumn("at", F.lit(0)), batch, [F.desc("at")], "vec_id")
-    return state.select("vec_id", "model", (F.round(F.col("v")[0].cast("double"), 6) + F.lit(0.0)).alias("first_value"))
+    batch = new.withColumn("model", F.lit("stale")).withColumn("at", F.lit(1)).unionByName(new.withColumn("at", F.lit(2)))
+    stores.upsert_parts(batch, path, [F.desc("at")], "vec_id", _VECTORS, 16)
+    state = stores.read_store(spark, path, _VECTORS).select("vec_id", "model", F.posexplode("v").alias("place", "value"))
+    return state.withColumn("value", F.round(F.col("value").cast("double"), 6) + F.lit(0.0))
 
 
 @query(
@@ -325,12 +369,69 @@ def month_total_upsert(spark, d):
 SELECT page_id, CASE WHEN host LIKE 'www.%' AND day >= DATE '2026-03-01' THEN regexp_replace(host, '^www\\.', '') ELSE host END AS "domain" FROM p""",
 )
 def www_strip_update(spark, d):
+    """A table laid out by day; only days with a due row are written again."""
+    path = work_dir(spark, "articles-by-day")
     pages = I.table(spark, d, "pages").select(
         "page_id",
         urls.netloc(F.col("url")).alias("domain"),
         F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 120).cast("int")).alias("date"),
     )
-    return merge.strip_www_since(pages).select("page_id", "domain")
+    schema = StructType([StructField("page_id", LongType()), StructField("domain", StringType()), StructField("date", DateType())])
+    stores.create_store(pages, path, schema, stores.day_part(F.col("date")))
+    merge.strip_www_stored(spark, path, schema)
+    return stores.read_store(spark, path, schema).select("page_id", "domain")
+
+
+@query(
+    "incremental_unique_urls",
+    f"""WITH {I.LINES}, d AS (SELECT {I.sql_domain('url')} AS "domain", doc_id % 12 + 1 AS month, url FROM lines)
+SELECT "domain", CAST(month AS INTEGER) AS month, count(DISTINCT url) AS unique_urls, TRUE AS within_error FROM d GROUP BY ALL""",
+)
+def incremental_unique_urls(spark, d):
+    """Sketches kept current over three loads, of which the last repeats rows, next to exact counts."""
+    root, by = work_dir(spark, "url-sketches"), ["domain", "month"]
+    schema = StructType([StructField("domain", StringType()), StructField("month", IntegerType()), StructField("sketch", BinaryType())])
+    rows = I.lines(spark, d).select(urls.domain_from_url(F.col("url")).alias("domain"), (F.col("doc_id") % 12 + 1).cast("int").alias("month"), "url", "doc_id")
+    for load in (rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1"), rows.where("doc_id % 3 = 0")):
+        sketches.add_load(spark, load, root, by, schema)
+    estimated = sketches.estimated_unique(tables.read_snapshot(spark, root, schema), by, "estimate")
+    exact = rows.groupBy(*by).agg(F.count_distinct("url").alias("unique_urls"))
+    off = F.abs(F.col("estimate") - F.col("unique_urls"))
+    return exact.join(estimated, by).select(*by, "unique_urls", (off <= 4 * sketches.ERROR * F.col("unique_urls") + 0.5).alias("within_error"))
+
+
+@query(
+    "schema_violations",
+    """SELECT problem, detail, count(*) AS found FROM (
+  SELECT 'null' AS problem, 'title' AS detail FROM documents WHERE doc_id % 4 = 0
+  UNION ALL SELECT 'null', 'hash' FROM documents WHERE doc_id % 5 = 0
+  UNION ALL SELECT 'value not allowed', lang FROM documents WHERE lang NOT IN ('en', 'fr')
+  UNION ALL SELECT 'duplicate key', CAST(doc_id - doc_id % 2 AS VARCHAR) FROM documents GROUP BY 2 HAVING count(*) > 1) AS p GROUP BY ALL""",
+)
+def schema_violations(spark, d):
+    """Rows that break the legacy table's NOT NULL columns, its list of origins, or its key."""
+    n = F.col("doc_id")
+    rows = I.table(spark, d, "documents").select(
+        (n - n % 2).cast("string").alias("id"), F.lit("s").alias("source"), F.when(n % 4 != 0, "t").alias("title"), F.lit("u").alias("url"),
+        F.lit("2024-01-01").cast("timestamp").alias("collected_at"), F.col("lang").alias("origin"), F.when(n % 5 != 0, "h").alias("hash"),
+    )
+    found = schemas.broken_rows(rows, schemas.LEGACY_ARTICLES, "id", {"origin": ["en", "fr"]})
+    return found.groupBy("problem", "detail").agg(F.count("*").alias("found"))
+
+
+@query(
+    "collection_stamps",
+    f"""WITH {I.LINES} SELECT doc_id, copy_no, length(coalesce(text, '')) AS text_chars, TRUE AS stamped_now, TRUE AS stamp_shape FROM lines""",
+)
+def collection_stamps(spark, d):
+    """Landing lines with their time of collection: now, in UTC, to the microsecond."""
+    lines = tables.landing_line(I.lines(spark, d))
+    stamp = F.to_timestamp("collected_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    near = F.abs(F.unix_seconds(stamp) - F.unix_seconds(F.current_timestamp())) < 3600
+    return lines.select(
+        "doc_id", "copy_no", F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("text_chars"),
+        near.alias("stamped_now"), F.col("collected_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$").alias("stamp_shape"),
+    )
 
 
 @query("cascade_delete", f"WITH {I.EMBEDDED} SELECT article_id FROM embedded WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en')")

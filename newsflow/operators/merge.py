@@ -9,7 +9,8 @@ no more than the batch has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from newsflow import settings
 from newsflow.functions.text import cut_error
@@ -88,6 +89,15 @@ def strip_www_since(articles: DataFrame, since: str = "2026-03-01") -> DataFrame
     return articles.withColumn("domain", F.when(due, strip_www(F.col("domain"))).otherwise(F.col("domain")))
 
 
+def strip_www_stored(spark: SparkSession, path: str, schema: StructType, since: str = "2026-03-01") -> list[str]:
+    """``strip_www_since`` on a table stored by day: only days since then that have a due row are written again."""
+    from newsflow.sources import stores
+
+    recent = (F.col(stores.PART) >= since) & (F.col(stores.PART) != stores.NO_DAY)
+    due = recent & F.coalesce(F.col("domain").startswith("www."), F.lit(False))
+    return stores.update_parts(spark, path, schema, due, {"domain": strip_www(F.col("domain"))})
+
+
 def cascade_delete(embeddings: DataFrame, articles: DataFrame) -> DataFrame:
     """Embeddings whose article still exists."""
     return stored_rows(embeddings, articles)

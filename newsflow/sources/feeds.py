@@ -24,15 +24,17 @@ _RSS = (
     "channel struct<title: string, item: array<struct<"
     "title: string, link: string, published: string, pubDate: string, updated: string, language: string>>>"
 )
+# RSS 1.0: items stand beside their channel.
+_RDF = "channel struct<title: string>, item array<struct<title: string, link: string, date: string, language: string>>"
 _ATOM = (
     "title string, entry array<struct<"
     "title: string, link: array<struct<_href: string, _rel: string>>, published: string, updated: string>>"
 )
 
 
-def _documents(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
+def _documents(spark: SparkSession, path: str, row_tag: str, schema: str, **options: str) -> DataFrame:
     reader = spark.read.format("xml").option("rowTag", row_tag).option("recursiveFileLookup", True)
-    return reader.option("ignoreNamespace", True).schema(schema).load(path)
+    return reader.option("ignoreNamespace", True).options(**options).schema(schema).load(path)
 
 
 def _feed_name(file: str = "_metadata.file_name"):
@@ -44,7 +46,8 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     """Entries of the landed feeds in document order.
 
     ``feed_url, feed_title, entry_no, link, title, published, language``; the
-    date is the first of published, pubDate and updated that is given.
+    date is the first of published, pubDate and updated that is given. RSS,
+    Atom and RSS 1.0 are read; ``feed_rejects`` names what is none of them.
     """
     rss = _documents(spark, path, "rss", _RSS).select(
         _feed_name().alias("feed_url"),
@@ -69,7 +72,41 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("entry.published", "entry.updated").alias("published"),
         F.lit(None).cast("string").alias("language"),
     )
-    return rss.unionByName(atom)
+    rdf = _documents(spark, path, "RDF", _RDF).select(
+        _feed_name().alias("feed_url"),
+        F.col("channel.title").alias("feed_title"),
+        F.posexplode("item").alias("entry_no", "item"),
+    )
+    rdf = rdf.select("feed_url", "feed_title", "entry_no", "item.link", "item.title", F.col("item.date").alias("published"), "item.language")
+    return rss.unionByName(atom).unionByName(rdf)
+
+
+def feed_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``feed_url, bytes, reason`` of the landed documents that hold no feed that can be read.
+
+    The reason is ``empty``, ``no_feed`` (no element of a known kind) or
+    ``broken`` (one that does not end, or is not XML).
+    """
+    found = []
+    for tag, schema, part in (("rss", _RSS, "channel"), ("feed", _ATOM, "entry"), ("RDF", _RDF, "item")):
+        read = _documents(spark, path, tag, f"{schema}, _broken string", columnNameOfCorruptRecord="_broken")
+        # Spark does not read the column of broken records alone.
+        whole = F.col("_broken").isNull() & (F.xxhash64(part) != 0)
+        found.append(read.where(whole).select(F.col("_metadata.file_path").alias("file")))
+    good = found[0].unionByName(found[1]).unionByName(found[2]).distinct()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    landed = files.select(F.col("_metadata.file_path").alias("file"), _feed_name().alias("feed_url"), F.col("length").alias("bytes"), "content")
+    rejects = landed.join(good, "file", "left_anti")
+    some = F.decode("content", "UTF-8").rlike(r"<(?:rss|feed|rdf:RDF)[\s>]")
+    rejects = rejects.select("feed_url", "bytes", F.when(some, "broken").otherwise("no_feed").alias("reason"))
+    # Spark reads no empty files, but lists them, one name per feed.
+    listed = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in files.inputFiles()], "name string")
+    empty = listed.select(_feed_name("name").alias("feed_url")).join(landed.select("feed_url"), "feed_url", "left_anti")
+    return rejects.unionByName(empty.select("feed_url", F.lit(0).cast("bigint").alias("bytes"), F.lit("empty").alias("reason")))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy("reason").agg(F.count("*").alias("documents"))
 
 
 def first_entries(entries: DataFrame, n: int = settings.MAX_ENTRIES_PER_FEED) -> DataFrame:

@@ -124,3 +124,12 @@ def publish_snapshot(df: DataFrame, root: str, schema: StructType) -> int:
     version = versions[-1] + 1 if versions else 1
     schemas.align(df, schema).write.mode("errorifexists").parquet(f"{root}/version={version}")
     return version
+
+
+def drop_snapshots(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Remove all but the last ``keep`` complete snapshots; how many went."""
+    old = _versions(spark, root)[: -max(keep, 1)]
+    for version in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={version}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(old)

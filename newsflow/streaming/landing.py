@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from newsflow import schemas
 from newsflow.functions.dates import lenient_timestamp
@@ -65,15 +66,22 @@ def load_stream(
     )
 
 
-def month_counts_stream(lines: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Keep article counts per month current; each trigger rewrites the changed months."""
+MONTH_COUNTS = StructType([StructField("month", TimestampType()), StructField("articles", LongType())])
+
+
+def month_counts_stream(lines: DataFrame, sink: str, checkpoint: str, keep: int = 2) -> StreamingQuery:
+    """Keep article counts per month current; each trigger publishes one snapshot with all months.
+
+    A snapshot has a row per month, however many triggers there were; the last ``keep`` are left.
+    """
     month = F.date_trunc("month", lenient_timestamp(F.coalesce("datetime", "date")))
     counts = lines.groupBy(month.alias("month")).agg(F.count("*").alias("articles"))
 
     def publish(changed: DataFrame, batch_id: int) -> None:
-        changed.select("month", "articles", F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode(
-            "overwrite"
-        ).parquet(f"{sink}/batch={batch_id}")
+        former = read_month_counts(changed.sparkSession, sink)
+        old = former.alias("f").join(changed.alias("c"), F.col("f.month").eqNullSafe(F.col("c.month")), "left_anti")
+        tables.publish_snapshot(old.unionByName(changed.select("month", "articles")), sink, MONTH_COUNTS)
+        tables.drop_snapshots(changed.sparkSession, sink, keep)
 
     return (
         counts.writeStream.outputMode("update")
@@ -86,5 +94,4 @@ def month_counts_stream(lines: DataFrame, sink: str, checkpoint: str) -> Streami
 
 def read_month_counts(spark: SparkSession, sink: str) -> DataFrame:
     """The latest count of every month."""
-    changes = spark.read.schema("month timestamp, articles bigint, batch_id bigint").parquet(f"{sink}/batch=*")
-    return changes.groupBy("month").agg(F.max_by("articles", "batch_id").alias("articles"))
+    return tables.read_snapshot(spark, sink, MONTH_COUNTS)
