@@ -60,8 +60,13 @@ def backlog_shares(articles: DataFrame, embeddings: DataFrame, shards: int) -> D
 
 
 def newest_first(work_set: DataFrame, limit: int) -> DataFrame:
-    """The next batch: newest articles, those without a time last."""
-    return work_set.orderBy(F.desc_nulls_last("datetime"), F.asc("article_id")).limit(limit)
+    """The next batch: newest articles, those without a time last.
+
+    Ids and times alone are sorted, which is all that passes one task; the
+    texts of the chosen articles are fetched after that.
+    """
+    chosen = work_set.select("article_id", "datetime").orderBy(F.desc_nulls_last("datetime"), F.asc("article_id")).limit(limit)
+    return stored_rows(work_set, chosen)
 
 
 def batch_limit(batch_size: int, max_rows: int | None, processed: int) -> int:

@@ -14,6 +14,7 @@ from newsflow.operators.key_filter import new_rows_by_filter
 from newsflow.operators.merge import new_rows
 from newsflow.session import broadcast_if_small, materialise
 from newsflow.sources import feeds, tables
+from newsflow.sources.files import READ_ORDER, read_order, with_read_order
 
 MAX_BROADCAST_LINKS = 500_000  # rows of about 300 bytes
 
@@ -134,9 +135,5 @@ def run_cycle(spark: SparkSession, entries: DataFrame, pages: DataFrame, landing
 def load_landed(spark: SparkSession, landing: str, articles: str) -> dict[str, int]:
     """Merge every landed feed line; lines loaded before add nothing."""
     lines = spark.read.schema(schemas.text_schema(schemas.LANDED_ARTICLE_COLUMNS)).json(landing)
-    lines = lines.withColumn("source_file", F.col("_metadata.file_path")).withColumn(
-        "source_row", F.monotonically_increasing_id()
-    )
-    order = ["source_file", "source_row"]
-    batch = unify.feed_articles(lines, extra=order)
-    return tables.append_if_absent(batch, articles, [F.col(c) for c in order])
+    batch = unify.feed_articles(with_read_order(lines), extra=READ_ORDER)
+    return tables.append_if_absent(batch, articles, read_order())

@@ -23,7 +23,7 @@ def read_order() -> list[Column]:
     return [F.col(c).asc() for c in READ_ORDER]
 
 
-def _with_read_order(df: DataFrame) -> DataFrame:
+def with_read_order(df: DataFrame) -> DataFrame:
     """Add file, block and row position.
 
     Within a block the ids grow line by line; the file and the block come
@@ -53,7 +53,7 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON lines with the given columns as text. No inference pass; absent ones are null."""
-    return _with_read_order(_scan_jsonl(spark, path, columns))
+    return with_read_order(_scan_jsonl(spark, path, columns))
 
 
 def _scan_jsonl(spark: SparkSession, root: str, columns: list[str] | None) -> DataFrame:
@@ -124,7 +124,7 @@ def scan_tree(spark: SparkSession, root: str, columns: list[str] | None = None)
     parts = []
     for suffix, head, paths in _alike(files):
         scan = _scan_jsonl(spark, root, columns) if suffix == "jsonl" else _scan_alike(spark, paths, suffix, head)
-        part = _with_read_order(scan)
+        part = with_read_order(scan)
         if columns:
             present = set(part.columns)
             part = part.select(

@@ -12,7 +12,9 @@ from newsflow import schemas
 from newsflow.functions.dates import lenient_timestamp
 from newsflow.functions.text import sha256_hex
 from newsflow.operators import unify
+from newsflow.operators.merge import stored_rows
 from newsflow.sources import tables
+from newsflow.sources.files import READ_ORDER, read_order
 
 
 def landed_lines(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -24,7 +26,8 @@ def landed_lines(spark: SparkSession, landing: str, max_files: int | None = None
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(landing).withColumn("source_file", F.col("_metadata.file_path"))
+    lines = reader.json(landing)
+    return lines.withColumn("source_file", F.col("_metadata.file_path")).withColumn("source_block", F.col("_metadata.file_block_start"))
 
 
 def first_seen_links(lines: DataFrame, keep: str | None = None) -> DataFrame:
@@ -41,22 +44,23 @@ def first_seen_links(lines: DataFrame, keep: str | None = None) -> DataFrame:
 
 
 def load_stream(
-    lines: DataFrame, articles: str, checkpoint: str, after_batch: Callable[[SparkSession], None] | None = None
+    lines: DataFrame, articles: str, checkpoint: str, after_batch: Callable[[DataFrame], None] | None = None
 ) -> StreamingQuery:
     """Merge all files landed since the last run, then stop.
 
     The merge is keyed by article, so a batch that is replayed after a crash
-    adds nothing. ``after_batch`` may follow up, for instance by embedding the
-    new articles.
+    adds nothing. The first line of an article counts, by file and place in it,
+    whatever tasks read it. ``after_batch`` is handed the stored articles that
+    the batch brought or repeated, for instance to embed them.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        order = ["source_file", "source_row"]
         numbered = batch.withColumn("source_row", F.monotonically_increasing_id())
-        rows = unify.feed_articles(numbered, extra=order)
-        tables.append_if_absent(rows, articles, [F.col(c) for c in order])
+        rows = unify.feed_articles(numbered, extra=READ_ORDER)
+        tables.append_if_absent(rows, articles, read_order())
         if after_batch is not None:
-            after_batch(batch.sparkSession)
+            stored = tables.read_table(batch.sparkSession, articles, schemas.ARTICLES)
+            after_batch(stored_rows(stored, rows))
 
     return (
         lines.writeStream.foreachBatch(merge)
