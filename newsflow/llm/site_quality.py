@@ -4,7 +4,8 @@ A logistic model of a document's own text gives its evidence. The mean
 evidence of a path shrinks toward that of its site, and that of the site
 toward the corpus, the more the fewer documents they have; how strongly is
 estimated from the spread between sites and between paths. The posterior of
-the path takes the place of the corpus mean as the document's prior.
+the path takes the place of the corpus mean as the document's prior, without
+the document's own share in it, which would count its evidence twice.
 """
 
 from __future__ import annotations
@@ -143,9 +144,11 @@ def classify(
     posteriors = both.withColumn("site_posterior", site_posterior).withColumn(
         "path_posterior", (F.col("s") + to_site * F.col("site_posterior")) / (F.col("n") + to_site)
     )
-    found = posteriors.select(F.col("site").alias("_site"), F.col("path").alias("_path"), "site_posterior", "path_posterior")
+    found = posteriors.select(F.col("site").alias("_site"), F.col("path").alias("_path"), "site_posterior", "path_posterior", "n", "s", "site_n", "site_s")
     joined = scored.join(found, F.col("site").eqNullSafe(F.col("_site")) & F.col("path").eqNullSafe(F.col("_path")), "left")
-    clipped = F.greatest(F.lit(1e-3), F.least(F.lit(1 - 1e-3), F.coalesce("path_posterior", F.lit(mean))))
+    others_of_site = (F.col("site_s") - F.col("evidence") + to_corpus * mean) / (F.col("site_n") - 1 + to_corpus)
+    others = (F.col("s") - F.col("evidence") + to_site * others_of_site) / (F.col("n") - 1 + to_site)
+    clipped = F.greatest(F.lit(1e-3), F.least(F.lit(1 - 1e-3), F.coalesce(others, F.lit(mean))))
     total = F.col("_logit") + F.log(clipped / (1 - clipped)) - float(np.log(mean / (1 - mean)))
     quality = F.when(F.col("n_words") > 0, 1 / (1 + F.exp(-total))).otherwise(F.lit(0.0))
     return joined.select(
