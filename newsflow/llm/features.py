@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
-    "n_distinct", "n_upper", "n_letters", "n_digits", "n_exclaims", "n_bars", "n_ended",
+    "n_distinct", "n_upper", "n_letters", "n_digits", "n_exclaims", "n_bars", "n_ended", "n_unspaced",
 )
 
 _SYMBOLS = b"#*$%&|<>"
@@ -15,6 +17,10 @@ _ASCII_OTHER = bytes(b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 1
 _CONTINUING = bytes(range(128, 192))
 _DIGITS = b"0123456789"
 _SPACE = b" \t\n\x0b\x0c\r"
+#: What ends a line of prose.
+_ENDS = tuple(c.encode() for c in (".", "?", "!", ":", '"', "。", "！", "？", "…", "»", "”", "’", "」", "।", "॥", "۔", "؟", "։"))
+# Letters of scripts that are written without blanks between words: Thai, Lao, Burmese, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], "uint64")
 
 
@@ -60,5 +66,6 @@ def counts(text: str) -> tuple[int, ...]:
         without(_DIGITS),
         raw.count(b"!"),
         raw.count(b"|"),
-        sum(x.rstrip()[-1:] in (b".", b"?", b":", b'"') for x in lines),
+        sum(x.rstrip().endswith(_ENDS) for x in lines),
+        0 if text.isascii() else sum(map(len, _UNSPACED.findall(text))),
     )

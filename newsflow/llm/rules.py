@@ -25,22 +25,23 @@ def default_rules() -> dict[str, Column]:
     """Ten rules of two outcomes, so at most 2^10 = 1,024 patterns of votes exist in any corpus.
 
     Nine know one kind of defect each and abstain on texts free of it: that a
-    text has no symbols says nothing about its other defects. The last speaks
+    text has no symbols says nothing about its other defects. Lengths of words
+    and ends of lines say nothing of scripts written without blanks. The last speaks
     for texts that look plain in all respects at once.
     """
     many, lined = F.col("n_words") >= 50, F.col("n_lines") >= 3
     length, letters = _ratio("word_chars", "n_words"), _ratio("n_letters", "word_chars")
     ended, distinct = _ratio("n_ended", "n_lines"), _ratio("n_distinct", "n_words")
-    symbols = _ratio("n_symbols", "n_words")
+    symbols, spaced = _ratio("n_symbols", "n_words"), _ratio("n_unspaced", "word_chars") < 0.3
     return {
         "symbols": _against(symbols > 0.1),
         "capitals": _against(_ratio("n_upper", "n_letters") > 0.4),
         "repeated_words": _against(_ratio("n_repeat_words", "n_words") > 0.2),
         "repeated_lines": _against(lined & (_ratio("n_dup_lines", "n_lines") > 0.35)),
-        "word_length": _against((length < 2.5) | (length > 12)),
+        "word_length": _against(spaced & ((length < 2.5) | (length > 12))),
         "letters": _against(many & (letters < 0.75)),
         "exclamations": _against(many & (_ratio("n_exclaims", "n_words") > 0.25)),
-        "line_ends": _against(many & (ended < 0.2)),
+        "line_ends": _against(many & spaced & (ended < 0.2)),
         "distinct_words": _against(many & (distinct < 0.15)),
         "plain": F.when((letters > 0.8) & (ended > 0.5) & (symbols < 0.05) & (~many | (distinct > 0.3)), FOR).otherwise(ABSTAIN),
     }
