@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.session import materialise
 
+#: Tasks that the rows of one group are dealt out to before they are cut into blocks.
+SALTS = 16
 PAIRED = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 
@@ -20,8 +22,12 @@ def in_blocks(members: DataFrame, group: str, item: str, weight: Column, most_ro
     """
     sizes = members.groupBy(group).agg(F.count("*").alias("_n"), F.sum(weight).alias("_w")).where("_n > 1")
     blocks = F.ceil(F.greatest(F.col("_n") / most_rows, F.col("_w") / most_weight)).cast("int")
+    # A group may hold most rows, so its rows meet its size in several tasks.
+    salted = sizes.select(group, blocks.alias("_blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     return (
-        members.join(sizes.select(group, blocks.alias("_blocks")), group)
+        members.withColumn("_salt", F.pmod(F.xxhash64(item, F.lit(1)), F.lit(SALTS)).cast("int"))
+        .join(salted, [group, "_salt"])
+        .drop("_salt")
         .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn("_i", F.least("_own", "_other"))

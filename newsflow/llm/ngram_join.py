@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from newsflow.llm.common import Memo, bounded_batches, by_text, id_type, stored, text_hash, whole_row, word_count
-from newsflow.llm.links import PAIRED, first_shared, in_blocks, labelled, summed_up
+from newsflow.llm.links import PAIRED, SALTS, first_shared, in_blocks, labelled, summed_up
 from newsflow.session import materialise
 
 PART = 4  # one token of so many is counted exactly
@@ -166,7 +166,11 @@ def link_documents(
     left = materialise(left.select("cls", "size", "n", "_row"))
 
     # Among the classes left: the prefix is what is alone, then shared tokens, the rarest first.
-    postings = rows.join(left.select("cls"), "cls", "left_semi").select("cls", F.explode("tokens").alias("token")).distinct()
+    # A class may hold most documents: its rows are dealt out over several tasks until equal ones are one.
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    dealt = rows.where("cls IS NOT NULL").select("cls", F.pmod(F.xxhash64("_hash", "id"), F.lit(SALTS)).cast("int").alias("salt"), "tokens")
+    chosen = left.select("cls", F.explode(salts).alias("salt"))
+    postings = dealt.join(chosen, ["cls", "salt"], "left_semi").select("cls", F.explode("tokens").alias("token")).distinct()
     shared = postings.groupBy("token").agg(F.count("*").alias("df"))
     placed = postings.join(shared, "token")
     rarest_first = Window.partitionBy("cls").orderBy(~counted, F.when(counted, F.col("df")), "token")
