@@ -133,7 +133,9 @@ class ArchiveReader(ds.DataSourceReader):
     def partitions(self) -> list[ArchivePartition]:
         return [ArchivePartition(p) for p in self.paths if self._wanted({"warc_path": p}, ("warc_path",))]
 
-    def read(self, partition: ArchivePartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchivePartition | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark asks for where there are no archives
+            return
         path, number = partition.warc_path, -1
         rows: list[tuple] = []
         size = 0

@@ -55,6 +55,8 @@ def test_filters_reach_the_reader(spark, stored, monkeypatch):
     plan = plan_of(frame)
     assert "Filter" not in plan or "url" not in plan.split("Filter", 1)[1].split("\n")[0], plan
     assert frame.rdd.getNumPartitions() == 2
+    assert archives.read_archives(manifest.limit(0), root).collect() == []
+    assert archives.read_archives(manifest, root).where("warc_path = 'none'").collect() == []
     # A filter on what only the body tells stays with Spark.
     assert archives.read_archives(manifest, root).where("payload_bytes > 3000 AND record_no < 5").count() == 2
 
