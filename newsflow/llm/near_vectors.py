@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -16,6 +18,8 @@ SPILL = 0.75
 SAMPLE = 30_000  # vectors that the splits are fitted on; every vector is indexed
 FORESTS = 16  # of different lengths
 PROBE, PROBE_PAIRS = 1_000, 5_000  # vectors and close pairs that judge the splits of a node
+LARGE = 4  # a leaf of so many times the wanted rows is split again, on rows of its own
+CHUNK = 20_000  # rows of a large leaf that one call routes
 KEPT = 0.6  # share of a node's close pairs that the splits above and at it leave together, in one tree
 TILE = 1024  # vectors compared with all of their piece at once
 
@@ -111,6 +115,59 @@ class Forest:
         return found
 
 
+_PLACED = "leaf long, cls long, size long, unit binary"
+
+
+def _split_again(members: DataFrame, leaf: int, margins: dict[int, float], threshold: float, trees_sample: int) -> DataFrame:
+    """``members`` (leaf, cls, size, unit) with large leaves split by trees of their own.
+
+    The forest is fitted on a bounded sample of the table, so in a large table
+    its leaves hold many rows. A tree is fitted on a bounded sample of each
+    such leaf, inside a task, and the leaf's rows run down it in chunks. That
+    is repeated until no leaf is large but those too dense to be split.
+    """
+    done = None
+    while True:
+        sizes = members.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.length("unit")).alias("width")).where(F.col("n") > LARGE * leaf)
+        large = materialise(sizes.where(F.col("width").isin(*margins)))
+        if large.isEmpty():
+            return members if done is None else members.unionByName(done)
+        rows = members.join(large, "leaf")
+        drawn = F.pmod(F.xxhash64("unit", "leaf"), F.lit(1 << 20)) < trees_sample / F.col("n") * (1 << 20)
+
+        def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            units = table.column("unit").to_pylist()
+            n, number = table.column("n")[0].as_py(), key[0].as_py()
+            points = np.stack([np.frombuffer(u) for u in units])
+            tree = Forest(points, 1, max(8, leaf * len(points) // n), margins[len(units[0])], threshold, abs(number))
+            return pa.table({"leaf": [number], "tree": pa.array([pickle.dumps(tree)], pa.binary()), "leaves": [tree.leaves], "n": [n]})
+
+        trees = rows.where(drawn).select("leaf", "n", "unit").groupBy("leaf").applyInArrow(fit, "leaf long, tree binary, leaves long, n long")
+        trees = materialise(trees)
+        split = trees.where("leaves > 1")
+        untouched = members.join(split.select("leaf"), "leaf", "left_anti")
+        dense = untouched.join(large.select("leaf"), "leaf", "left_semi")
+        chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+        dealt = members.join(split.select("leaf", "n"), "leaf").withColumn("chunk", F.pmod(F.xxhash64("cls"), chunks(F.col("n"))).cast("int"))
+        copies = split.select("leaf", "tree", F.explode(F.sequence(F.lit(0), chunks(F.col("n")) - 1)).alias("chunk"))
+
+        def route(table: pa.Table, copies: pa.Table) -> pa.Table:
+            if not len(table) or not len(copies):
+                return pa.table({"leaf": pa.array([], pa.int64()), "cls": pa.array([], pa.int64()), "size": pa.array([], pa.int64()), "unit": pa.array([], pa.binary())})
+            tree: Forest = pickle.loads(copies.column("tree")[0].as_py())
+            found = tree.leaves_of(np.stack([np.frombuffer(u) for u in table.column("unit").to_pylist()]))
+            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            taken = table.take(pa.array(at))
+            return pa.table({"leaf": taken.column("leaf"), "cls": taken.column("cls"), "size": taken.column("size"), "unit": taken.column("unit"), "part": pa.array(np.concatenate([np.array(f, "int64") for f in found]))})
+
+        parts = dealt.select("leaf", "chunk", "cls", "size", "unit").groupBy("leaf", "chunk").cogroup(copies.groupBy("leaf", "chunk")).applyInArrow(route, _PLACED + ", part long")
+        parts = parts.select(F.xxhash64("leaf", "part").alias("leaf"), "cls", "size", "unit")
+        done = dense if done is None else done.unionByName(dense)
+        small = untouched.join(large.select("leaf"), "leaf", "left_anti")
+        members = materialise(small.unionByName(parts))
+        done = materialise(done)
+
+
 def _met_before(leaves: list[np.ndarray], start: int, this: int) -> np.ndarray:
     """Which members of the tile at ``start`` share a leaf before ``this`` with which others, as ``first_shared`` by products."""
     row = np.repeat(np.arange(len(leaves)), [len(v) for v in leaves])
@@ -147,7 +204,8 @@ def link_vectors(
     them. ``spill`` is the overlap of splits, in standard deviations of how far
     a pair at the threshold lies apart along a random direction. A split that
     would part too many of the close pairs of its node is not made, so a dense
-    region stays one leaf. Equal vectors are one class and always link. Leaves beyond ``leaf`` vectors are compared
+    region stays one leaf. Leaves that hold more rows than a sample shows are
+    split again on rows of their own, so they do not grow with the table. Equal vectors are one class and always link. Leaves beyond ``leaf`` vectors are compared
     in pairs of blocks, without a limit; pairs are counted where they are found
     and not written out.
 
@@ -165,7 +223,7 @@ def link_vectors(
     widths = classes.groupBy(F.length("unit").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(FORESTS).collect()
     if not widths:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    total, forests, first_leaf = classes.count(), {}, 0
+    total, forests, first_leaf, margins = classes.count(), {}, 0, {}
     for width, n in widths:
         if n <= leaf:
             continue  # as one leaf
@@ -174,6 +232,7 @@ def link_vectors(
         points = np.stack([np.frombuffer(r["unit"]) for r in fitted])
         margin = spill * np.sqrt(2 - 2 * threshold) / np.sqrt(width / 8) / 2
         # So many sample points that a leaf holds about ``leaf`` of all vectors.
+        margins[width] = margin
         forests[width] = first_leaf, Forest(points, trees, max(8, leaf * len(points) // n), margin, threshold)
         first_leaf += forests[width][1].leaves
     forest = df.sparkSession.sparkContext.broadcast(forests)
@@ -202,12 +261,14 @@ def link_vectors(
                         taken.column("cls"),
                         taken.column("size"),
                         taken.column("unit"),
-                        pa.array([leaves[r] for r, _ in part], pa.list_(pa.int64())),
                     ],
-                    names=["leaf", "cls", "size", "unit", "leaves"],
+                    names=["leaf", "cls", "size", "unit"],
                 )
 
-    members = classes.select("cls", "size", "unit").mapInArrow(route, "leaf long, cls long, size long, unit binary, leaves array<long>")
+    placed = materialise(classes.select("cls", "size", "unit").mapInArrow(route, _PLACED))
+    placed = _split_again(placed, leaf, margins, threshold, max(sample // 4, 16))
+    leaves_by_class = placed.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+    members = placed.dropDuplicates(["leaf", "cls"]).join(leaves_by_class, "cls")
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(v.as_py()) for v in table.column("unit")])

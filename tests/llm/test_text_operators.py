@@ -524,3 +524,24 @@ def test_pipeline_keeps_columns_and_words(spark, docs, labels, tmp_path):
         assert frame.columns == docs.columns, name
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and packed.count() > 0
+
+
+def test_leaves_do_not_grow_with_the_table(spark, monkeypatch):
+    """A forest fitted on few vectors: its large leaves are split again on their own rows."""
+    random = np.random.default_rng(11)
+    n, width = 4000, 24
+    x = random.standard_normal((n, width))
+    x[: n // 2] = x[random.integers(n // 2, n, n // 2)] + random.standard_normal((n // 2, width)) * 0.1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    there = (x @ x.T >= 0.95).sum() - n
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    sizes, real = [], near_vectors.in_blocks
+
+    def recorded(members, *rest):
+        sizes.append(members.groupBy("leaf").count().agg(F.max("count"), F.sum("count")).first())
+        return real(members, *rest)
+
+    monkeypatch.setattr(near_vectors, "in_blocks", recorded)
+    found = near_vectors.link_vectors(frame, leaf=32, sample=80).agg(F.sum("n_links")).first()[0]
+    assert 0.9 * there <= found <= there
+    assert sizes[0][0] <= near_vectors.LARGE * 32 and sizes[0][1] < 40 * n
