@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # whole paths in plans
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
