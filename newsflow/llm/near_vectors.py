@@ -118,8 +118,8 @@ class Forest:
 _PLACED = "leaf long, cls long, size long, unit binary"
 
 
-def _split_again(members: DataFrame, leaf: int, margins: dict[int, float], threshold: float, trees_sample: int) -> DataFrame:
-    """``members`` (leaf, cls, size, unit) with large leaves split by trees of their own.
+def _split_again(members: DataFrame, leaf: int, margins: dict[int, float], threshold: float, trees_sample: int) -> DataFrame | None:
+    """``members`` (leaf, cls, size, unit) with large leaves split by trees of their own; None if none was split.
 
     The forest is fitted on a bounded sample of the table, so in a large table
     its leaves hold many rows. A tree is fitted on a bounded sample of each
@@ -131,7 +131,7 @@ def _split_again(members: DataFrame, leaf: int, margins: dict[int, float], thres
         sizes = members.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.length("unit")).alias("width")).where(F.col("n") > LARGE * leaf)
         large = materialise(sizes.where(F.col("width").isin(*margins)))
         if large.isEmpty():
-            return members if done is None else members.unionByName(done)
+            return None if done is None else members.unionByName(done)
         rows = members.join(large, "leaf")
         drawn = F.pmod(F.xxhash64("unit", "leaf"), F.lit(1 << 20)) < trees_sample / F.col("n") * (1 << 20)
 
@@ -145,6 +145,8 @@ def _split_again(members: DataFrame, leaf: int, margins: dict[int, float], thres
         trees = rows.where(drawn).select("leaf", "n", "unit").groupBy("leaf").applyInArrow(fit, "leaf long, tree binary, leaves long, n long")
         trees = materialise(trees)
         split = trees.where("leaves > 1")
+        if split.isEmpty():
+            return None if done is None else members.unionByName(done)
         untouched = members.join(split.select("leaf"), "leaf", "left_anti")
         dense = untouched.join(large.select("leaf"), "leaf", "left_semi")
         chunks = lambda n: F.ceil(n / CHUNK).cast("int")
@@ -261,14 +263,16 @@ def link_vectors(
                         taken.column("cls"),
                         taken.column("size"),
                         taken.column("unit"),
+                        pa.array([leaves[r] for r, _ in part], pa.list_(pa.int64())),
                     ],
-                    names=["leaf", "cls", "size", "unit"],
+                    names=["leaf", "cls", "size", "unit", "leaves"],
                 )
 
-    placed = materialise(classes.select("cls", "size", "unit").mapInArrow(route, _PLACED))
-    placed = _split_again(placed, leaf, margins, threshold, max(sample // 4, 16))
-    leaves_by_class = placed.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
-    members = placed.dropDuplicates(["leaf", "cls"]).join(leaves_by_class, "cls")
+    members = materialise(classes.select("cls", "size", "unit").mapInArrow(route, _PLACED + ", leaves array<long>"))
+    again = _split_again(members.drop("leaves"), leaf, margins, threshold, max(sample // 4, 16))
+    if again is not None:
+        leaves_by_class = again.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+        members = materialise(again.dropDuplicates(["leaf", "cls"]).join(leaves_by_class, "cls"))
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(v.as_py()) for v in table.column("unit")])
@@ -291,7 +295,7 @@ def link_vectors(
                 found.append(summed_up(cls, sizes, a, b))
         return pa.concat_tables(found) if found else PAIRED.empty_table()
 
-    pieces = in_blocks(materialise(members), "leaf", "cls", F.lit(1), 8 * leaf, 1 << 40)
+    pieces = in_blocks(members, "leaf", "cls", F.lit(1), 8 * leaf, 1 << 40)
     paired = pieces.groupBy("leaf", "_i", "_j").applyInArrow(compare, "cls long, links long, root long")
     found = labelled(classes, paired).select("unit", "n_links", "component_id")
     joined = rows.join(found, "unit", "left")
