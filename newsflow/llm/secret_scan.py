@@ -1,11 +1,13 @@
 """Secrets by fixed patterns, and more of them by a conditional random field.
 
-A chunk is a run of characters that secrets are written in, of eight or more
-with a digit among them; all tokens outside chunks are outside secrets. The
-tokens of a chunk, its words and single signs, are tagged begin, inside or
-outside by their shapes, the words around the chunk and what the whole file
-looks like. What the fixed patterns find teaches the model, on a bounded sample
-of documents, together with examples made by rule.
+A chunk is a run of characters that secrets are written in, those that the
+fixed patterns take, with digits or without. All chunks of a text are tagged,
+but those shorter than a span has to be, which cannot hold one. The tokens of a
+chunk, its words and single signs, are tagged begin, inside or outside by their
+shapes, the words around the chunk and what the whole file looks like. Chunks
+with a digit and chunks without one have weights of their own. What the fixed
+patterns find teaches them, on a bounded sample of documents, together with
+examples made by rule.
 """
 
 from __future__ import annotations
@@ -14,30 +16,35 @@ import random
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import by_text, id_type
+from newsflow.llm.common import Remembered, by_text, id_type
 from newsflow.llm.tagger import BEGIN, INSIDE, OUTSIDE, Tagger, fit
 from newsflow.session import materialise
 
 KINDS = ("assign", "access", "hex")
 FOUND = "secret"
 SLOTS = 1 << 14
+#: Characters of a span that the model adds, at least.
+MIN_LENGTH = 8
 #: Documents the model is fitted on, at most: so many with pattern secrets, so many others.
 FIT_ROWS = 2000
 #: Documents with more tokens in chunks do not enter the sample; all are searched.
 FIT_TOKENS = 100
-#: Chunks the model is fitted on, at most, besides the examples made by rule.
+#: Chunks of a kind (with a digit, without) the model is fitted on, at most, besides the examples made by rule.
 FIT_CHUNKS = 12_000
+#: Of the chunks without a digit, one in 4 in one in so many texts enters the sample, and all that hold a base span.
+FIT_EVERY = 16
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # the greedy match begins at the first place and takes all
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CHUNK = re.compile(r"[A-Za-z0-9+/_.=~-]{8,}")
+_CHUNK = re.compile(rf"[A-Za-z0-9+/_.=~-]{{{MIN_LENGTH},}}")
+_DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
 _RUN = re.compile(r"[a-z]+|[A-Z]+|[0-9]+")
 _WORD = re.compile(r"\S+")
@@ -58,9 +65,7 @@ def base_spans(text: str) -> list[tuple[int, str, int, int]]:
 
 
 def chunks(text: str) -> list[tuple[int, int]]:
-    """Places that may hold a secret."""
-    if not any(d in text for d in _DIGITS):
-        return []
+    """Places that may hold a secret: all runs of its characters that a span of ``MIN_LENGTH`` has room in."""
     found = []
     for m in _CHUNK.finditer(text):
         a, b = m.span()
@@ -68,7 +73,7 @@ def chunks(text: str) -> list[tuple[int, int]]:
             a += 1
         while b > a and text[b - 1] in ".-_~":
             b -= 1
-        if b - a >= 8 and any(c in _DIGITS for c in text[a:b]):
+        if b - a >= MIN_LENGTH:
             found.append((a, b))
     return found
 
@@ -136,30 +141,50 @@ def chunk_features(text: str, a: int, b: int, around: tuple[str, str, str, str],
     return tokens, rows
 
 
-def tagged_chunks(text: str, base: list[tuple[int, str, int, int]]) -> list[tuple[list[tuple[int, int]], list[list[int]], list[int] | None]]:
-    """Per chunk: tokens, slots of features, and tags by the base spans; no tags where these tell nothing.
+def contexts(text: str, places: list[tuple[int, int]]) -> Iterator[tuple[int, int, tuple[str, str, str, str], bool]]:
+    """Chunks, what is around them (as ``chunk_features`` takes it), and whether they hold a digit."""
+    words = [m.span() for m in _WORD.finditer(text)] if places else []
+    starts, last = [s for s, _ in words], {True: 0, False: 0}
+    for a, b in places:
+        i = bisect_right(starts, a) - 1
+        start, end = words[i]
+        left = [text[s:e] for s, e in words[max(0, i - 2) : i] if text.find("\n", e, start) < 0]
+        right = [text[s:e] for s, e in words[i + 1 : i + 2] if text.find("\n", end, s) < 0]
+        digit = _DIGIT.search(text, a, b) is not None
+        # Joined is what lies behind the chunk before of the same kind: the name of a secret may be a chunk itself.
+        yield a, b, (left[-2] if len(left) > 1 else "", left[-1] if left else "", text[max(start, last[digit]) : a], right[0] if right else ""), digit
+        last[digit] = b
+
+
+def tagged_chunks(text: str, base: list[tuple[int, str, int, int]], every: int = 0) -> list[tuple[list[list[int]], list[int] | None, bool]]:
+    """Per chunk: slots of features, tags by the base spans, and whether it holds a digit; no tags where these tell nothing.
 
     Sixteen digits alone match a pattern but may as well be a number of any kind.
+    Of the chunks with neither a digit nor a base span, one in 4 in one in ``every`` texts is taken, by hash; all if that is 0.
     """
-    places = chunks(text)
-    if not places:
-        return []
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts, file, out = [s for s, _ in words], file_features(text), []
     secret: list[tuple[int, int]] = []
     for s, e in sorted((inner, e) for _, _, e, inner in base):
         if secret and s < secret[-1][1]:
             secret[-1] = (secret[-1][0], max(secret[-1][1], e))
         else:
             secret.append((s, e))
-    near = last = 0
-    for a, b in places:
-        i = bisect_right(starts, a) - 1
-        start, end = words[i]
-        left = [text[s:e] for s, e in words[max(0, i - 2) : i] if text.find("\n", e, start) < 0]
-        right = [text[s:e] for s, e in words[i + 1 : i + 2] if text.find("\n", end, s) < 0]
-        around = (left[-2] if len(left) > 1 else "", left[-1] if left else "", text[max(start, last) : a], right[0] if right else "")
-        last = b
+    first = [s for s, _ in secret]
+
+    drawn = not every or not zlib.crc32(text.encode()) % every
+    if not drawn and not secret and not _DIGIT.search(text):
+        return []
+
+    def wanted(a: int, b: int) -> bool:
+        if _DIGIT.search(text, a, b):
+            return True
+        i = bisect_right(first, b - 1)  # the spans do not overlap, so the last that begins before the end reaches farthest
+        return i > 0 and secret[i - 1][1] > a or drawn and (not every or not zlib.crc32(text[a:b].encode()) % 4)
+
+    places = [(a, b) for a, b in chunks(text) if wanted(a, b)]
+    if not places:
+        return []
+    file, out, near = file_features(text), [], 0
+    for a, b, around, digit in contexts(text, places):
         tokens, rows = chunk_features(text, a, b, around, file)
         tags: list[int] | None = []
         for s, e in tokens:
@@ -171,7 +196,7 @@ def tagged_chunks(text: str, base: list[tuple[int, str, int, int]]) -> list[tupl
                 tags.append(INSIDE if tags and tags[-1] != OUTSIDE and s > secret[near][0] else BEGIN)
         if any(tags) and all(c in _DIGITS for (s, e), tag in zip(tokens, tags) if tag for c in text[s:e]):
             tags = None
-        out.append((tokens, rows, tags))
+        out.append((rows, tags, digit))
     return out
 
 
@@ -182,13 +207,47 @@ def _random(chance: random.Random, letters: str, n: int) -> str:
             return made
 
 
+_FRAMES = (
+    "{k} = {s}", "{k}={s}", "{k}: {s}", '"{k}": "{s}"', "export {K}={s}", "{w} {w} {k} {s} {w}", "Authorization: Bearer {s}",
+    "the {k} is {s} and {w}", "--{k} {s}", "<{k}>{s}</{k}>", "{w} {w} {s} {w} {w}", "curl -H 'X-Api-Key: {s}' {w}",
+)
+_NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "private_key", "client_secret", "auth", "credential", "pwd", "key")
+_OTHERS = (
+    "{w} {w} {s} {w} {w}", "{w} on {s}, {w}", "{w}: {s}", "date: {s}", "id = {s}", "version {s}", "see {s} for {w}", "({s}) {w}",
+    "phone {s}", "order {s} {w}", "{s}", "the {w} of {s} {w}", '"{w}": "{s}"', "{w}={s}",
+)
+
+
+def _word(chance: random.Random) -> str:
+    return "".join(chance.choices("abcdefghilmnoprstu", k=chance.randrange(3, 9)))
+
+
+def _lines(chance: random.Random, n: int, secrets: tuple[Callable[[], str], ...], plain: tuple[Callable[[], str], ...]) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Every third line frames one of ``secrets``, the others one of ``plain``."""
+    w, made = lambda: _word(chance), []
+    for i in range(n):
+        good = i % 3 == 0
+        frame, value = chance.choice(_FRAMES if good else _OTHERS), chance.choice(secrets if good else plain)()
+        if frame == "{w} {w} {s} {w} {w}" and good and len(value) < 24:
+            frame = "{k}: {s}"  # short ones are secrets by what names them only
+        name = chance.choice(_NAMES)
+        frame = frame.replace("{k}", name).replace("{K}", name.upper())
+        while "{w}" in frame:
+            frame = frame.replace("{w}", w(), 1)
+        at = frame.index("{s}")
+        more = "\n".join(" ".join(w() for _ in range(chance.randrange(3, 14))) for _ in range(chance.randrange(4)))
+        text = frame.replace("{s}", value) + "\n" + more
+        made.append((text, [(at, at + len(value))] if good else []))
+    return made
+
+
 def examples(seed: int = 12, n: int = 1500) -> list[tuple[str, list[tuple[int, int]]]]:
-    """Lines made by rule, with the places of the secrets in them."""
+    """Lines made by rule, with the places of the secrets in them, all with digits."""
     chance = random.Random(seed)
     small, upper, base = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     d = lambda k: "".join(chance.choices(_DIGITS, k=k))
     h = lambda k: "".join(chance.choices("0123456789abcdef", k=k))
-    w = lambda: "".join(chance.choices("abcdefghilmnoprstu", k=chance.randrange(3, 9)))
+    w = lambda: _word(chance)
     secrets = (
         lambda: _random(chance, base, chance.randrange(16, 44)),
         lambda: _random(chance, base + "+/", chance.choice([24, 32, 40])) + chance.choice(["", "=", "=="]),
@@ -200,11 +259,6 @@ def examples(seed: int = 12, n: int = 1500) -> list[tuple[str, list[tuple[int, i
         lambda: h(chance.choice([20, 32, 40, 64])),
         lambda: _random(chance, small, chance.randrange(18, 32)),
     )
-    frames = (
-        "{k} = {s}", "{k}={s}", "{k}: {s}", '"{k}": "{s}"', "export {K}={s}", "{w} {w} {k} {s} {w}", "Authorization: Bearer {s}",
-        "the {k} is {s} and {w}", "--{k} {s}", "<{k}>{s}</{k}>", "{w} {w} {s} {w} {w}", "curl -H 'X-Api-Key: {s}' {w}",
-    )
-    names = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "private_key", "client_secret", "auth", "credential", "pwd", "key")
     plain = (
         lambda: f"20{d(2)}-0{chance.randrange(1, 9)}-{chance.randrange(10, 28)}",
         lambda: f"20{d(2)}-0{chance.randrange(1, 9)}-1{d(1)}T1{d(1)}:{d(2)}:{d(2)}Z",
@@ -228,61 +282,67 @@ def examples(seed: int = 12, n: int = 1500) -> list[tuple[str, list[tuple[int, i
         lambda: f"{chance.choice(['DE', 'FR', 'GB'])}{d(20)}",
         lambda: f"{d(2)}/{d(2)}/20{d(2)}",
     )
-    others = (
-        "{w} {w} {s} {w} {w}", "{w} on {s}, {w}", "{w}: {s}", "date: {s}", "id = {s}", "version {s}", "see {s} for {w}", "({s}) {w}",
-        "phone {s}", "order {s} {w}", "{s}", "the {w} of {s} {w}", '"{w}": "{s}"', "{w}={s}",
+    return _lines(chance, n, secrets, plain)
+
+
+def letter_examples(seed: int = 13, n: int = 900) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Lines made by rule, with the places of the secrets in them, all without digits."""
+    chance = random.Random(seed)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    w = lambda: _word(chance)
+    long = lambda: (w() + w() + w())[:16] if chance.random() < 0.5 else w() + chance.choice(["ation", "ingly", "ments", "ities", "ological"])
+    secrets = (
+        lambda: "".join(chance.choices(letters, k=chance.randrange(16, 44))),
+        lambda: "".join(chance.choices(letters, k=chance.randrange(10, 16))),
+        lambda: "".join(chance.choices(letters + "+/", k=chance.choice([24, 32, 40]))) + chance.choice(["", "=", "=="]),
+        lambda: f"{chance.choice(['sk', 'pk', 'rk'])}_{chance.choice(['live', 'test'])}_{''.join(chance.choices(letters, k=24))}",
+        lambda: f"gh{chance.choice('pousr')}_{''.join(chance.choices(letters, k=36))}",
+    )
+    plain = (
+        long, long, long, lambda: long().title(), lambda: long().upper(), lambda: f"{long()}s",
+        lambda: w().title() + w().title() + w().title(), lambda: w() + w().title() + w().title(),
+        lambda: f"{w()}-{w()}-{w()}", lambda: f"{w()}_{w()}_{w()}", lambda: f"{w().upper()}_{w().upper()}_{w().upper()}",
+        lambda: f"https://www.{w()}.com/{w()}/{w()}-{w()}-{w()}.html", lambda: f"/usr/lib/{w()}/{w()}.so", lambda: f"{w()}.{w()}.{w()}()",
+        lambda: f"{w()}.{w()}@{w()}.example.com", lambda: f"{w()}/{w()}/{w()}.py", lambda: f"{long()}/{long()}", lambda: f"{w()}...{w()}",
+        lambda: chance.choice("-=_.+") * chance.randrange(8, 30),
     )
-    made = []
-    for i in range(n):
-        good = i % 3 == 0
-        frame, value = chance.choice(frames if good else others), chance.choice(secrets if good else plain)()
-        if frame == "{w} {w} {s} {w} {w}" and good and len(value) < 24:
-            frame = "{k}: {s}"  # short ones are secrets by what names them only
-        name = chance.choice(names)
-        frame = frame.replace("{k}", name).replace("{K}", name.upper())
-        while "{w}" in frame:
-            frame = frame.replace("{w}", w(), 1)
-        at = frame.index("{s}")
-        more = "\n".join(" ".join(w() for _ in range(chance.randrange(3, 14))) for _ in range(chance.randrange(4)))
-        text = frame.replace("{s}", value) + "\n" + more
-        made.append((text, [(at, at + len(value))] if good else []))
-    return made
+    return _lines(chance, n, secrets, plain)
 
 
-def _example_sequences() -> list[tuple[np.ndarray, list[int]]]:
-    found = []
-    for text, places in examples():
-        for _, rows, tags in tagged_chunks(text, [(s, FOUND, e, s) for s, e in places]):
-            if tags is not None:
-                found.append((np.array(rows), tags))
+def _example_sequences() -> dict[bool, list[tuple[np.ndarray, list[int]]]]:
+    """Tagged chunks of the examples: with a digit, and without."""
+    found: dict[bool, list[tuple[np.ndarray, list[int]]]] = {True: [], False: []}
+    for kind, made in ((True, examples()), (False, letter_examples())):
+        for text, places in made:
+            for rows, tags, digit in tagged_chunks(text, [(s, FOUND, e, s) for s, e in places]):
+                if tags is not None and digit == kind:
+                    found[kind].append((np.array(rows), tags))
     return found
 
 
-def _searched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, base spans, counts by kind, and for all chunks together their tokens, features and tags."""
-    schema = (
-        f"id {id_type(df, id_col)},base string,n_assign long,n_access long,n_hex long,"
-        "starts array<long>,ends array<long>,firsts array<long>,tags array<long>,slots binary,key long"
-    )
+def _lessons(df: DataFrame, id_col: str, text_col: str, fit_tokens: int) -> DataFrame:
+    """Chunks to learn from, those of a row with a digit and those without in a row each: id, digit, where the chunks begin, tags and features.
+
+    Rows of more than ``fit_tokens`` tokens are left out.
+    """
 
     def make():
         def rows(key, text):
-            base = base_spans(text)
-            found = tagged_chunks(text, base)
-            starts, ends, firsts, tags, slots = [], [], [], [], []
-            for tokens, features, tagged in found:
-                firsts.append(len(starts))
-                starts += [s for s, _ in tokens]
-                ends += [e for _, e in tokens]
-                tags += [-1] * len(tokens) if tagged is None else tagged
-                slots += features
-            number = [sum(k == kind for _, k, _, _ in base) for kind in KINDS]
-            packed = np.array(slots, "<u2").tobytes()
-            yield key, ",".join(f"{k}:{s}:{e}" for s, k, e, _ in base), *number, starts, ends, firsts, tags, packed, zlib.crc32(packed)
+            found = tagged_chunks(text, base_spans(text), FIT_EVERY)
+            for digit in (True, False):
+                firsts, tags, slots = [], [], []
+                for features, tagged, kind in found:
+                    if kind == digit:
+                        firsts.append(len(tags))
+                        tags += [-1] * len(features) if tagged is None else tagged
+                        slots += features
+                if 0 < len(tags) <= fit_tokens:
+                    packed = np.array(slots, "<u2").tobytes()
+                    yield key, digit, firsts, tags, packed, zlib.crc32(packed)
 
         return rows
 
-    return by_text(df, id_col, text_col, schema, make)
+    return by_text(df, id_col, text_col, f"id {id_type(df, id_col)},digit boolean,firsts array<long>,tags array<long>,slots binary,key long", make)
 
 
 def _sequences(tags: list[int], firsts: list[int], slots: bytes) -> list[tuple[np.ndarray, list[int]]]:
@@ -290,39 +350,80 @@ def _sequences(tags: list[int], firsts: list[int], slots: bytes) -> list[tuple[n
     return [(table[a:b], tags[a:b]) for a, b in zip(firsts, [*firsts[1:], len(tags)])]
 
 
-def train(rows: DataFrame, fit_rows: int = FIT_ROWS, fit_tokens: int = FIT_TOKENS, fit_chunks: int = FIT_CHUNKS) -> Tagger:
-    """The model, from at most ``fit_rows`` documents of ``rows`` with pattern secrets and as many
-    others, all of at most ``fit_tokens`` tokens in chunks, picked by hash,
-    and of these at most ``fit_chunks`` chunks."""
-    usable = rows.where((F.size("tags") > 0) & (F.size("tags") <= fit_tokens)).withColumn("some", F.exists("tags", lambda t: t == BEGIN))
-    usable = usable.withColumn("_drawn", F.xxhash64("id", "key"))
-    sequences: list[tuple[np.ndarray, list[int]]] = []
-    for part in (usable.where("some"), usable.where("NOT some")):
-        # Some twice as many as wanted are drawn by hash before they are sorted, so that no task sends its own ``fit_rows``.
-        share = min(1.0, 2 * fit_rows / max(1, part.count()))
-        drawn = part.where(F.pmod("_drawn", F.lit(1 << 20)) <= int(share * (1 << 20)))
-        for r in drawn.orderBy("_drawn", "key", "slots", "tags").limit(fit_rows).select("tags", "firsts", "slots").collect():
-            sequences += [s for s in _sequences(r.tags, r.firsts, r.slots) if -1 not in s[1]]
-    made = _example_sequences()
-    first = fit(made, SLOTS)
-    # A chunk that no pattern matches may hold a secret all the same: where the examples alone say so, it teaches nothing.
-    sure = [s for s in sequences[:fit_chunks] if BEGIN in s[1] or BEGIN not in first.decode(s[0])]
-    return fit(made + sure, SLOTS)
-
-
-def found_spans(tagger: Tagger, starts: list[int], ends: list[int], firsts: list[int], slots: bytes) -> list[tuple[int, int]]:
-    """Spans that the model tags, in order."""
-    spans: list[tuple[int, int]] = []
-    for number, (features, _) in enumerate(_sequences([0] * len(starts), firsts, slots)):
-        for i, tag in enumerate(tagger.decode(features), firsts[number]):
-            if tag == BEGIN:
-                spans.append((starts[i], ends[i]))
-            elif tag == INSIDE:
-                spans[-1] = (spans[-1][0], ends[i])
+def train(lessons: DataFrame, fit_rows: int = FIT_ROWS, fit_chunks: int = FIT_CHUNKS) -> dict[bool, Tagger]:
+    """The models for chunks with a digit (True) and without, each from at most ``fit_rows`` rows of
+    ``lessons`` with pattern secrets and as many others, picked by hash, and of these at most
+    ``fit_chunks`` chunks."""
+    usable = lessons.withColumn("some", F.exists("tags", lambda t: t == BEGIN)).withColumn("_drawn", F.xxhash64("id", "key"))
+    made, models = _example_sequences(), {}
+    for digit in (True, False):
+        sequences: list[tuple[np.ndarray, list[int]]] = []
+        own = usable.where(F.col("digit") == digit)
+        for part in (own.where("some"), own.where("NOT some")):
+            # Some twice as many as wanted are drawn by hash before they are sorted, so that no task sends its own ``fit_rows``.
+            share = min(1.0, 2 * fit_rows / max(1, part.count()))
+            drawn = part.where(F.pmod("_drawn", F.lit(1 << 20)) <= int(share * (1 << 20)))
+            for r in drawn.orderBy("_drawn", "key", "slots", "tags").limit(fit_rows).select("tags", "firsts", "slots").collect():
+                sequences += [s for s in _sequences(r.tags, r.firsts, r.slots) if -1 not in s[1]]
+        first = fit(made[digit], SLOTS)
+        # A chunk that no pattern matches may hold a secret all the same: where the examples alone say so, it teaches nothing.
+        sure = [s for s in sequences[:fit_chunks] if BEGIN in s[1] or BEGIN not in first.decode(s[0])]
+        models[digit] = fit(made[digit] + sure, SLOTS)
+    return models
+
+
+def searcher(models: dict[bool, Tagger]) -> Callable[[str], list[tuple[int, int]]]:
+    """A function that gives the spans which the models tag in a text, in order.
+
+    A chunk that is one word of letters has no steps between tags: it is a
+    secret if its features gain more by beginning one than by staying outside.
+    What its word, its neighbours and the file gain is remembered and added up.
+    """
+    field = models[False]
+    gain = field.features[:, BEGIN] - field.features[:, OUTSIDE]
+    ends = float((field.first + field.last)[BEGIN] - (field.first + field.last)[OUTSIDE])
+    gains = Remembered(lambda feature: float(gain[zlib.crc32(feature.encode()) % SLOTS]), 200_000)
+    labels = Remembered(_known, 200_000)
+
+    def outer(front: str, back: str, label: str, second: str, behind: str, kind: str) -> float:
+        return (
+            gains["front " + front] + gains["back " + back] + gains["label " + label] + gains["second " + second] + gains["behind " + behind]
+            + gains[f"label {label} {' ' if front.isspace() else front}"] + gains[f"inner {label} {kind}"]
+        )
+
+    def alone(word: str) -> tuple[float, str]:
+        rows, kind = chunk_features(word, 0, len(word), ("", "", "", ""), [])[1], _classes(word)
+        return ends + float(gain[rows[0]].sum()) - outer("^", "$", "^", "^", "$", kind), kind
+
+    words = Remembered(alone, 200_000)
+
+    def spans(text: str) -> list[tuple[int, int]]:
+        places, found = chunks(text), []
+        if not places:
+            return found
+        file = file_features(text)
+        whole = sum(gains[f"file {x}"] for x in file)
+        for a, b, around, digit in contexts(text, places):
+            chunk = text[a:b]
+            if chunk.isalpha():
+                second, first, joined, behind = around
+                label = _known(joined) if _LETTERS.search(joined) else labels[first] if first else "^"
+                own, kind = words[chunk]
+                if own + whole + outer(text[a - 1 : a] or "^", text[b : b + 1] or "$", label, labels[second] if second else "^", labels[behind] if behind else "$", kind) > 0:
+                    found.append((a, b))
+                continue
+            tokens, rows = chunk_features(text, a, b, around, file)
+            for (s, e), tag in zip(tokens, models[digit].decode(np.array(rows))):
+                if tag == BEGIN:
+                    found.append((s, e))
+                elif tag == INSIDE:
+                    found[-1] = (found[-1][0], e)
+        return found
+
     return spans
 
 
-def all_spans(base: str, found: list[tuple[int, int]], min_length: int = 8) -> tuple[str, int]:
+def all_spans(base: str, found: list[tuple[int, int]], min_length: int = MIN_LENGTH) -> tuple[str, int]:
     """Base spans and the found ones that overlap none of them, by start; and how many were added."""
     own = [(int(s), int(e), KINDS.index(k), k) for k, s, e in (x.split(":") for x in base.split(",") if x)]
     taken = sorted((s, e) for s, e, _, _ in own)
@@ -344,20 +445,22 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     secret for what the model adds), comma-joined; code points, end exclusive.
     Base spans always stay; added ones overlap none of them. Null and empty
     texts have none. Repeated rows and null ids give a row each; an empty table
-    gives none; other columns are not read. Texts are read once; the features
-    of their chunks are stored, and the model (a table of fixed size) tags
-    these. Time grows with the length of a text.
+    gives none; other columns are not read. Texts are read twice: for a bounded
+    sample that the models (tables of fixed size) are fitted on, then to tag
+    every chunk of every text. Time grows with the length of a text.
     """
-    rows = materialise(_searched(df, id_col, text_col))
-    tagger = train(rows, fit_rows, fit_tokens)
+    models = train(materialise(_lessons(df, id_col, text_col, fit_tokens)), fit_rows)
 
-    def tagged(batches):
-        for batch in batches:
-            got = [all_spans(base, found_spans(tagger, *cells) if cells[0] else []) for base, *cells in zip(*(batch.column(c).to_pylist() for c in ("base", "starts", "ends", "firsts", "slots")))]
-            kept = [batch.column(c) for c in ("id", "n_assign", "n_access", "n_hex", "base")]
-            spans, n = zip(*got) if got else ((), ())
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, pa.string()), pa.array(n, pa.int64())], names=["id", "n_assign", "n_access", "n_hex", "base", "spans", "n_found"])
+    def make():
+        find = searcher(models)
+
+        def rows(key, text):
+            base = base_spans(text)
+            number = [sum(k == kind for _, k, _, _ in base) for kind in KINDS]
+            listed = ",".join(f"{k}:{s}:{e}" for s, k, e, _ in base)
+            yield key, *number, listed, *all_spans(listed, find(text))
+
+        return rows
 
     schema = f"id {id_type(df, id_col)},n_assign long,n_access long,n_hex long,base string,spans string,n_found long"
-    needed = rows.select("id", "n_assign", "n_access", "n_hex", "base", "starts", "ends", "firsts", "slots")
-    return needed.mapInArrow(tagged, schema).withColumnRenamed("id", id_col)
+    return by_text(df, id_col, text_col, schema, make).withColumnRenamed("id", id_col)

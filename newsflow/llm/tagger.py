@@ -58,15 +58,18 @@ class Tagger:
         rows, end = np.arange(n), lengths - 1
         forward = np.zeros((n, width, 3))
         forward[:, 0] = self.first + _START + scores[:, 0]
+        lasting = [np.flatnonzero(real[:, t]) for t in range(width)]  # short sequences cost nothing behind their end
         for t in range(1, width):
-            forward[:, t] = _sums(forward[:, t - 1, :, None] + steps, 1) + scores[:, t]
+            at = lasting[t]
+            forward[at, t] = _sums(forward[at, t - 1, :, None] + steps, 1) + scores[at, t]
         total = _sums(forward[rows, end] + self.last, 1)
         backward = np.zeros((n, width, 3))
         backward[rows, end] = self.last
         for t in range(width - 2, -1, -1):
-            step = _sums(steps[None] + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-            backward[:, t] = np.where((t < end)[:, None], step, backward[:, t])
-        share = np.where(real[..., None], np.exp(forward + backward - total[:, None, None]), 0.0)
+            at = lasting[t + 1]
+            backward[at, t] = _sums(steps[None] + (scores[at, t + 1] + backward[at, t + 1])[:, None, :], 2)
+        share = np.zeros_like(scores)
+        share[real] = np.exp((forward + backward - total[:, None, None])[real])
         truth = np.eye(3)[tags] * real[..., None]
         missing = truth - share
         by_feature, by_token = np.zeros_like(self.features), missing[real]

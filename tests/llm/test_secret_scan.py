@@ -134,3 +134,40 @@ def test_empty_tables_and_clashing_columns(spark):
     assert sorted((str(r.doc_id), r.base, r.n_assign) for r in got) == [("1", "", 0), ("None", "assign:0:19", 1), ("None", "assign:0:19", 1)]
     assert secret_scan.find_secrets(rows.limit(0)).collect() == []
     assert fit([], 8).decode(np.zeros((3, 2), int)) == [OUTSIDE] * 3 and BEGIN == 1
+
+
+def test_chunks_without_digits_are_tagged(spark):
+    """Secrets of letters alone are found in texts without any digit, and prose of long words is left alone."""
+    chance = random.Random(99)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    secrets = ["".join(chance.choices(letters, k=32)) for _ in range(60)]
+    frames = ("Authorization: Bearer {}", "the access_key is {} and more", "export CREDENTIAL={}", 'auth: "{}" again')
+    lines = [frames[i % 4].format(s) for i, s in enumerate(secrets)]
+    prose = ["Notwithstanding considerable misunderstandings, the international organisation's representatives congratulated each other.", "Well-established, state-of-the-art NETWORKING; see https://www.example.com/about/company-history.html or JavaScript.", "=" * 40 + "\nIntroduction\n" + "-" * 40]
+    rows = spark.createDataFrame(list(enumerate(lines + prose)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.find_secrets(rows).collect()}
+    hit = sum(f"secret:{(at := lines[i].index(s))}:{at + len(s)}" in got[i].spans.split(",") for i, s in enumerate(secrets))
+    assert hit >= 0.9 * len(secrets)
+    assert all(got[len(lines) + i].n_found == 0 for i in range(len(prose)))
+
+
+def test_remembered_sums_equal_the_field():
+    """Words of letters by added gains, against features and Viterbi of the same chunk."""
+    chance = np.random.default_rng(5)
+    models = {True: Tagger(secret_scan.SLOTS), False: Tagger(secret_scan.SLOTS)}
+    for tagger in models.values():
+        for w in (tagger.features, tagger.steps, tagger.first, tagger.last):
+            w += chance.normal(size=w.shape)
+    find, seen = secret_scan.searcher(models), 0
+    for text, _ in secret_scan.examples(3, 200) + secret_scan.letter_examples(4, 400) + [("Abcdefghi\tabcdefghik\nabcdefghij é(abcdefgh)", [])]:
+        expected = []
+        for a, b, around, digit in secret_scan.contexts(text, secret_scan.chunks(text)):
+            tokens, rows = secret_scan.chunk_features(text, a, b, around, secret_scan.file_features(text))
+            for (s, e), tag in zip(tokens, models[digit].decode(np.array(rows))):
+                if tag == BEGIN:
+                    expected.append((s, e))
+                elif tag == INSIDE:
+                    expected[-1] = (expected[-1][0], e)
+            seen += text[a:b].isalpha()
+        assert find(text) == expected, text
+    assert seen > 300
