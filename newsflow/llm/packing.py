@@ -67,7 +67,7 @@ def encoder(path: str):
         found = tokenizer.model.tokenize(word if word.isascii() else word.encode().decode("latin1").translate(stand_ins))
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    words = Remembered(word_ids, 800_000)
+    words = Remembered(word_ids, 400_000)
 
     def chunk_ids(chunk: str) -> bytes:
         plain = chunk.isascii()
@@ -79,7 +79,7 @@ def encoder(path: str):
             return words[core] + words[low[len(core) :]] if len(core) < len(low) else words[core]
         return b"".join(map(words.__getitem__, _PARTS.findall(low))) if _PLAIN.fullmatch(chunk) else whole(chunk)
 
-    chunks = Remembered(chunk_ids, 1_200_000)
+    chunks = Remembered(chunk_ids, 600_000)
     # Special strings are tokens, and these four separate words in one library only.
     odd = (*special, "\x1c", "\x1d", "\x1e", "\x1f")
 

@@ -545,3 +545,17 @@ def test_leaves_do_not_grow_with_the_table(spark, monkeypatch):
     found = near_vectors.link_vectors(frame, leaf=32, sample=80).agg(F.sum("n_links")).first()[0]
     assert 0.9 * there <= found <= there
     assert sizes[0][0] <= near_vectors.LARGE * 32 and sizes[0][1] < 40 * n
+
+
+def test_what_the_packing_encoder_remembers_is_bounded():
+    """Within a worker's memory in the pipeline, whatever the number of different chunks."""
+    import gc
+
+    from newsflow.llm.common import Remembered
+
+    encode = packing.encoder.__wrapped__(public_tokenizers.path("word_bpe_49k.json"))
+    before = {id(o) for o in gc.get_objects() if isinstance(o, Remembered)}
+    for i in range(0, 1_000_000, 1000):
+        encode(" ".join(map(str, range(i, i + 1000))))
+    held = [len(o) + len(o.older) for o in gc.get_objects() if isinstance(o, Remembered) and (id(o) in before or len(o) > 0)]
+    assert max(held) <= 600_000
