@@ -21,6 +21,8 @@ from newsflow.session import materialise
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 4096
+#: Similarities that a task holds at once; rows are compared in slices of so many.
+SLICE_CELLS = 1 << 20
 _TIE_DIGITS = 9
 _SLACK = 1e-6  # never prune on a difference this small
 
@@ -32,6 +34,12 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return matrix / np.where(lengths > 0, lengths, 1.0)
 
 
+def _slices(rows: int, width: int) -> Iterator[slice]:
+    """Slices of rows whose matrix of ``width`` columns has at most ``SLICE_CELLS`` entries (or one row)."""
+    step = max(1, SLICE_CELLS // max(1, width))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
 def _found(ids: np.ndarray, partners: np.ndarray, similarity: np.ndarray) -> pd.DataFrame:
     """Result rows. Text keys stay plain objects, which Arrow takes in one piece."""
     plain = lambda a: pd.Series(a, dtype=object if a.dtype == object else a.dtype)
@@ -43,13 +51,17 @@ def _best(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
     block = block.sort_values("id")
     ids = block["id"].to_numpy()
     own = rows["id"].to_numpy()
-    similarity = np.round(_unit_rows(rows["vector"]) @ _unit_rows(block["vector"]).T, _TIE_DIGITS)
+    mine, others = _unit_rows(rows["vector"]), _unit_rows(block["vector"])
     position = np.searchsorted(ids, own)
     position[position == len(ids)] = 0
     same = ids[position] == own
-    similarity[np.flatnonzero(same), position[same]] = -np.inf
-    best = similarity.argmax(axis=1)
-    found = similarity[np.arange(len(rows)), best]
+    best, found = np.empty(len(rows), np.int64), np.empty(len(rows))
+    for part in _slices(len(rows), len(block)):
+        similarity = mine[part] @ others.T
+        np.round(similarity, _TIE_DIGITS, out=similarity)
+        similarity[np.flatnonzero(same[part]), position[part][same[part]]] = -np.inf
+        best[part] = similarity.argmax(axis=1)
+        found[part] = similarity[np.arange(len(similarity)), best[part]]
     kept = np.isfinite(found)
     return _found(own[kept], ids[best[kept]], found[kept])
 
@@ -100,12 +112,13 @@ def _pivot_join(rows: DataFrame, pivots: int, block_rows: int) -> DataFrame:
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                angles = np.arccos(np.clip(_unit_rows(batch["vector"]) @ centres.value.T, -1.0, 1.0))
+            for part in _slices(len(batch), len(centres.value)):
+                out = batch.iloc[part].copy()
+                angles = np.arccos(np.clip(_unit_rows(out["vector"]) @ centres.value.T, -1.0, 1.0))
                 cell = angles.argmin(axis=1)
-                batch["cell"] = cell.astype(np.int32)
-                batch["angle"] = angles[np.arange(len(batch)), cell]
-                yield batch
+                out["cell"] = cell.astype(np.int32)
+                out["angle"] = angles[np.arange(len(out)), cell]
+                yield out
 
     assigned = materialise(
         rows.mapInPandas(assign, f"id {key_type}, vector array<float>, cell int, angle double")
@@ -137,16 +150,16 @@ def _pivot_join(rows: DataFrame, pivots: int, block_rows: int) -> DataFrame:
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Cells that may hold a partner at least as good as the known one."""
         for batch in batches:
-            if not len(batch):
-                continue
-            angles = np.arccos(np.clip(_unit_rows(batch["vector"]) @ centres.value.T, -1.0, 1.0))
-            known = batch["similarity"].fillna(-2.0).to_numpy()
-            reach = np.cos(np.maximum(angles - radius.value, 0.0))
-            reach[:, ~np.isfinite(radius.value)] = -np.inf
-            open_cells = reach + _SLACK >= known[:, None]
-            out = batch.drop(columns="similarity")
-            out["target"] = [np.flatnonzero(m).astype(np.int32) for m in open_cells]
-            yield out
+            for part in _slices(len(batch), len(centres.value)):
+                rows = batch.iloc[part]
+                angles = np.arccos(np.clip(_unit_rows(rows["vector"]) @ centres.value.T, -1.0, 1.0))
+                known = rows["similarity"].fillna(-2.0).to_numpy()
+                reach = np.cos(np.maximum(angles - radius.value, 0.0))
+                reach[:, ~np.isfinite(radius.value)] = -np.inf
+                open_cells = reach + _SLACK >= known[:, None]
+                out = rows.drop(columns="similarity")
+                out["target"] = [np.flatnonzero(m).astype(np.int32) for m in open_cells]
+                yield out
 
     routed = blocked.join(local.select("id", "similarity"), "id", "left").select(
         "id", "vector", "cell", "block", "similarity"

@@ -197,3 +197,19 @@ def test_a_filter_on_extracted_text_does_not_extract_twice(spark):
     pages = spark.createDataFrame([("<p>x</p>",)], "html string")
     plan = plan_of(extract_pages(pages).where(F.length("text") > 500).select("title"))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_block_is_searched_in_slices():
+    """Two full blocks: far less than their 4,096 x 4,096 similarities are held at once."""
+    import tracemalloc
+
+    import pandas as pd
+
+    chance = np.random.default_rng(2)
+    block = lambda first: pd.DataFrame({"id": range(first, first + 4096), "vector": list(chance.normal(size=(4096, 8)).astype("f4"))})
+    rows, others = block(0), block(4096)
+    tracemalloc.start()
+    found = neighbours._best(rows, others)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 4096 and found["partner"].min() >= 4096 and peak < 60e6
