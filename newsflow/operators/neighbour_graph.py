@@ -42,6 +42,16 @@ def _pairs(ids: pa.Array, key_type: pa.DataType, a: np.ndarray, b: np.ndarray, s
     return pa.table({"id": taken(a), "partner": taken(b), "similarity": pa.array(similarity, pa.float64())})
 
 
+def _best_offers(pairs: pa.Table, k: int) -> pa.Table:
+    """Of each id the ``k`` best different partners, as ``_lists`` orders them: no other pair can come into a list."""
+    pairs = pairs.group_by(["id", "partner"]).aggregate([("similarity", "max")]).rename_columns(["id", "partner", "similarity"])
+    pairs = pairs.sort_by([("id", "ascending"), ("similarity", "descending"), ("partner", "ascending")])
+    ids = pairs.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    place = np.arange(len(ids)) - np.repeat(first, np.diff(first, append=len(ids)))
+    return pairs.filter(pa.array(place < k))
+
+
 def _nearest(similarity: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (row, column) of the ``k`` largest entries of each row."""
     k = min(k, similarity.shape[1])
@@ -86,9 +96,9 @@ def _first_lists(rows: DataFrame, n: int, k: int, tables: int, block_rows: int,
 def _lists(pairs: DataFrame, k: int) -> DataFrame:
     """``id`` and ``near``: its ``k`` nearest partners (distance, partner, fresh), of ``pairs`` with a mark ``fresh``.
 
-    A partner known before is not fresh. Equal distances go to the smallest partner.
+    A partner known before is not fresh. Equal distances go to the smallest partner. All pairs of an id go through one shuffle.
     """
-    best = pairs.groupBy("id", "partner").agg(F.max("similarity").alias("similarity"), F.min("fresh").alias("fresh"))
+    best = pairs.repartition("id").groupBy("id", "partner").agg(F.max("similarity").alias("similarity"), F.min("fresh").alias("fresh"))
     ranked = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "partner"))
     kept = best.withColumn("_place", ranked).where(F.col("_place") <= k)
     near = F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("distance"), "partner", "fresh")))
@@ -104,6 +114,8 @@ def _offers(rows: DataFrame, lists: DataFrame, n: int, k: int) -> DataFrame:
     back = back.withColumn("_place", some).where(F.col("_place") <= k).drop("_place")
     members = edges.select(F.col("id").alias("at"), F.col("partner").alias("member"), "fresh").unionByName(back)
     members = members.groupBy("at", "member").agg(F.max("fresh").alias("fresh"))
+    # Where no member is fresh, all have met: their vectors stay where they are.
+    members = members.withColumn("_any", F.max("fresh").over(Window.partitionBy("at"))).where("_any").drop("_any")
     # Whoever has a full list takes nearer ones only.
     worst = F.when(F.size("near") >= k, F.element_at("near", -1)["distance"])
     known = rows.join(lists.select("id", worst.alias("worst")), "id", "left").select(F.col("id").alias("member"), "vector", "worst")
@@ -129,7 +141,7 @@ def _offers(rows: DataFrame, lists: DataFrame, n: int, k: int) -> DataFrame:
             x, y = np.nonzero(wanted)
             found.append((x + a, y + a, similarity[x, y]))
         x, y, similarity = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-        return _pairs(ids, ids.type, x, y, similarity)
+        return _best_offers(_pairs(ids, ids.type, x, y, similarity), k)
 
     columns = met.select("group", "at", "member", "fresh", "worst", "vector")
     return columns.groupBy("group").applyInArrow(compare, f"id {key}, partner {key}, similarity double")

@@ -80,3 +80,11 @@ def test_hostile_vectors(spark):
     assert graph.approximate_neighbours(vectors.limit(1)).collect() == []
     named = spark.createDataFrame([("a", [1.0, 0.1]), ("b", [1.0, 0.2]), ("c", [0.1, 1.0])], "vec_id string, embedding array<float>")
     assert {r.vec_id: r.closest_vec_id for r in graph.approximate_neighbours(named).collect()} == {"a": "b", "b": "a", "c": "b"}
+
+
+def test_a_group_offers_no_more_than_a_list_holds(spark, tmp_path):
+    matrix = np.random.default_rng(6).normal(size=(1000, 8))
+    rows = table(spark, tmp_path / "v.parquet", matrix).selectExpr("vec_id AS id", "embedding AS vector")
+    lists = graph.materialise(graph._lists(graph._first_lists(rows, 1000, 8, 2, 256, 7).selectExpr("*", "true AS fresh"), 8))
+    offers = graph._offers(rows, lists, 1000, 8).toPandas()  # one group
+    assert len(offers) and offers.groupby("id").size().max() <= 8 and not offers.duplicated(["id", "partner"]).any()
