@@ -12,6 +12,7 @@ examples made by rule.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -47,7 +48,6 @@ _CHUNK = re.compile(rf"[A-Za-z0-9+/_.=~-]{{{MIN_LENGTH},}}")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
 _RUN = re.compile(r"[a-z]+|[A-Z]+|[0-9]+")
-_WORD = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = "0123456789"
 
@@ -90,6 +90,8 @@ def _classes(token: str) -> str:
 
 def _known(word: str) -> str:
     """A word as context: its letters, or 0 for a word of none."""
+    if word.isalpha():
+        return word.lower()
     letters = _LETTERS.findall(word)
     return "_".join(letters).lower() if letters else "0"
 
@@ -143,17 +145,25 @@ def chunk_features(text: str, a: int, b: int, around: tuple[str, str, str, str],
 
 def contexts(text: str, places: list[tuple[int, int]]) -> Iterator[tuple[int, int, tuple[str, str, str, str], bool]]:
     """Chunks, what is around them (as ``chunk_features`` takes it), and whether they hold a digit."""
-    words = [m.span() for m in _WORD.finditer(text)] if places else []
-    starts, last = [s for s, _ in words], {True: 0, False: 0}
-    for a, b in places:
-        i = bisect_right(starts, a) - 1
-        start, end = words[i]
-        left = [text[s:e] for s, e in words[max(0, i - 2) : i] if text.find("\n", e, start) < 0]
-        right = [text[s:e] for s, e in words[i + 1 : i + 2] if text.find("\n", end, s) < 0]
-        digit = _DIGIT.search(text, a, b) is not None
-        # Joined is what lies behind the chunk before of the same kind: the name of a secret may be a chunk itself.
-        yield a, b, (left[-2] if len(left) > 1 else "", left[-1] if left else "", text[max(start, last[digit]) : a], right[0] if right else ""), digit
-        last[digit] = b
+    last, end, i = {True: 0, False: 0}, 0, 0
+    for line in text.split("\n") if places else ():
+        words = line.split()
+        for k, word in enumerate(words):
+            if len(word) < MIN_LENGTH:
+                continue
+            start = text.index(word, end)  # the words between are shorter, so none of them holds this one
+            end = start + len(word)
+            second, first = words[k - 2] if k > 1 else "", words[k - 1] if k else ""
+            behind = words[k + 1] if k + 1 < len(words) else ""
+            while i < len(places) and places[i][0] < end:
+                a, b = places[i]
+                i += 1
+                digit = _DIGIT.search(text, a, b) is not None
+                # Joined is what lies behind the chunk before of the same kind: the name of a secret may be a chunk itself.
+                yield a, b, (second, first, text[max(start, last[digit]) : a], behind), digit
+                last[digit] = b
+            if i == len(places):
+                return
 
 
 def tagged_chunks(text: str, base: list[tuple[int, str, int, int]], every: int = 0) -> list[tuple[list[list[int]], list[int] | None, bool]]:
@@ -377,39 +387,60 @@ def searcher(models: dict[bool, Tagger]) -> Callable[[str], list[tuple[int, int]
 
     A chunk that is one word of letters has no steps between tags: it is a
     secret if its features gain more by beginning one than by staying outside.
-    What its word, its neighbours and the file gain is remembered and added up.
+    But for its first letters, a word's own features are those of its shape:
+    letter cases, length, runs, different letters, and whether it could be hex.
+    What a shape gains is remembered; the others are a sum of a few slots.
     """
     field = models[False]
-    gain = field.features[:, BEGIN] - field.features[:, OUTSIDE]
+    gain = (field.features[:, BEGIN] - field.features[:, OUTSIDE]).tolist()
     ends = float((field.first + field.last)[BEGIN] - (field.first + field.last)[OUTSIDE])
-    gains = Remembered(lambda feature: float(gain[zlib.crc32(feature.encode()) % SLOTS]), 200_000)
-    labels = Remembered(_known, 200_000)
+    crc = zlib.crc32
+    in_label, in_second, in_behind, in_inner, in_start = (crc(f"{x} ".encode()) for x in ("label", "second", "behind", "inner", "start"))
+    signs = Remembered(lambda feature: gain[crc(feature.encode()) % SLOTS], 20_000)
 
-    def outer(front: str, back: str, label: str, second: str, behind: str, kind: str) -> float:
+    def around_it(front: str, back: str, label: str, second: str, behind: str, kind: str) -> float:
+        name = label.encode()
+        labelled = crc(name, in_label)
         return (
-            gains["front " + front] + gains["back " + back] + gains["label " + label] + gains["second " + second] + gains["behind " + behind]
-            + gains[f"label {label} {' ' if front.isspace() else front}"] + gains[f"inner {label} {kind}"]
+            signs["front " + front] + signs["back " + back] + gain[labelled % SLOTS]
+            + gain[crc(second.encode(), in_second) % SLOTS] + gain[crc(behind.encode(), in_behind) % SLOTS]
+            + gain[crc(b"  " if front.isspace() else f" {front}".encode(), labelled) % SLOTS] + gain[crc(f" {kind}".encode(), crc(name, in_inner)) % SLOTS]
         )
 
-    def alone(word: str) -> tuple[float, str]:
-        rows, kind = chunk_features(word, 0, len(word), ("", "", "", ""), [])[1], _classes(word)
-        return ends + float(gain[rows[0]].sum()) - outer("^", "$", "^", "^", "$", kind), kind
+    def first_letters(word: str) -> float:
+        return gain[crc(word[:3].encode(), in_start) % SLOTS]
+
+    def shape_gain(word: str, kind: str) -> float:
+        """Of a word's own features but its first letters; exactly the same for all words of a shape."""
+        slots = chunk_features(word, 0, len(word), ("", "", "", ""), [])[1][0]
+        return math.fsum([ends, *(gain[x] for x in slots), -first_letters(word), -around_it("^", "$", "^", "^", "$", kind)])
 
-    words = Remembered(alone, 200_000)
+    shapes: dict[tuple, float] = {}
 
     def spans(text: str) -> list[tuple[int, int]]:
         places, found = chunks(text), []
         if not places:
             return found
         file = file_features(text)
-        whole = sum(gains[f"file {x}"] for x in file)
+        whole = sum(signs[f"file {x}"] for x in file)
         for a, b, around, digit in contexts(text, places):
             chunk = text[a:b]
             if chunk.isalpha():
                 second, first, joined, behind = around
-                label = _known(joined) if _LETTERS.search(joined) else labels[first] if first else "^"
-                own, kind = words[chunk]
-                if own + whole + outer(text[a - 1 : a] or "^", text[b : b + 1] or "$", label, labels[second] if second else "^", labels[behind] if behind else "$", kind) > 0:
+                label = _known(joined) if _LETTERS.search(joined) else _known(first) if first else "^"
+                if chunk.islower():
+                    kind, shape = "a", (b - a, len(set(chunk)), not chunk.strip("abcdef"))
+                elif chunk.isupper():
+                    kind, shape = "A", (b - a, len(set(chunk)))
+                else:
+                    kind, shape = "aA", (b - a, len(set(chunk)), len(_RUN.findall(chunk)), "aA")
+                own = shapes.get(shape)
+                if own is None:
+                    if len(shapes) >= 50_000:
+                        shapes.clear()
+                    own = shapes[shape] = shape_gain(chunk, kind)
+                beside = around_it(text[a - 1 : a] or "^", text[b : b + 1] or "$", label, _known(second) if second else "^", _known(behind) if behind else "$", kind)
+                if own + first_letters(chunk) + whole + beside > 0:
                     found.append((a, b))
                 continue
             tokens, rows = chunk_features(text, a, b, around, file)

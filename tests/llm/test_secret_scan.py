@@ -171,3 +171,16 @@ def test_remembered_sums_equal_the_field():
             seen += text[a:b].isalpha()
         assert find(text) == expected, text
     assert seen > 300
+
+
+def test_different_words_of_letters_share_the_work_of_a_shape(monkeypatch):
+    """Features are made by shape: words that come once each do not cost a set of features each."""
+    chance = np.random.default_rng(6)
+    models = {True: Tagger(secret_scan.SLOTS), False: Tagger(secret_scan.SLOTS)}
+    models[False].features += chance.normal(size=models[False].features.shape)
+    made, plain = [], secret_scan.chunk_features
+    monkeypatch.setattr(secret_scan, "chunk_features", lambda *a: made.append(a) or plain(*a))
+    draw = random.Random(7)
+    words = {"".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randrange(8, 14))) for _ in range(5000)}
+    found = secret_scan.searcher(models)(" ".join([*sorted(words), "abcabcabcabc"]))
+    assert 0 < len(found) < len(words) and len(made) <= 6 * 14 * 2
