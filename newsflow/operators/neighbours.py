@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from newsflow.operators.key_filter import key_filter, page_count, with_maybe
 from newsflow.session import broadcast_if_small, materialise
 
 BLOCK_ROWS = 4096
@@ -33,6 +34,8 @@ MAX_PIVOTS = 4096
 MAX_SPANS = 12
 #: Hashes of vectors with several copies that are broadcast at most.
 MAX_HASHES = 100_000
+#: Pages (4 kB) of a filter of keys that is broadcast at most.
+MAX_PAGES = 4096
 #: Similarities that a task holds at once; rows are compared in slices of so many.
 SLICE_CELLS = 1 << 20
 _TIE_DIGITS = 9
@@ -397,9 +400,23 @@ def _remote(packed: DataFrame, layout: _Layout) -> DataFrame:
 def with_titles(closest: DataFrame, articles: DataFrame, key: str = "article_id") -> DataFrame:
     """Own title and text, and the title of the neighbour.
 
-    A popular neighbour repeats on the left side only; Spark splits such a
-    partition at run time because the right side is unique.
+    Articles that nobody asked for are dropped by a filter of the keys before
+    their titles are dealt out. A popular neighbour repeats on the left side
+    only; Spark splits such a partition at run time because the right side is
+    unique.
     """
-    own = closest.join(articles.select(key, "title", "text"), key, "left")
+    closest = materialise(closest)
+    articles = _asked_for(articles.select(key, "title", "text"), closest, key)
+    own = closest.join(articles, key, "left")
     other = articles.select(F.col(key).alias(f"closest_{key}"), F.col("title").alias("closest_title"))
     return own.join(other, f"closest_{key}", "left")
+
+
+def _asked_for(articles: DataFrame, closest: DataFrame, key: str) -> DataFrame:
+    """The articles of all keys on either side of ``closest``, and a few others."""
+    keys = closest.select(F.explode(F.array(key, f"closest_{key}")).alias("id"))
+    pages = page_count(closest.count())  # nearly every neighbour is a key too
+    if pages > MAX_PAGES or articles.schema[key].dataType != keys.schema["id"].dataType:
+        return articles
+    known = materialise(key_filter(keys, "id", pages))
+    return with_maybe(articles, F.broadcast(known), key, pages).where("maybe").drop("maybe")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsflow.operators import neighbours
 
@@ -96,3 +97,26 @@ def test_cells_of_a_layout_fill_blocks():
     for cell, _, count in [(0, 0, 10), (1, 0, 250), (2, 0, 90), (4, 0, 60), (5, 0, 40)]:
         rows[layout.first[cell] : layout.first[cell] + layout.parts[cell]] += count / layout.parts[cell]
     assert rows.max() <= 100 and sorted(c for cells in layout.cells for c in cells) == [0, 1, 1, 1, 2, 4, 5]
+
+
+def test_titles_that_nobody_asked_for_stay_where_they_are(spark):
+    long = F.concat_ws(" ", *(F.sha2(F.concat("id", F.lit(str(n))), 256) for n in range(4)))
+    articles = spark.range(20_000).select((F.col("id") + 5).alias("article_id"), long.alias("title"), F.lit("text").alias("text"))
+    articles = articles.withColumn("title", F.when(F.col("article_id") != 7, F.col("title"))).checkpoint()
+    closest = spark.createDataFrame([(i, i * 10) for i in range(1, 301)] + [(None, 11)], "article_id bigint, closest_article_id bigint")
+    titles = {r.article_id: r.title for r in articles.where("article_id <= 3000").collect()}
+    limit, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), shuffled_bytes(spark)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        got = neighbours.with_titles(closest, articles).collect()
+        written = shuffled_bytes(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted((r.article_id or 0, r.closest_article_id) for r in got) == sorted((r.article_id or 0, r.closest_article_id) for r in closest.collect())
+    for r in got:
+        assert (r.title, r.text) == (titles.get(r.article_id), "text" if r.article_id in titles else None)
+        assert r.closest_title == titles.get(r.closest_article_id)
+    assert titles[7] is None and written < 20_000 * 260 / 4
+
+    words = closest.selectExpr("string(article_id) article_id", "string(closest_article_id) closest_article_id")
+    assert sorted(r.closest_title or "" for r in neighbours.with_titles(words, articles).collect()) == sorted(r.closest_title or "" for r in got)
