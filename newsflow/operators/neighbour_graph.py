@@ -119,7 +119,9 @@ def _offers(rows: DataFrame, lists: DataFrame, n: int, k: int) -> DataFrame:
     # Whoever has a full list takes nearer ones only.
     worst = F.when(F.size("near") >= k, F.element_at("near", -1)["distance"])
     known = rows.join(lists.select("id", worst.alias("worst")), "id", "left").select(F.col("id").alias("member"), "vector", "worst")
-    groups = 1 + 2 * n * k // GROUP_ROWS
+    # A vector meets those it has listed and at most k of those that list it.
+    degrees = edges.groupBy("partner").count().select(F.sum("count"), F.sum(F.least("count", F.lit(k)))).first()
+    groups = 1 + min(2 * n * k, sum(d or 0 for d in degrees)) // GROUP_ROWS
     met = members.join(known, "member").withColumn("group", F.pmod(F.xxhash64("at"), F.lit(groups)))
 
     def compare(table: pa.Table) -> pa.Table:
